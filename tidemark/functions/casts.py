@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The accepted shapes. \z and not $, which also matches before a final newline.
-TEMPORAL_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\z"
-NUMERIC_SHAPE = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})?\z"
-CLOCK_SHAPE = r"^(\d{1,4}):([0-5]\d)(?::([0-5]\d(?:\.\d{1,6})?))?\z"
+TEMPORAL_SHAPE = r"^ *\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)? *\z"
+NUMERIC_SHAPE = r"^ *[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})? *\z"
+CLOCK_SHAPE = r"^ *(\d{1,2}|[1-9]\d{2,3}):([0-5]\d)(?::([0-5]\d(?:\.\d{1,6})?))? *\z"
+TIME_OF_DAY_SHAPE = r"^ *(([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?|24:00(:00(\.0{1,6})?)?) *\z"
 
 NUMERIC_TYPE = "decimal(38,10)"
-DAY_SECONDS = 86400
 
 
 def _col(c: str | Column) -> Column:
@@ -24,7 +24,7 @@ def _col(c: str | Column) -> Column:
 
 def try_ts(c: str | Column) -> Column:
     """Timestamp without zone. A zone suffix is refused rather than silently dropped."""
-    text = F.trim(_col(c))
+    text = _col(c)
     return F.when(text.rlike(TEMPORAL_SHAPE), text.try_cast("timestamp_ntz"))
 
 
@@ -34,54 +34,56 @@ def try_date(c: str | Column) -> Column:
 
 
 def try_numeric(c: str | Column) -> Column:
-    text = F.trim(_col(c))
+    text = _col(c)
     return F.when(text.rlike(NUMERIC_SHAPE), text.try_cast(NUMERIC_TYPE))
 
 
-def _clock_parts(c: str | Column) -> tuple[Column, Column, Column, Column]:
-    text = F.trim(_col(c))
-    hours = F.regexp_extract(text, CLOCK_SHAPE, 1).try_cast("int")
-    minutes = F.regexp_extract(text, CLOCK_SHAPE, 2)
-    seconds = F.regexp_extract(text, CLOCK_SHAPE, 3)
-    return text, hours, minutes, F.when(seconds == "", F.lit("00")).otherwise(seconds)
+def _clock_parts(c: str | Column) -> tuple[Column, Column, Column]:
+    """Hours, minutes and seconds of text that has the clock shape."""
+    parts = [F.split_part(F.trim(_col(c)), F.lit(":"), F.lit(i)) for i in (1, 2, 3)]
+    return (
+        parts[0].try_cast("int"), parts[1].try_cast("int"),
+        F.coalesce(parts[2].try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")),
+    )
 
 
 def clock_seconds(c: str | Column) -> Column:
     """Seconds since midnight as decimal(18,6); hours beyond 24 are allowed and mean a duration."""
-    _, hours, minutes, seconds = _clock_parts(c)
-    total = hours * 3600 + minutes.try_cast("int") * 60 + seconds.try_cast("decimal(8,6)")
-    return total.cast("decimal(18,6)")
+    hours, minutes, seconds = _clock_parts(c)
+    total = (hours * 3600 + minutes * 60 + seconds).cast("decimal(18,6)")
+    return F.when(_col(c).rlike(CLOCK_SHAPE), total)
 
 
 def parse_clock(c: str | Column) -> Column:
     """H:mm or H:mm:ss as an interval; hours beyond 24 are kept."""
-    _, hours, minutes, seconds = _clock_parts(c)
+    hours, minutes, seconds = _clock_parts(c)
     return F.when(
-        hours.isNotNull(),
-        F.make_dt_interval(
-            F.lit(0), hours, minutes.try_cast("int"), seconds.try_cast("decimal(18,6)")
-        ),
+        _col(c).rlike(CLOCK_SHAPE), F.make_dt_interval(F.lit(0), hours, minutes, seconds)
     )
 
 
 def clock_text(c: str | Column) -> Column:
-    """Canonical HH:mm:ss for a time of day up to and including 24:00:00, otherwise NULL."""
-    _, hours, minutes, seconds = _clock_parts(c)
-    trimmed = F.when(
-        seconds.contains("."), F.regexp_replace(seconds, r"\.?0+\z", "")
-    ).otherwise(seconds)
-    shown = F.concat_ws(":", F.lpad(hours.cast("string"), 2, "0"), minutes, trimmed)
-    return F.when(clock_seconds(c) <= DAY_SECONDS, shown)
+    """Canonical HH:mm:ss for a time of day up to and including 24:00:00, otherwise NULL.
+
+    A fraction of a second is kept, without trailing zeros.
+    """
+    text = F.trim(_col(c))
+    shown = (
+        F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")))
+        .when(F.length(text) <= 5, F.concat(text, F.lit(":00")))
+        .otherwise(text)
+    )
+    padded = F.when(F.substr(shown, F.lit(2), F.lit(1)) == ":", F.concat(F.lit("0"), shown)).otherwise(shown)
+    return F.when(_col(c).rlike(TIME_OF_DAY_SHAPE), padded)
 
 
 def clock_kind(c: str | Column) -> Column:
     """clock, over24h, invalid or empty: a time of day, a duration or typing error, or no time."""
-    text = F.trim(_col(c))
-    seconds = clock_seconds(c)
+    text = _col(c)
     return (
-        F.when(text.isNull() | (text == ""), "empty")
-        .when(seconds <= DAY_SECONDS, "clock")
-        .when(seconds > DAY_SECONDS, "over24h")
+        F.when(~set_flag(text), "empty")
+        .when(text.rlike(TIME_OF_DAY_SHAPE), "clock")
+        .when(text.rlike(CLOCK_SHAPE), "over24h")
         .otherwise("invalid")
     )
 

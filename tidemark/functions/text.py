@@ -17,27 +17,21 @@ def number_text(c: str | Column) -> Column:
     Outside that range the exponent form is 1e+16 or 1.5e-05; not-a-number is nan, infinity is inf.
     """
     x = _col(c)
-    java = x.cast("string")
     size = F.abs(x)
-    java_is_plain = (x == 0) | ((size >= 1e-3) & (size < 1e7))
-    # 38 digits hold every value in the wider plain range exactly as it was printed.
-    plain = F.regexp_replace(
-        x.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1"
-    )
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0\z", "")
-    exponent = F.substring_index(java, "E", -1)
-    digits = F.ltrim(exponent, F.lit("-"))
-    sign = F.when(exponent.startswith("-"), "-").otherwise("+")
-    scientific = F.concat(
-        mantissa, F.lit("e"), sign, F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
-    )
-    return (
-        F.when(x.isNull(), F.lit(None))
-        .when(F.isnan(x), "nan")
-        .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
-        .when(java_is_plain, java)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific)
+
+    def rare(v: Column) -> Column:
+        # 38 digits hold every value of the wider plain range exactly as it was printed.
+        plain = F.regexp_replace(v.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1")
+        other = v.cast("string")
+        for pattern, shown in ((r"\.0E", "E"), (r"E(-?)(\d)\z", "E$10$2"), (r"E(?=\d)", "e+"), (r"E", "e"),
+                               (r"NaN", "nan"), (r"Infinity", "inf")):
+            other = F.regexp_replace(other, pattern, shown)
+        return F.when((F.abs(v) >= 1e-4) & (F.abs(v) < 1e16), plain).otherwise(other)
+
+    # The rare forms sit in a lambda, which is evaluated outside the generated code: with them
+    # inline, a few numeric columns make one method too large for the JVM to compile.
+    return F.when((x == 0) | ((size >= 1e-3) & (size < 1e7)), x.cast("string")).otherwise(
+        F.element_at(F.transform(F.array(x), rare), 1)
     )
 
 

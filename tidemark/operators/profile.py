@@ -24,26 +24,31 @@ MODIFICATION_NAME = r"(?i)(modif|updat|changed|amend|edit)"
 CREATION_NAME = r"(?i)creat"
 
 
-def unpivot_text(df: DataFrame, keep=()) -> DataFrame:
-    """(column_name, value) for every cell, as staging text, without the warehouse's columns."""
-    skip = {LOADED_AT, LOAD_DATE, *keep}
-    names = [c for c in df.columns if c not in skip]
-    text = stage_text(df.select(*[ident(c) for c in [*keep, *names]]))
-    return text.unpivot(
-        [ident(c) for c in keep], [ident(c) for c in names], "column_name", "value"
-    )
-
-
 def _percent(part: str, total: str) -> Column:
     """Percent with one decimal, half rounded up, in whole-number arithmetic."""
     tenths = F.expr(f"(2000 * {part} + {total}) div (2 * nullif({total}, 0))")
     return (tenths.cast("decimal(12,1)") / 10).cast("decimal(5,1)")
 
 
-def _per_value(df: DataFrame) -> DataFrame:
+def _numbered(df: DataFrame) -> tuple[DataFrame, Column]:
+    """(column_no, value) for every cell, and the expression that gives the column's name back.
+
+    The number travels through the shuffle instead of the name, which is often longer than the value.
+    """
+    text = df.toDF(*[str(i) for i in range(len(df.columns))])
+    cells = text.unpivot([], [ident(c) for c in text.columns], "column_no", "value")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return cells, F.element_at(names, F.col("column_no").cast("int") + 1).alias("column_name")
+
+
+def _per_value(cells: DataFrame) -> DataFrame:
     """Every distinct (column, value) with its count: the only shuffle that grows with the data,
     and repeated values, however many, are already summed before it."""
-    return unpivot_text(df).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return cells.groupBy("column_no", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _data_text(df: DataFrame) -> DataFrame:
+    return stage_text(df.select(*[ident(c) for c in df.columns if c not in (LOADED_AT, LOAD_DATE)]))
 
 
 def profile_columns(df: DataFrame, source_table: str, sampled: bool = False,
@@ -55,18 +60,19 @@ def profile_columns(df: DataFrame, source_table: str, sampled: bool = False,
     maximum are taken over distinct values only. ``approximate_distinct`` trades the exact distinct
     count for a sketch; key detection needs the exact one.
     """
+    cells, column_name = _numbered(_data_text(df))
     if approximate_distinct:
-        counted = unpivot_text(df).withColumn("n", F.lit(1).cast("bigint"))
+        counted = cells.withColumn("n", F.lit(1).cast("bigint"))
         distinct = F.approx_count_distinct(F.nullif(F.col("value"), F.lit("")))
     else:
-        counted = _per_value(df)
+        counted = _per_value(cells)
         distinct = F.count(F.nullif(F.col("value"), F.lit("")))
     value, n = F.nullif(F.col("value"), F.lit("")), F.col("n")
 
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, n).otherwise(0))
 
-    folded = counted.groupBy("column_name").agg(
+    folded = counted.groupBy("column_no").agg(
         F.sum(n).alias("total_rows"),
         rows_where(value.isNotNull()).alias("populated"),
         distinct.alias("distinct_values"),
@@ -77,7 +83,7 @@ def profile_columns(df: DataFrame, source_table: str, sampled: bool = False,
         F.max(value).alias("max_value"),
     )
     out = folded.select(
-        F.lit(source_table).alias("source_table"), "column_name", "total_rows", "populated",
+        F.lit(source_table).alias("source_table"), column_name, "total_rows", "populated",
         _percent("populated", "total_rows").alias("pct_filled"), "distinct_values",
         "looks_timestamp", "looks_date", "looks_numeric", "min_value", "max_value",
         F.lit(sampled).alias("sampled"),
@@ -90,18 +96,15 @@ def profile_light(df: DataFrame) -> DataFrame:
     names = [c for c in df.columns if c != LOAD_DATE]
     # Positional names while staging, so that loaded_at becomes text like the rest.
     text = stage_text(df.select(*[ident(c).alias(f"c{i}") for i, c in enumerate(names)])).toDF(*names)
-    counted = (
-        text.unpivot([], [ident(c) for c in names], "column_name", "value")
-        .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    cells, column_name = _numbered(text)
     value = F.nullif(F.col("value"), F.lit(""))
-    folded = counted.groupBy("column_name").agg(
+    folded = _per_value(cells).groupBy("column_no").agg(
         F.sum("n").alias("total_rows"),
         F.sum(F.when(value.isNotNull(), F.col("n")).otherwise(0)).alias("populated"),
         F.count(value).alias("distinct_values"),
     )
     return folded.select(
-        "column_name", "populated", _percent("populated", "total_rows").alias("pct_filled"),
+        column_name, "populated", _percent("populated", "total_rows").alias("pct_filled"),
         "distinct_values",
     )
 
@@ -165,8 +168,9 @@ def cast_survival(df: DataFrame) -> DataFrame:
 
     Plain counts over the unpivoted cells: partly summed in the map tasks, no value is shuffled.
     """
+    cells, column_name = _numbered(_data_text(df))
     value = F.nullif(F.col("value"), F.lit(""))
-    return unpivot_text(df).groupBy("column_name").agg(
+    counts = cells.groupBy("column_no").agg(
         F.count(F.lit(1)).alias("total"),
         F.count(value).alias("populated"),
         F.count(try_ts(value)).alias("as_timestamp"),
@@ -174,6 +178,7 @@ def cast_survival(df: DataFrame) -> DataFrame:
         F.count_if(clock_kind(value) == "clock").alias("as_clock"),
         F.count(try_numeric(value)).alias("as_numeric"),
     )
+    return counts.select(column_name, *counts.columns[1:])
 
 
 def record_profile(wh, profile: DataFrame, profiled_at: dt.datetime) -> None:
