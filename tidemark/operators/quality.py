@@ -11,12 +11,17 @@ from tidemark.spec import FactSpec, LOADED_AT
 CASTS = {"timestamp": try_ts, "date": try_date, "clock": clock_text, "numeric": try_numeric}
 
 
+def two_counts(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
+    """The row counts of two tables as one row, in one aggregation that reads no column."""
+    sides = left.select(F.lit(True).alias("_left")).unionByName(right.select(F.lit(False).alias("_left")))
+    return sides.agg(
+        F.count_if(F.col("_left")).alias(left_name), F.count_if(~F.col("_left")).alias(right_name)
+    )
+
+
 def parity_check(left: DataFrame, right: DataFrame) -> DataFrame:
     """Whether two tables hold the same number of rows, as one result row."""
-    n_left = left.agg(F.count(F.lit(1)).alias("n_left"))
-    n_right = right.agg(F.count(F.lit(1)).alias("n_right"))
-    # One row each: both are global counts.
-    return n_left.crossJoin(n_right).withColumn("same", F.col("n_left") == F.col("n_right"))
+    return two_counts(left, right, "n_left", "n_right").withColumn("same", F.col("n_left") == F.col("n_right"))
 
 
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -77,9 +82,15 @@ def domain_violations(df: DataFrame, domains: dict[str, tuple], required=(), key
 
 
 def _inline_found(df: DataFrame, found: list[Column], keys) -> DataFrame:
-    """Rows for the non-NULL structs of each input row: a projection, nothing is shuffled."""
-    hits = F.filter(F.array(*found), lambda x: x.isNotNull())
-    return df.select(*[ident(k) for k in keys], F.inline(hits))
+    """A row for each non-NULL struct of each input row. Nothing is shuffled, and rows without any
+    finding, normally nearly all, are dropped before arrays are built."""
+    some = found[0].isNotNull()
+    for f in found[1:]:
+        some = some | f.isNotNull()
+    return (
+        df.filter(some).select(*[ident(k) for k in keys], F.explode(F.array(*found)).alias("_f"))
+        .filter(F.col("_f").isNotNull()).select(*[ident(k) for k in keys], "_f.*")
+    )
 
 
 def parse_errors(history: DataFrame, spec: FactSpec) -> DataFrame:
@@ -141,8 +152,6 @@ def reference_state(source_n: Column, staged_n: Column) -> Column:
 
 
 def reference_check(source: DataFrame, history: DataFrame) -> DataFrame:
-    """source_n, staged_n and mode, as one row. Both sides are counted without reading a column."""
-    counts = source.agg(F.count(F.lit(1)).alias("source_n")).crossJoin(
-        history.agg(F.count(F.lit(1)).alias("staged_n"))
-    )
+    """source_n, staged_n and mode, as one row."""
+    counts = two_counts(source, history, "source_n", "staged_n")
     return counts.withColumn("mode", reference_state(F.col("source_n"), F.col("staged_n")))

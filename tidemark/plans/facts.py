@@ -27,9 +27,18 @@ _KIND = {
 # joined by shuffle. Measured on the written batch, not assumed.
 BROADCAST_BATCH_BYTES = 64 << 20
 
+# A new fact gets one bucket per this many rows of its first batch, within the two limits.
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
+
+
+def bucket_count(n_rows: int) -> int:
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
+
+
 
 def incident_fact(key: str, target_table: str = "rep.fact_incident", source_table: str = "stg.incident",
-                  n_buckets: int = 8) -> FactSpec:
+                  n_buckets: int | None = None) -> FactSpec:
     """One row per incident. ``key`` is the history's primary key column."""
     return FactSpec(
         target_table, source_table, "pk_incident", "modification_date_timestamp",
@@ -64,7 +73,7 @@ def incident_fact(key: str, target_table: str = "rep.fact_incident", source_tabl
 
 
 def charge_fact(incident_key: str, target_table: str = "rep.fact_incident_charge",
-                source_table: str = "stg.charges", n_buckets: int = 8) -> FactSpec:
+                source_table: str = "stg.charges", n_buckets: int | None = None) -> FactSpec:
     """One row per charge. ``incident_key`` is the history's column that points to the incident.
 
     No integrity is enforced: a charge may arrive before its incident. See ``orphan_rows``.
@@ -132,8 +141,9 @@ class Prepared:
 
 def newest_ceiling(wh: Warehouse) -> dt.datetime | None:
     """The ceiling of the newest succeeded run, without dry runs: what the data is current to."""
+    # A run that succeeded stays so: its last event is the one that says it.
     return (
-        wh.current("load_run").filter("status = 'succeeded' and not coalesce(dry_run, false)")
+        wh.state("load_run").filter("status = 'succeeded' and not coalesce(dry_run, false)")
         .agg(F.max("watermark_to")).first()[0]
     )
 
@@ -178,7 +188,7 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
         return Prepared(spec.target_table, "nothing new", row)
 
     version = 1 if state is None else state.version + 1
-    n = spec.n_buckets if state is None else len(state.bucket_versions)
+    n = (spec.n_buckets or bucket_count(ahead.n_batch)) if state is None else len(state.bucket_versions)
     window = loaded_range(history, floor, ahead.ceiling)
     batch = rebuild(window, spec, tiebreak=True).withColumn("transformed_at", ntz(now))
     bucket = bucket_of(F.col(spec.key), n)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import socket
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,11 +15,11 @@ from tidemark.operators.audit import ERROR_LENGTH
 from tidemark.operators.windows import high_watermark
 from tidemark.plans.facts import run_transforms
 from tidemark.sources.history import (
-    append_history, land_overwrite, next_loaded_at, read_history,
+    append_history, land_overwrite, next_loaded_at, read_history, read_load_day,
 )
 from tidemark.sources.scan import scan_bounded, scan_columns, source_count, stage_text, stamp_loaded_at, ntz
 from tidemark.sources.store import Warehouse, utc_now
-from tidemark.spec import FactSpec, LOAD_DATE, LOADED_AT, TableSpec
+from tidemark.spec import FactSpec, LOADED_AT, TableSpec
 
 
 @dataclass(frozen=True)
@@ -83,11 +85,7 @@ def _land_and_append(wh: Warehouse, rows: DataFrame, spec: TableSpec, append: bo
     append_history(wh, spec.target_table, landed, [c.lower() for c in spec.columns])
     if staged == 0:
         return extracted, staged, 0
-    loaded = (
-        read_history(wh, spec.target_table)
-        .filter((F.col(LOAD_DATE) == F.lit(loaded_at.date())) & (F.col(LOADED_AT) == ntz(loaded_at)))
-        .count()
-    )
+    loaded = read_load_day(wh, spec.target_table, loaded_at.date()).filter(F.col(LOADED_AT) == ntz(loaded_at)).count()
     return extracted, staged, loaded
 
 
@@ -169,10 +167,13 @@ class Audit:
         self._run: dict = {}
         self._tables: dict[str, dict] = {}
         self._seq = 0
+        self._lock = threading.Lock()
 
     def _append(self, name: str, rows: list[dict]) -> None:
-        self._seq += 1
-        self.wh.append_state(name, [{**r, "event_at": self.clock(), "event_seq": self._seq} for r in rows])
+        with self._lock:
+            self._seq += 1
+            seq = self._seq
+        self.wh.append_state(name, [{**r, "event_at": self.clock(), "event_seq": seq} for r in rows])
 
     def start_run(self, watermark_to: dt.datetime, trigger_source: str = "manual", dry_run: bool = False) -> str:
         self.run_id = uuid.uuid4().hex
@@ -220,37 +221,42 @@ class RunReport:
 
 def run_load(wh: Warehouse, sources: dict[str, DataFrame], specs: list[TableSpec], ceiling: dt.datetime | None = None,
              facts: list[FactSpec] = (), dry_run: bool = False, trigger_source: str = "manual",
-             clock=utc_now) -> RunReport:
+             clock=utc_now, parallel: int = 1) -> RunReport:
     """The nightly run: every table, then the transforms when no table failed.
 
     One ceiling for all tables, in whole seconds. A table that fails does not stop the others but
     keeps the facts as they were; drift fails nothing; a failed transform fails the run and leaves
-    the loads, which the next run consumes.
+    the loads, which the next run consumes. ``parallel`` loads that many tables at a time.
     """
     ceiling = ceiling or clock().replace(microsecond=0)
     audit = Audit(wh, clock)
     audit.start_run(ceiling, trigger_source, dry_run)
-    results, failures = {}, []
-    for spec in specs:
+
+    def load_one(spec: TableSpec) -> tuple[str, LoadResult | None, bool]:
+        """(table, result, failed): loads, reconciles and records one table."""
+        name = spec.source_table
         try:
             plan = load_plan(wh, spec)
-            audit.start_table(spec.source_table, plan.floor)
-            result = incremental_load(wh, sources[spec.source_table], spec, ceiling, plan, dry_run)
+            audit.start_table(name, plan.floor)
+            result = incremental_load(wh, sources[name], spec, ceiling, plan, dry_run)
         except Exception as e:  # noqa: BLE001 - recorded, and the other tables go on
-            audit.finish_table(spec.source_table, "failed", error=str(e))
-            failures.append(spec.source_table)
-            continue
-        results[spec.source_table] = result
+            audit.finish_table(name, "failed", error=str(e))
+            return name, None, True
         if result.mode == "reference-drift":
-            audit.finish_table(spec.source_table, "drift", result, (
+            audit.finish_table(name, "drift", result, (
                 f"reference table drift: {result.source_n} rows at source, {result.staged_n} landed in "
                 f"{spec.staging_table}, {spec.target_table} left unchanged"
             ))
-        elif dry_run or result.mode == "reference-ok" or result.failed_hop() == "none":
-            audit.finish_table(spec.source_table, "succeeded", result)
-        else:
-            audit.finish_table(spec.source_table, "failed", result, "counts do not reconcile")
-            failures.append(spec.source_table)
+            return name, result, False
+        sound = dry_run or result.mode == "reference-ok" or result.failed_hop() == "none"
+        audit.finish_table(name, "succeeded" if sound else "failed", result,
+                           None if sound else "counts do not reconcile")
+        return name, result, not sound
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        outcomes = list(pool.map(load_one, specs))
+    results = {name: result for name, result, _ in outcomes if result is not None}
+    failures = [name for name, _, failed in outcomes if failed]
 
     done, error = [], None
     if failures:

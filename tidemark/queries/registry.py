@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # -- derived frames: one SQL text for both engines ----------------------------------------------
-# {ts ...} and {plus_s ...} stand for what the engines spell differently.
+# {plus_s ...} and {plus_us ...} stand for what the engines spell differently.
 
 _FRAMES = {
     # A text history of incidents: several versions per customer, unparsable and missing
@@ -82,7 +82,7 @@ _FRAMES = {
                l_linestatus AS disp_sentence,
                CASE l_linenumber % 2 WHEN 0 THEN '  ' ELSE 'x' END AS conviction,
                CASE l_suppkey % 6 WHEN 0 THEN 'two' WHEN 1 THEN NULL ELSE CAST(l_quantity AS STRING) END AS counts,
-               {plus_s 2024-01-01 00:00:00|l_partkey * 4096 + l_suppkey} AS loaded_at
+               {plus_us 2024-01-01 00:00:00|l_partkey * 4096 + l_suppkey} AS loaded_at
         FROM lineitem""",
     # Text as a loosely typed source delivers it.
     "dirty_text": """
@@ -140,17 +140,17 @@ _FRAMES = {
         FROM events""",
 }
 
-_TOKEN = re.compile(r"\{(ts|plus_s) ([^|}]*)(?:\|([^}]*))?\}")
+_TOKEN = re.compile(r"\{(plus_s|plus_us) ([^|}]*)\|([^}]*)\}")
 
 
 def _spell(text: str, spark_sql: bool) -> str:
     def one(m):
         literal = f"{'TIMESTAMP_NTZ' if spark_sql else 'TIMESTAMP'} '{m[2]}'"
-        if m[1] == "ts":
-            return literal
+        micro = m[1] == "plus_us"
         if spark_sql:
-            return f"({literal} + make_dt_interval(0, 0, 0, {m[3]}))"
-        return f"({literal} + to_seconds(CAST({m[3]} AS BIGINT)))"
+            seconds = f"CAST(({m[3]}) * 0.000001 AS DECIMAL(18,6))" if micro else m[3]
+            return f"({literal} + make_dt_interval(0, 0, 0, {seconds}))"
+        return f"({literal} + to_{'micro' if micro else ''}seconds(CAST({m[3]} AS BIGINT)))"
 
     text = _TOKEN.sub(one, text)
     return re.sub(r'"([^"]*)"', r"`\1`", text) if spark_sql else text

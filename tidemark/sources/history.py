@@ -45,6 +45,12 @@ def read_history(wh: Warehouse, target_table: str) -> DataFrame | None:
     return wh.read(target_table)
 
 
+def read_load_day(wh: Warehouse, target_table: str, day: dt.date) -> DataFrame:
+    """One load date of a history, without listing the others."""
+    root = wh.path(target_table)
+    return wh.spark.read.option("basePath", root).parquet(f"{root}/{LOAD_DATE}={day.isoformat()}")
+
+
 def loaded_range(history: DataFrame, floor: dt.datetime | None, ceiling: dt.datetime | None) -> DataFrame:
     """floor < loaded_at <= ceiling, with the matching bounds on the partition column."""
     days = LOAD_DATE in history.columns
@@ -59,21 +65,20 @@ def loaded_range(history: DataFrame, floor: dt.datetime | None, ceiling: dt.date
     return history
 
 
-def newest_loaded_at(wh: Warehouse, target_table: str) -> dt.datetime | None:
-    """The last load stamp in the history. Looks only at the newest load date."""
-    history = wh.read(target_table)
-    if history is None:
-        return None
-    day = history.agg(F.max(LOAD_DATE)).first()[0]
-    if day is None:
-        return None
-    return history.filter(F.col(LOAD_DATE) == F.lit(day)).agg(F.max(LOADED_AT)).first()[0]
-
-
 def next_loaded_at(wh: Warehouse, target_table: str, now: dt.datetime) -> dt.datetime:
-    """A load stamp above every earlier one, so that two batches never share it."""
-    last = newest_loaded_at(wh, target_table)
-    return now if last is None or now > last else last + dt.timedelta(microseconds=1)
+    """Reserve a load stamp above every earlier one, so that two batches never share it.
+
+    The last stamp comes from a state row; a history that was filled without one is looked at once.
+    """
+    row = wh.state_row("load_stamp", target_table=target_table)
+    if row is not None:
+        last = row.loaded_at
+    else:
+        history = read_history(wh, target_table)
+        last = None if history is None else history.agg(F.max(LOADED_AT)).first()[0]
+    stamp = now if last is None or now > last else last + dt.timedelta(microseconds=1)
+    wh.append_state("load_stamp", [{"target_table": target_table, "loaded_at": stamp}])
+    return stamp
 
 
 def seed_history(wh: Warehouse, copy: DataFrame, latest_profile: DataFrame, target_table: str,

@@ -44,6 +44,7 @@ STATE_SCHEMAS = {
     "extract_watermark": _schema(
         source_table=_S, target_table=_S, last_watermark=_NTZ, updated_at=_NTZ,
     ),
+    "load_stamp": _schema(target_table=_S, loaded_at=_NTZ),
     "transform_watermark": _schema(
         target_table=_S, source_table=_S, last_loaded_at=_NTZ, source_as_at=_NTZ, updated_at=_NTZ,
         version=_L, bucket_versions=T.ArrayType(_L), n_batch=_L, n_nokey=_L, n_written=_L,
@@ -69,6 +70,7 @@ CURRENT_BY = {
     "load_run": (["run_id"], ["event_at", "event_seq"]),
     "load_table_run": (["run_id", "source_table"], ["event_at", "event_seq"]),
     "extract_watermark": (["source_table"], ["updated_at"]),
+    "load_stamp": (["target_table"], ["loaded_at"]),
     "transform_watermark": (["target_table"], ["version"]),
 }
 
@@ -86,6 +88,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return tempfile.mkdtemp(prefix=f"{purpose}-")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -98,11 +106,13 @@ class Warehouse:
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
         """The table, or None when nothing has been written to it."""
+        if not path_exists(self.spark, self.path(table)):
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
             return reader.parquet(self.path(table))
         except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
                 return None
             raise
 
@@ -125,12 +135,9 @@ class Warehouse:
     def state(self, name: str) -> DataFrame:
         """All rows of a state table."""
         schema = STATE_SCHEMAS[name]
-        try:
-            return self.spark.read.schema(schema).parquet(self._state_path(name))
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], schema)
-            raise
+        if not path_exists(self.spark, self._state_path(name)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._state_path(name))
 
     def current(self, name: str) -> DataFrame:
         """The newest row per key of a state table."""
@@ -142,6 +149,9 @@ class Warehouse:
         )
 
     def state_row(self, name: str, **key):
+        """The newest row of one key, or None."""
+        if not path_exists(self.spark, self._state_path(name)):
+            return None
         df = self.state(name)
         for column, value in key.items():
             df = df.filter(F.col(column) == value)

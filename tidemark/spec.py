@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 LOADED_AT = "loaded_at"
 LOAD_DATE = "load_date"
@@ -55,7 +55,7 @@ class FactSpec:
 
     ``fields`` is the whole projection, key first. ``key`` and ``modified`` name target columns.
     ``n_buckets`` is the number of key-hash buckets of the stored snapshot: an upsert rewrites only
-    the buckets its batch touches, so size it for a few hundred megabytes per bucket.
+    the buckets its batch touches. None takes it from the size of the first batch.
     """
 
     target_table: str
@@ -63,7 +63,7 @@ class FactSpec:
     key: str
     modified: str
     fields: tuple[Field, ...]
-    n_buckets: int = field(default=8)
+    n_buckets: int | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(self.fields))
