@@ -94,6 +94,31 @@ def test_one_file_per_bucket(wh):
     assert len(wh.read_fact(SPEC).inputFiles()) == 4
 
 
+def test_scattered_buckets_are_gathered_again(wh, monkeypatch):
+    monkeypatch.setattr(plan, "MAX_FILES_PER_BUCKET", 1)
+    files = []
+    for i in range(4):
+        add(wh, [(f"k{j}", f"2024-01-0{i + 1}", str(i), ts(f"2024-02-0{i + 1}")) for j in range(i, 40 + i)])
+        plan.transform(wh, SPEC)
+        files.append(len(wh.read_fact(SPEC).inputFiles()))
+    assert files[0] == 4 and files[1] > 4 and files[2] == 4
+    assert len(fact(wh)) == 43 and fact(wh)["k3"].amount == 3 and fact(wh)["k0"].amount == 0
+
+
+def test_expired_versions_are_deleted(wh):
+    for i in range(3):
+        add(wh, [("k7", f"2024-01-0{i + 1}", str(i), ts(f"2024-02-0{i + 1}"))] + [(f"x{j}", "2024-01-01", "1", L1) for j in range(20) if i == 0])
+        plan.transform(wh, SPEC)
+    assert len(wh.expire_versions(SPEC, keep=3)) == 0
+    gone = wh.expire_versions(SPEC, keep=1)
+    assert len(gone) == 2 and len({g.split("/")[1] for g in gone}) == 1
+    assert len(fact(wh)) == 21 and fact(wh)["k7"].amount == 2
+
+
+def test_bucket_count():
+    assert plan.bucket_count(0) == 8 and plan.bucket_count(100_000_000) == 50 and plan.bucket_count(10**15) == 100_000
+
+
 def test_uncommitted_version_is_invisible_and_redone(wh):
     add(wh, [("a", "2024-01-02", "1", L1)])
     plan.transform(wh, SPEC)

@@ -75,6 +75,10 @@ def test_reference_table(spark, wh):
     assert (drift.mode, counts(drift)) == ("reference-drift", (20, 20, 20, 0))
     assert wh.read("stg.codes").count() == 25 and wh.read("lnd.codes").count() == 20
     assert plan.reference_load(wh, codes(21), CODES, dry_run=True).extracted_n == 0
+    edited = codes(25).withColumn("code", F.when(F.col("code") == "c3", "c99").otherwise(F.col("code")))
+    assert plan.reference_load(wh, edited, CODES).mode == "reference-ok"
+    assert plan.reference_load(wh, edited, CODES, compare_content=True).mode == "reference-drift"
+    assert plan.reference_load(wh, codes(25).repartition(5), CODES, compare_content=True).mode == "reference-ok"
 
 
 def test_nightly_run(spark, wh):
@@ -85,7 +89,7 @@ def test_nightly_run(spark, wh):
     assert wh.fact_state("rep.items").source_as_at == ts("2024-02-01")
 
     sources = {"ITEMS": items(spark, 9), "CODES": spark.range(4).selectExpr("string(id) as code")}
-    two = plan.run_load(wh, sources, [ITEMS, CODES], ts("2024-02-02"), [FACT])
+    two = plan.run_load(wh, sources, [ITEMS, CODES], ts("2024-02-02"), [FACT], parallel=2, log_parse_errors=True)
     assert two.status == "succeeded" and wh.read_fact(FACT).count() == 9  # drift does not fail a run
     exceptions = load_exceptions(wh.current("load_run"), wh.current("load_table_run")).collect()
     assert [(r.source_table, r.status) for r in exceptions] == [("CODES", "drift")]

@@ -31,6 +31,10 @@ BROADCAST_BATCH_BYTES = 64 << 20
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
 
+# Merging without a shuffle adds a file to each touched bucket. Beyond this many files per bucket
+# the shuffled merge is taken once, which writes one file per bucket again.
+MAX_FILES_PER_BUCKET = 8
+
 
 def bucket_count(n_rows: int) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
@@ -137,6 +141,8 @@ class Prepared:
     outcome: str  # transformed, nothing new, skipped
     row: dict | None = None
     counts: dict | None = None
+    floor: dt.datetime | None = None
+    ceiling: dt.datetime | None = None
 
 
 def newest_ceiling(wh: Warehouse) -> dt.datetime | None:
@@ -206,7 +212,8 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
         staged = wh.spark.read.schema(batch.schema).parquet(staged_path)
         touched = [r.b for r in staged.select(bucket.alias("b")).distinct().collect()]  # at most n
         existing = wh.read_fact(spec, touched, state)
-        small = (size.get["bytes"] or 0) <= broadcast_bytes
+        scattered = existing is not None and len(existing.inputFiles()) > MAX_FILES_PER_BUCKET * len(touched)
+        small = (size.get["bytes"] or 0) <= broadcast_bytes and not scattered
         if not small:
             staged = staged.repartition(n, spec.key)
             existing = existing if existing is None else existing.repartition(n, spec.key)
@@ -228,7 +235,7 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
         "n_written": done["insert"] + done["update"],
         "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None,
     }
-    return Prepared(spec.target_table, "transformed", row, done)
+    return Prepared(spec.target_table, "transformed", row, done, floor, ahead.ceiling)
 
 
 def _written_buckets(wh: Warehouse, spec: FactSpec, version: int) -> set[int]:

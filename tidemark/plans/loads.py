@@ -12,12 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.audit import ERROR_LENGTH
+from tidemark.operators.quality import content_hash
 from tidemark.operators.windows import high_watermark
-from tidemark.plans.facts import run_transforms
+from tidemark.plans.facts import record_parse_errors, run_transforms
 from tidemark.sources.history import (
     append_history, land_overwrite, next_loaded_at, read_history, read_load_day,
 )
-from tidemark.sources.scan import scan_bounded, scan_columns, source_count, stage_text, stamp_loaded_at, ntz
+from tidemark.sources.scan import ident, scan_bounded, scan_columns, source_count, stage_text, stamp_loaded_at, ntz
 from tidemark.sources.store import Warehouse, utc_now
 from tidemark.spec import FactSpec, LOADED_AT, TableSpec
 
@@ -141,17 +142,22 @@ def reference_pull(wh: Warehouse, source: DataFrame, spec: TableSpec, source_n:
 
 
 def reference_load(wh: Warehouse, source: DataFrame, spec: TableSpec, dry_run: bool = False,
-                   loaded_at: dt.datetime | None = None) -> LoadResult:
+                   loaded_at: dt.datetime | None = None, compare_content: bool = False) -> LoadResult:
     """A table without a watermark: compare counts, seed an empty history, report a difference.
 
-    A difference lands the table for inspection and leaves the history unchanged.
+    A difference lands the table for inspection and leaves the history unchanged. A count cannot
+    see an edit in place; ``compare_content`` reads both sides and can.
     """
     history = read_history(wh, spec.target_table)
     staged_n = 0 if history is None else history.count()
     source_n = source_count(source).first()[0]
     if staged_n == 0:
         return reference_pull(wh, source, spec, source_n, True, dry_run, loaded_at)
-    if source_n == staged_n:
+    same = source_n == staged_n
+    if same and compare_content:
+        text = stage_text(scan_columns(source, spec.columns))
+        same = content_hash(text).first() == content_hash(history.select(*[ident(c) for c in text.columns])).first()
+    if same:
         return LoadResult(source_n, 0, 0, 0, False, "reference-ok")
     return reference_pull(wh, source, spec, source_n, False, dry_run, loaded_at)
 
@@ -221,12 +227,13 @@ class RunReport:
 
 def run_load(wh: Warehouse, sources: dict[str, DataFrame], specs: list[TableSpec], ceiling: dt.datetime | None = None,
              facts: list[FactSpec] = (), dry_run: bool = False, trigger_source: str = "manual",
-             clock=utc_now, parallel: int = 1) -> RunReport:
+             clock=utc_now, parallel: int = 1, log_parse_errors: bool = False) -> RunReport:
     """The nightly run: every table, then the transforms when no table failed.
 
     One ceiling for all tables, in whole seconds. A table that fails does not stop the others but
     keeps the facts as they were; drift fails nothing; a failed transform fails the run and leaves
     the loads, which the next run consumes. ``parallel`` loads that many tables at a time.
+    ``log_parse_errors`` records the values of the consumed rows that a guarded cast refused.
     """
     ceiling = ceiling or clock().replace(microsecond=0)
     audit = Audit(wh, clock)
@@ -264,6 +271,9 @@ def run_load(wh: Warehouse, sources: dict[str, DataFrame], specs: list[TableSpec
     elif not dry_run and facts:
         try:
             done = run_transforms(wh, list(facts), source_as_at=ceiling)
+            for spec, p in zip(facts, done):
+                if log_parse_errors and p.outcome == "transformed":
+                    record_parse_errors(wh, spec, audit.run_id, p.floor, p.ceiling)
         except Exception as e:  # noqa: BLE001
             error = f"loaded, but transform failed: {e}"
     status = "succeeded" if error is None else "failed"

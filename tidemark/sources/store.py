@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import threading
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -90,14 +91,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked of the file system it is on."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = path_of(spark, path)
+    return fs.exists(p)
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._state_lock = threading.Lock()
 
     def path(self, table: str) -> str:
         """'stg.orders' -> <root>/stg/orders"""
@@ -130,7 +132,9 @@ class Warehouse:
             df = self.spark.createDataFrame(
                 [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema
             ).coalesce(1)
-        df.write.mode("append").parquet(self._state_path(name))
+        # Two writers of one folder would remove each other's temporary files.
+        with self._state_lock:
+            df.write.mode("append").parquet(self._state_path(name))
 
     def state(self, name: str) -> DataFrame:
         """All rows of a state table."""
@@ -178,6 +182,32 @@ class Warehouse:
             return None
         return self.spark.read.option("basePath", root).parquet(*paths).drop("v", "bucket")
 
+    def expire_versions(self, spec: FactSpec, keep: int = 2) -> list[str]:
+        """Delete bucket folders that none of the newest ``keep`` commits names; returns them.
+
+        Readers of an older commit lose their files, so keep as many as reads may lag behind.
+        Versions above the newest commit belong to a running transform and stay.
+        """
+        states = (
+            self.state("transform_watermark").filter(F.col("target_table") == spec.target_table)
+            .orderBy(F.col("version").desc()).limit(keep).collect()
+        )
+        used = {(v, b) for s in states for b, v in enumerate(s.bucket_versions)}
+        expired = []
+        root = self.path(spec.target_table)
+        for version in range(1, states[0].version + 1 if states else 1):
+            folder, fs = path_of(self.spark, f"{root}/v={version}")
+            if not fs.exists(folder):
+                continue
+            for entry in fs.listStatus(folder):
+                name = entry.getPath().getName()
+                if name.startswith("bucket=") and (version, int(name[7:])) not in used:
+                    fs.delete(entry.getPath(), True)
+                    expired.append(f"v={version}/{name}")
+            staged, _ = path_of(self.spark, f"{root}_batch/v={version}")
+            fs.delete(staged, True)
+        return expired
+
     def write_fact(self, df: DataFrame, spec: FactSpec, version: int) -> None:
         """Write one version. An unfinished version of the same number is replaced."""
         (
@@ -186,6 +216,11 @@ class Warehouse:
         )
 
 
+def path_of(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def bucket_of(key, n_buckets: int):
     """Same hash as Spark's own hash partitioning: repartition(n_buckets, key) puts every bucket
     into one task, and that task writes one file per bucket."""
