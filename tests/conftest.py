@@ -15,7 +15,7 @@ from tidemark.sources.store import Warehouse  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     builder = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
-    for k, v in {**recommended_conf(), "spark.sql.shuffle.partitions": "4"}.items():
+    for k, v in {**recommended_conf(), "spark.sql.shuffle.partitions": "2"}.items():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -107,6 +107,16 @@ def test_orphans_and_duplicates(spark):
     assert [tuple(r) for r in q.duplicate_keys(rows, ["k", "t"]).collect()] == [("a", 1, 2)]
 
 
+def test_orphans_are_counted_per_key_before_the_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = q.orphan_keys(spark.range(9).selectExpr("id % 3 as fk"), "fk", spark.range(2).selectExpr("id as pk"), "pk")
+        plan = keys._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("HashAggregate") and [tuple(r) for r in keys.collect()] == [(2, 3)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_reference_diff_treats_nulls_as_equal_and_skips_loaded_at(spark):
     landed = spark.createDataFrame([("1", None, NOW), ("2", "b", NOW), ("2", "b", NOW)], "id string, v string, loaded_at timestamp_ntz")
     history = spark.createDataFrame([("1", None, ts("2024-01-01")), ("3", "c", NOW)], "id string, v string, loaded_at timestamp_ntz")
@@ -119,6 +129,8 @@ def test_reference_check_and_hash(spark):
     assert mode(r, r.limit(0)) == "reference-seed" and mode(r, r) == "reference-ok" and mode(r, r.limit(20)) == "reference-drift"
     pairs = spark.createDataFrame([("a",), ("a",)], "v string"), spark.createDataFrame([("b",), ("b",)], "v string")
     assert q.content_hash(pairs[0]).first() != q.content_hash(pairs[1]).first()
+    swapped = [spark.createDataFrame([r], "a string, b string") for r in (("x", None), (None, "x"))]
+    assert q.content_hash(swapped[0]).first() != q.content_hash(swapped[1]).first()
     assert tuple(q.parity_check(r, r.limit(3)).first()) == (25, 3, False)
 
 

@@ -55,6 +55,12 @@ def clean_name(c: str | Column) -> Column:
     return F.regexp_replace(initcap(c), CONTROL_CHARACTERS, "")
 
 
+def row_hash(*columns: str | Column) -> Column:
+    """A hash of a row. The hash function skips NULLs, so where they are is hashed as well."""
+    cols = [_col(c) for c in columns]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
 def collapse_spaces(c: str | Column) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.casts import clock_text, set_flag, try_date, try_numeric, try_ts
+from tidemark.functions.text import row_hash
 from tidemark.sources.scan import ident
 from tidemark.spec import FactSpec, LOADED_AT
 
@@ -135,7 +136,7 @@ def content_hash(df: DataFrame) -> DataFrame:
     """Row count and an order-free hash of the content, to catch an edit in place that a count
     cannot see. Row order and column order do not matter."""
     columns = sorted(c for c in df.columns if c != LOADED_AT)
-    row = F.xxhash64(*[ident(c) for c in columns])
+    row = row_hash(*[ident(c) for c in columns])
     return df.agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("hash_xor"),
         F.sum(row.cast("decimal(28,0)")).alias("hash_sum"),

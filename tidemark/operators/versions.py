@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidemark.functions.text import row_hash
 from tidemark.spec import LOADED_AT
 
 
@@ -20,7 +21,7 @@ def latest_version(df: DataFrame, key, modified: str | Column, loaded_at: str |
     loaded = F.col(loaded_at) if isinstance(loaded_at, str) else loaded_at
     order = [mod.desc_nulls_last(), loaded.desc_nulls_last()]
     if tiebreak:
-        order.append(F.xxhash64(*tiebreak).desc())
+        order.append(row_hash(*tiebreak).desc())
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 

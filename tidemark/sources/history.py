@@ -103,8 +103,15 @@ def seed_history(wh: Warehouse, copy: DataFrame, latest_profile: DataFrame, targ
     rows = stage_text(copy.select(*[ident(c) for c in kept], *([LOADED_AT] if loaded_at is None else [])))
     if loaded_at is not None:
         rows = rows.withColumn(LOADED_AT, ntz(loaded_at))
-    append_history(wh, target_table, rows, kept)
-    n_copy, n_history = copy.count(), read_history(wh, target_table).count()
+    # Through landing, so that a disagreement is found before the history is touched.
+    landing = f"lnd.{target_table.split('.')[-1]}"
+    land_overwrite(wh, landing, rows)
+    landed = wh.spark.read.schema(rows.schema).parquet(wh.path(landing))
+    n_copy, n_landed = copy.count(), landed.count()
+    if n_copy != n_landed:
+        raise ValueError(f"{target_table}: row counts disagree, copy {n_copy}, landed {n_landed}")
+    append_history(wh, target_table, landed, kept)
+    n_history = read_history(wh, target_table).count()
     if n_copy != n_history:
         raise ValueError(f"{target_table}: row counts disagree, copy {n_copy}, history {n_history}")
     return n_history
