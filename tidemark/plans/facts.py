@@ -185,11 +185,11 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
         F.max(LOADED_AT).alias("ceiling"), F.count(F.lit(1)).alias("n_batch"),
         F.count_if(ident(spec.source_key).isNull()).alias("n_nokey"),
     ).first()
-    as_at = source_as_at or newest_ceiling(wh)
     if ahead.ceiling is None:
         row = None
         if advance_as_at and state is not None:
-            row = {**state.asDict(), "version": state.version + 1, "source_as_at": as_at,
+            row = {**state.asDict(), "version": state.version + 1,
+                   "source_as_at": source_as_at or newest_ceiling(wh),
                    "updated_at": now, "n_batch": 0, "n_nokey": 0, "n_written": 0}
         return Prepared(spec.target_table, "nothing new", row)
 
@@ -230,7 +230,7 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
     row = {
         "target_table": spec.target_table, "source_table": spec.source_table,
         "last_loaded_at": max(filter(None, [ahead.ceiling, state and state.last_loaded_at])),
-        "source_as_at": as_at, "updated_at": now, "version": version, "bucket_versions": versions,
+        "source_as_at": source_as_at or newest_ceiling(wh), "updated_at": now, "version": version, "bucket_versions": versions,
         "n_batch": ahead.n_batch, "n_nokey": ahead.n_nokey,
         "n_written": done["insert"] + done["update"],
         "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None,

@@ -23,8 +23,9 @@ _LATEST = f"""(WITH p AS (SELECT * FROM {_PROBES}) SELECT * FROM p
     WHERE probed_at = (SELECT max(x.probed_at) FROM p x WHERE x.source_table = p.source_table))"""
 
 
-def _probes(spark, sf):
-    c = ops.probe_classify(frame(spark, sf, "probe_log"))
+def _probes(log):
+    """Attempts with their verdicts, in the shape of the probe table."""
+    c = ops.probe_classify(log)
     ok = F.col("readable")
     return c.select(
         "source_table",
@@ -35,6 +36,11 @@ def _probes(spark, sf):
     )
 
 
+def _latest_probes(spark, sf):
+    """The newest attempts first, then their messages: only rows that stay are classified."""
+    return _probes(ops.probe_latest(frame(spark, sf, "probe_log")))
+
+
 @query(f"SELECT event_id, source_table, sqlstate, message, status, native_error FROM {_CLASSIFIED}")
 def probe_classify(spark, sf):
     return ops.probe_classify(frame(spark, sf, "probe_log")).select(
@@ -44,22 +50,22 @@ def probe_classify(spark, sf):
 
 @query(f"SELECT * FROM {_LATEST}")
 def probe_latest(spark, sf):
-    return ops.probe_latest(_probes(spark, sf))
+    return _latest_probes(spark, sf)
 
 
 @query(f"SELECT source_table, column_count, has_rows, elapsed_ms, probed_at FROM {_LATEST} WHERE readable")
 def readable_tables(spark, sf):
-    return ops.readable_tables(ops.probe_latest(_probes(spark, sf)))
+    return ops.readable_tables(_latest_probes(spark, sf))
 
 
 @query(f"SELECT source_table, status, native_error, message, probed_at FROM {_LATEST} WHERE NOT readable")
 def unreadable_tables(spark, sf):
-    return ops.unreadable_tables(ops.probe_latest(_probes(spark, sf)))
+    return ops.unreadable_tables(_latest_probes(spark, sf))
 
 
 @query(f"SELECT status, count(*) AS n FROM {_PROBES} GROUP BY status")
 def probe_tally(spark, sf):
-    return ops.probe_tally(_probes(spark, sf))
+    return ops.probe_tally(_probes(frame(spark, sf, "probe_log")))
 
 
 @query("SELECT p_partkey, p_name AS table_name FROM part WHERE regexp_matches(p_name, '(?i)E.*_.I'.replace('_', '.'))")
@@ -71,5 +77,5 @@ def catalog_like(spark, sf):
 @query(f"SELECT * REPLACE (TIMESTAMP '2024-06-01' AS probed_at) FROM {_PROBES}")
 def record_probe(spark, sf):
     wh = Warehouse(spark, shared_folder(spark, "record-probe"))
-    ops.record_probe(wh, _probes(spark, sf), at("2024-06-01"))
+    ops.record_probe(wh, _probes(frame(spark, sf, "probe_log")), at("2024-06-01"))
     return wh.state("table_probe")
