@@ -47,6 +47,8 @@ def test_spec_refuses_unknown_names():
         FactSpec("t", "s", "missing", "m", (Field("m", "m"),))
     with pytest.raises(ValueError):
         Field("a", "a", "integer")
+    with pytest.raises(ValueError, match="reserved"):
+        FactSpec("t", "s", "k", "m", (Field("k", "k"), Field("m", "m"), Field("bucket", "b")))
 
 
 @pytest.mark.parametrize("broadcast_bytes", [1 << 20, -1])

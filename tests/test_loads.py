@@ -25,6 +25,9 @@ def counts(r):
 def test_spec_defaults():
     assert ITEMS.staging_table == "lnd.items" and not ITEMS.is_reference
     assert TableSpec("A", "stg.a", ("x",), watermark_column="").is_reference
+    for columns, watermark in ((("x", "X"), None), (("x", "loaded_at"), None), (("x",), "y")):
+        with pytest.raises(ValueError):
+            TableSpec("A", "stg.a", columns, watermark_column=watermark)
 
 
 def test_unbounded_then_bounded_then_nothing(spark, wh):

@@ -7,6 +7,18 @@ from dataclasses import dataclass
 LOADED_AT = "loaded_at"
 LOAD_DATE = "load_date"
 
+# Columns the warehouse adds itself.
+HISTORY_COLUMNS = {LOADED_AT, LOAD_DATE}
+FACT_COLUMNS = {LOADED_AT, "transformed_at", "v", "bucket", "action"}
+
+
+def _check_names(names, reserved) -> None:
+    """Refuse names that collide in lower case or with the warehouse's own columns."""
+    folded = [n.lower() for n in names]
+    bad = {n for n in folded if folded.count(n) > 1} | (set(folded) & reserved)
+    if bad:
+        raise ValueError(f"repeated or reserved column names: {', '.join(sorted(bad))}")
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -26,6 +38,9 @@ class TableSpec:
     def __post_init__(self):
         object.__setattr__(self, "columns", tuple(self.columns))
         object.__setattr__(self, "watermark_column", self.watermark_column or None)
+        _check_names(self.columns, HISTORY_COLUMNS)
+        if self.watermark_column and self.watermark_column.lower() not in {c.lower() for c in self.columns}:
+            raise ValueError(f"{self.source_table}: the watermark {self.watermark_column!r} is not among its columns")
         if not self.staging_table:
             object.__setattr__(self, "staging_table", "lnd." + self.target_table.split(".")[-1])
 
@@ -67,6 +82,7 @@ class FactSpec:
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(self.fields))
+        _check_names([f.target for f in self.fields], FACT_COLUMNS)
         for name in (self.key, self.modified):
             self.field_of(name)
 
