@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.minhash import near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +34,8 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        doc_id = first_value(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 """
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
