@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import decode, encode, read_vocabulary
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.minhash import near_dedup
 
@@ -39,3 +42,14 @@ FROM n WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 @query
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(encode(docs, vocabulary).drop("text"), vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
