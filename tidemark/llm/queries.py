@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import decode, encode, read_vocabulary
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = train(docs.filter(~held_out))
+    return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
