@@ -12,6 +12,7 @@ from tidemark.llm.bpe import decode, encode, read_vocabulary
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
+from tidemark.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     model = train(docs.filter(~held_out))
     return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op1_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+m AS (SELECT win, min(doc_id) AS first FROM g GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN m USING (win) WHERE first < doc_id),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT doc_id, count(*) AS kept, string_agg(word, ' ' ORDER BY i) AS t FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
