@@ -25,8 +25,8 @@ COORDS, BAND = 128, 4
 WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Rounds in which every bucket tries one member as the centre of all others; what they leave is tried pair by pair.
-STAR_ROUNDS = 3
+#: Cells in which shingles are counted to find an order, rarest first.
+CELLS = 1 << 20
 
 _SEEDS = mix64(np.arange(1, 2 * COORDS + 1, dtype=np.uint64))
 _BAND_SEEDS = mix64(np.arange(7001, 7001 + COORDS, dtype=np.uint64)) | np.uint64(1)
@@ -90,6 +90,59 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
+def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for a, b in slices(batch["text"]):
+            for s in shingle_sets(batch["text"].slice(a, b - a), WIDTH):
+                np.add.at(total, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
+    cells = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+
+
+def _prefixes(levels: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of each set, as many as a partner must share one of, with their places in the order."""
+    for batch in batches:
+        for a, b in slices(batch["text"]):
+            out = []
+            for s in shingle_sets(batch["text"].slice(a, b - a), WIDTH):
+                n = len(s)
+                keep = s[np.lexsort((s, levels[(s & np.uint64(CELLS - 1)).astype(np.int64)]))][: n - (PERCENT * n + 99) // 100 + 1]
+                out.append((keep.view(np.int64), n))
+            sizes = np.array([len(k) for k, _ in out])
+            row = np.repeat(np.arange(a, b), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["id"].take(pa.array(row)), batch["label"].take(pa.array(row)), pa.array(np.repeat([n for _, n in out], sizes), pa.int64()),
+                    pa.array(np.concatenate([k for k, _ in out])), pa.array(np.concatenate([np.arange(x) for x in sizes])),
+                ],
+                ["id", "label", "n", "shingle", "pos"],
+            )
+
+
+def _candidates(left: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different labels among `left` (id, label, text) that may be similar enough; none is missed.
+
+    In one order of all shingles, rarest first, two sets that reach the similarity share one of their first few, and from
+    the first they share on enough must be left of both. A copy with many changes starts with shingles nobody shares.
+    """
+    cells = left.select("text").mapInArrow(_count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n"))
+    counts = np.zeros(CELLS)
+    for cell, n in cells.toLocalIterator():
+        counts[cell] = n
+    levels = left.sparkSession.sparkContext.broadcast(np.log2(np.maximum(counts, 1)).astype(np.uint8))
+    rows = scratch.table(left.mapInArrow(lambda it: _prefixes(levels.value, it), "id long, label long, n long, shingle long, pos long"))
+    frequent = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
+    rows = scratch.table(rows.join(frequent, "shingle"))
+    whole = 100 + PERCENT
+    x = rows.toDF("shingle", "a", "la", "na", "pa")
+    y = rows.filter(f"pos < n - ({2 * PERCENT} * n + {whole - 1}) div {whole} + 1").toDF("shingle", "b", "lb", "nb", "pb")
+    pairs = x.join(y, "shingle").filter(
+        f"la <> lb AND (nb < na OR nb = na AND b < a) AND 100 * nb >= {PERCENT} * na AND {whole} * least(na - pa, nb - pb) >= {PERCENT} * (na + nb)"
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
@@ -98,67 +151,46 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     doc_id that links reach. Null texts and texts without words have an empty set and stay alone. Rows that share a
     doc_id are one vertex. Rows with a null doc_id are left as they are: no component, kept. Other columns are ignored.
 
-    Equal sets are one class from the start. Classes that share a band form a bucket. In each of a few rounds the
-    first member of a bucket is compared with all others that no link has joined to it yet, so a bucket of n copies costs n
-    comparisons, not n squared; then all pairs that share a bucket, lie in different components and were not compared
-    are compared. Candidates are only dropped when they are known to be connected or their sizes rule a link out.
+    Equal sets are one class from the start. Classes that share a band form a bucket. First every member of a bucket is
+    compared with the bucket's first document: a bucket of n copies costs n comparisons. Where a bucket then still spans
+    several components, its members go on to a second pass that compares, across components, exactly the pairs whose
+    rarest shingles leave a link possible (prefix and position filter); nothing is capped and no link is lost.
     """
     scratch = Scratch(docs.sparkSession, "near-dedup")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = scratch.table(texts.mapInArrow(_sketches, "id long, n long, set binary, bands array<long>"))
     full = sets.filter("n > 0 AND id IS NOT NULL")
-    firsts = full.groupBy("set", "n", "bands").agg(F.min("id").alias("id"))
-    classes = scratch.table(firsts)  # a class goes by its first document
+    classes = scratch.table(full.groupBy("set", "n", "bands").agg(F.min("id").alias("id")))  # a class goes by its first document
 
     members = classes.select("id", "n", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
-    members = scratch.table(members.join(buckets, "key").distinct())
-    nodes = scratch.table(members.select("id").distinct())
-    node_texts = scratch.table(texts.join(nodes, "id", "left_semi"))
-
-    same_id = full.groupBy("id").agg(F.count_distinct("set").alias("sets")).filter("sets > 1").select("id")
-    links = scratch.table(
-        full.join(same_id, "id").join(classes.select("set", F.col("id").alias("b")), "set").select(F.col("id").alias("a"), "b")
-    )
-    roots, tried = None, None
-    for round_ in range(STAR_ROUNDS + 1):
-        labelled = members.withColumn("label", F.col("id"))
-        if not is_empty(links):
-            roots = components(links, scratch)
-            labelled = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("root", "id"))
-        labelled = scratch.table(labelled.select("key", "id", "n", "label"))
-        mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        if round_ < STAR_ROUNDS:  # the centre is the first member of the lowest component, or of the highest in every other round
-            end = "low" if round_ % 2 == 0 else "high"
-            firsts = labelled.groupBy("key", "label").agg(F.min("id").alias("a"))
-            centres = mixed.join(firsts, (mixed["key"] == firsts["key"]) & (mixed[end] == firsts["label"])).select(mixed["key"], "a", F.col(end).alias("la"))
-            sizes = members.select("key", F.col("id").alias("a"), F.col("n").alias("na"))
-            left = centres.join(sizes, ["key", "a"])
-        else:  # pairs of components first, so that members of one component never meet
-            labels = labelled.join(mixed, "key", "left_semi").groupBy("key", "label").agg(F.count("*").alias("size"))
-            la, lb = labels.select("key", F.col("label").alias("la")), labels.select("key", F.col("label").alias("lb"))
-            left = la.join(lb, "key").filter("la < lb").join(
-                labelled.select("key", F.col("label").alias("la"), F.col("id").alias("a"), F.col("n").alias("na")), ["key", "la"]
-            )
-        right = labelled.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        pairs = left.join(right, "key" if round_ < STAR_ROUNDS else ["key", "lb"]).filter(
-            (F.col("la") != F.col("lb")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-        )
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = scratch.table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        if is_empty(pairs):
-            continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
+    buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a <> last").select("key", "a")
+    members = scratch.table(members.join(buckets, "key"))
+    sizes = members.filter("id = a").select("key", F.col("n").alias("na"))
+    node_texts = scratch.table(texts.join(members.select("id").distinct(), "id", "left_semi"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
         with_b = pairs.join(node_texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         with_a = with_b.join(node_texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        found = with_a.select("a", "b", "text_a", "text_b").mapInArrow(_links, "a long, b long")
-        links = scratch.table(links.unionByName(found) if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    if not is_empty(links):
+        return with_a.select("a", "b", "text_a", "text_b").mapInArrow(_links, "a long, b long")
+
+    same_id = full.groupBy("id").agg(F.min("set").alias("set"), F.max("set").alias("other")).filter("set <> other").select("id")
+    same_id = full.join(same_id, "id").join(classes.select("set", F.col("id").alias("b")), "set").select(F.col("id").alias("a"), "b")
+    star = members.join(sizes, "key").filter(f"id <> a AND 100 * least(n, na) >= {PERCENT} * greatest(n, na)")
+    links = same_id.unionByName(linked(star.select("a", F.col("id").alias("b")).distinct()))
+    roots = scratch.table(components(links, scratch))
+
+    labelled = members.select("key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    labelled = scratch.table(labelled.select("key", "id", F.coalesce("root", "id").alias("label")))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    open_ = labelled.join(mixed, "key").select("id", "label").distinct()
+    left = scratch.table(node_texts.join(open_, "id"))
+    if not is_empty(left):
+        links = linked(_candidates(left, scratch)).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links, scratch)
+
     own = sets.join(classes.select("set", F.col("id").alias("first")), "set", "left")
-    if roots is not None:
-        own = own.join(roots.withColumnRenamed("node", "first"), "first", "left").withColumn("first", F.coalesce("root", "first"))
-    component = F.coalesce("first", "id")
+    own = own.join(roots.withColumnRenamed("node", "first"), "first", "left")
+    component = F.coalesce("root", "first", "id")
     return own.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import decode, encode, read_vocabulary
+from tidemark.llm.chat import CONTROL, format_branches, loss_text, read_turns
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
@@ -82,3 +83,41 @@ k AS (SELECT doc_id, count(*) AS kept, string_agg(word, ' ' ORDER BY i) AS t FRO
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    node = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    messages = said.select(F.col("conv_id").alias("tree"), node.alias("node"), "role", "text", F.lit(0.0).alias("score"))
+    messages = messages.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))  # a conversation without branches
+    done = format_branches(messages).select("tree", "formatted", read_turns(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("lost"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("lost").cast("long").alias("loss_chars"), F.sha2("lost", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _escaped(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for c in CONTROL:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
+ORACLES["op2_chat_formatting"] = f"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+t AS (SELECT conv_id, role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS i FROM c),
+l AS (SELECT *, length({_escaped("text")}) + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 4
+             ELSE coalesce(25 + length({_escaped("role")}), 18) END AS n FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(n))::BIGINT AS formatted_chars
+FROM l GROUP BY conv_id
+"""
