@@ -13,6 +13,7 @@ from tidemark.llm.chat import CONTROL, format_branches, loss_text, read_turns
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
+from tidemark.llm.sharding import kd_shards
 from tidemark.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +122,15 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr
        (3 + sum(n))::BIGINT AS formatted_chars
 FROM l GROUP BY conv_id
 """
+
+
+@query
+def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    dimensions = {
+        "length": F.log2(F.octet_length(text) + 1), "bytes_per_character": F.octet_length(text) / F.greatest(F.char_length(text), F.lit(1)),
+        "language": F.crc32(F.coalesce(F.col("lang"), F.lit(""))),
+    }
+    return kd_shards(table(spark, sf_dir, "documents"), dimensions, leaves=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
