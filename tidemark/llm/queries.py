@@ -13,6 +13,7 @@ from tidemark.llm.chat import CONTROL, format_branches, loss_text, read_turns
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
+from tidemark.llm.mixing import BLOCK_TOKENS, count_words, draw
 from tidemark.llm.sharding import kd_shards
 from tidemark.llm.substring_dedup import remove_repeats
 
@@ -134,3 +135,43 @@ def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), dimensions, leaves=16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    budget = docs.agg(F.sum(count_words(F.col("text")))).first()[0]  # as many tokens as there are
+    return draw(docs, count_words(F.col("text")), max_repeats=2.0, budget=budget)
+
+
+def _power(exponent: str) -> str:
+    return f"list_transform(p, lambda x: x ** {exponent})"
+
+
+ORACLES["op7_temperature_mixing"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, 1 + len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n FROM documents),
+s AS (SELECT source, sum(n)::BIGINT AS held FROM d GROUP BY source),
+q AS (SELECT sum(held)::DOUBLE AS total, list(held ORDER BY source) AS h, list(held / (SELECT sum(held) FROM s) ORDER BY source) AS p, 0.95 * ln(count(*)) AS target FROM s),
+e AS (SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+      UNION ALL SELECT step + 1, CASE WHEN ok THEN (low + high) / 2 ELSE low END, CASE WHEN ok THEN high ELSE (low + high) / 2 END
+      FROM (SELECT step, low, high, -list_sum(list_transform(w, lambda x: x / list_sum(w) * ln(x / list_sum(w)))) >= target AS ok
+            FROM (SELECT step, low, high, target, {_power("((low + high) / 2)")} AS w FROM e, q)) WHERE step < 40),
+r AS (SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+      UNION ALL SELECT step + 1, CASE WHEN ok THEN (low + high) / 2 ELSE low END, CASE WHEN ok THEN high ELSE (low + high) / 2 END
+      FROM (SELECT step, low, high, list_max(list_transform(list_zip(w, h), lambda x: x[1] / list_sum(w) * total / x[2])) > 2 AS ok
+            FROM (SELECT step, low, high, h, total, {_power("((low + high) / 2)")} AS w FROM r, q)) WHERE step < 40),
+a1 AS (SELECT CASE WHEN -list_sum(list_transform(p, lambda x: x * ln(x))) >= target THEN 1.0 ELSE (SELECT round(low, 6) FROM e WHERE step = 40) END AS a FROM q),
+a AS (SELECT CASE WHEN list_max(list_transform(list_zip(w, h), lambda x: x[1] / list_sum(w) * total / x[2])) > 2 THEN (SELECT round(low, 6) FROM r WHERE step = 40) ELSE a END AS a
+      FROM (SELECT a, h, total, {_power("a")} AS w FROM a1, q)),
+b AS (SELECT source, held, floor((held / total) ** a / sum((held / total) ** a) OVER () * total + 1e-6)::BIGINT AS budget FROM s, q, a),
+plan AS (SELECT source, budget // held AS passes, budget % held AS rest, 1 + held // {BLOCK_TOKENS} AS n_blocks FROM b),
+f AS (SELECT d.*, passes, rest, ('0x' || substr(md5('mix:' || doc_id), 1, 8))::BIGINT % n_blocks AS block FROM d JOIN plan USING (source)),
+k AS (SELECT source, block, passes, rest, sum(n)::BIGINT AS bytes, unnest(range(0, passes + 1)) AS epoch FROM f GROUP BY source, block, passes, rest),
+o AS (SELECT *, row_number() OVER w - 1 AS block_place, sum(bytes) OVER w - bytes AS before FROM k
+      WINDOW w AS (PARTITION BY source, epoch ORDER BY ('0x' || substr(md5('mix:' || epoch || ':' || source || ':' || block), 1, 8))::BIGINT, block)),
+m AS (SELECT *, CASE WHEN epoch < passes THEN bytes ELSE least(bytes, rest - before) END AS room FROM o),
+z AS (SELECT doc_id, f.source, n, epoch, block_place, room, bytes, sum(n) OVER (PARTITION BY f.source, f.block, epoch
+             ORDER BY ('0x' || substr(md5('mix:' || epoch || ':' || doc_id), 1, 8))::BIGINT, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+      FROM f JOIN m ON f.source = m.source AND f.block = m.block WHERE room > 0)
+SELECT doc_id, source, n AS n_tokens, epoch::INT AS epoch, block_place::INT AS block_place FROM z WHERE room = bytes OR upto <= room
+"""
