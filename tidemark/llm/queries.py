@@ -14,8 +14,10 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import BLOCK_TOKENS, count_words, draw
+from tidemark.llm.shared import Scratch
 from tidemark.llm.sharding import kd_shards
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.warc import look_up, read_records, url_key, write_archives, write_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,7 +151,8 @@ def _power(exponent: str) -> str:
 
 
 ORACLES["op7_temperature_mixing"] = rf"""
-WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, 1 + len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, 1 + len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n FROM documents),
 s AS (SELECT source, sum(n)::BIGINT AS held FROM d GROUP BY source),
 q AS (SELECT sum(held)::DOUBLE AS total, list(held ORDER BY source) AS h, list(held / (SELECT sum(held) FROM s) ORDER BY source) AS p, 0.95 * ln(count(*)) AS target FROM s),
 e AS (SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
@@ -175,3 +178,21 @@ z AS (SELECT doc_id, f.source, n, epoch, block_place, room, bytes, sum(n) OVER (
       FROM f JOIN m ON f.source = m.source AND f.block = m.block WHERE room > 0)
 SELECT doc_id, source, n AS n_tokens, epoch::INT AS epoch, block_place::INT AS block_place FROM z WHERE room = bytes OR upto <= room
 """
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, scratch = table(spark, sf_dir, "pages"), Scratch(spark, "archives")
+    captures = scratch.table(write_archives(pages, f"{scratch.folder}/warc"))
+    parts = write_index(captures, f"{scratch.folder}/index")
+    wanted = pages.select("page_id", url_key(F.col("url")).alias("key"))
+    return read_records(look_up(wanted, parts)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS response FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM q
+"""
