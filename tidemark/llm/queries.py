@@ -14,6 +14,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import BLOCK_TOKENS, count_words, draw
+from tidemark.llm.mtree import top_k
 from tidemark.llm.shared import Scratch
 from tidemark.llm.sharding import kd_shards
 from tidemark.llm.substring_dedup import remove_repeats
@@ -196,3 +197,18 @@ SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN page
        CASE WHEN page_id <> response THEN response END AS refers_to
 FROM q
 """
+
+
+@query
+def op6_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op6_mtree_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
