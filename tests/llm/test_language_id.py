@@ -12,7 +12,7 @@ DE = "der schnelle braune fuchs springt über den faulen hund und dann läuft er
 
 def labelled(spark):
     return spark.createDataFrame(
-        [(i, EN[i % 7 :], "en", 1.0) for i in range(20)] + [(50 + i, DE[i % 7 :], "de", 1.0) for i in range(20)], "doc_id long, text string, lang string, score double"
+        [(i, EN[i % 7 :], "en", 1.0) for i in range(200)] + [(500 + i, DE[i % 7 :], "de", 1.0) for i in range(200)], "doc_id long, text string, lang string, score double"
     )
 
 

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.words import mix64, slices
 
 ORDER = 4
-#: The models are fitted on about this many labelled documents a language, whole texts, and calibrated on a quarter more.
+#: The models are fitted on about this many labelled documents a language, whole texts, and calibrated on others.
 SAMPLE = 2000
+#: A language with fewer documents to calibrate on has no limit: nothing that looks most like it is rejected.
+CALIBRATION = 20
 #: A document is rejected beyond so many standard deviations, so that hardly any document of a learned language is.
 LIMIT = 8.0
 #: Steepness of the score: the scores of two languages differ by this power of e for one nat per character.
@@ -213,7 +215,8 @@ _SCORE_SCHEMA = "lang_pred string, score double, entropy double, within double,
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """The models of every language in `labelled`; rows with a null text or language teach nothing.
 
-    A language with more than `sample` documents is thinned evenly by a hash of the id to about that many.
+    A language is thinned evenly by a hash of the id to about `sample` documents, or four in five; a quarter as many others
+    calibrate it.
     """
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna(subset=["text", "lang"])
     sizes = rows.groupBy("lang").count().collect()
@@ -222,19 +225,16 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
     enough = F.lit(0.0)
     for r in sizes:
-        enough = F.when(F.col("lang") == r.lang, F.lit(sample / r["count"])).otherwise(enough)
+        enough = F.when(F.col("lang") == r.lang, F.lit(min(sample / r["count"], 0.8))).otherwise(enough)
     counts = defaultdict(dict)
     grams = rows.filter(place < enough).mapInArrow(_count_grams, "lang string, gram string, n long")
     for r in grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[r.lang][r.gram] = r.n
     model = kneser_ney(counts)
-    # a language small enough to be used whole is calibrated on the documents it was fitted on
-    calibration = rows.filter(F.when(enough >= 1, F.lit(True)).otherwise((place >= enough) & (place < 1.25 * enough)))
-    for r in (
-        _scored(calibration.select("lang", "text"), model, "lang string").filter("lang_pred = lang").groupBy("lang")
-        .agg(F.avg("entropy"), F.var_pop("entropy"), F.avg("within")).collect()
-    ):
-        model.limits[r[0]] = (r[1], r[2], r[3])
+    calibration = rows.filter((place >= enough) & (place < 1.25 * enough)).select("lang", "text")
+    right = _scored(calibration, model, "lang string").filter("lang_pred = lang").groupBy("lang")
+    for r in right.agg(F.count("*").alias("n"), F.avg("entropy"), F.var_samp("entropy"), F.avg("within")).filter(F.col("n") >= CALIBRATION).collect():
+        model.limits[r[0]] = (r[2], r[3], r[4])
     return model
 
 
@@ -252,3 +252,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return _scored(rows, model, f"doc_id {kind}").select("doc_id", "lang_pred", "score", "entropy", "rejected")
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that the model does not reject, with their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch[text_col]], ["text"])
+            rejected = [x for scored in _scores(held.value, iter([texts])) for x in scored["rejected"].to_pylist()]
+            yield batch.filter(pa.array([not x for x in rejected], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
