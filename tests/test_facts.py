@@ -51,11 +51,10 @@ def test_spec_refuses_unknown_names():
         FactSpec("t", "s", "k", "m", (Field("k", "k"), Field("m", "m"), Field("bucket", "b")))
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 20, -1])
-def test_transform_over_three_batches(wh, broadcast_bytes):
+def test_transform_over_three_batches(wh):
     assert plan.transform(wh, SPEC).outcome == "skipped"
     add(wh, [("a", "2024-01-02", "1", L1), ("b", "2024-01-02", "1", L1), (None, "2024-01-02", "1", L1)])
-    first = plan.transform(wh, SPEC, now=NOW, source_as_at=L1, broadcast_bytes=broadcast_bytes)
+    first = plan.transform(wh, SPEC, now=NOW, source_as_at=L1)
     assert (first.row["n_batch"], first.row["n_nokey"], first.row["n_written"]) == (3, 1, 2)
 
     again = plan.transform(wh, SPEC, source_as_at=L3)
@@ -63,7 +62,7 @@ def test_transform_over_three_batches(wh, broadcast_bytes):
     assert wh.fact_state(SPEC.target_table).source_as_at == L1  # does not advance on an empty batch
 
     add(wh, [("a", "2024-01-03", "2", L2), ("a", "2024-01-04", "3", L2), ("b", "2024-01-01", "9", L2), ("c", "junk", "", L2)])
-    second = plan.transform(wh, SPEC, now=ts("2024-03-02"), source_as_at=L2, broadcast_bytes=broadcast_bytes)
+    second = plan.transform(wh, SPEC, now=ts("2024-03-02"), source_as_at=L2)
     assert second.counts["insert"] == 1 and second.counts["update"] == 1 and second.counts["stale"] == 1
     assert second.row["n_written"] == 2
     rows = fact(wh)
@@ -72,7 +71,7 @@ def test_transform_over_three_batches(wh, broadcast_bytes):
     assert (rows["a"].transformed_at, rows["b"].transformed_at) == (ts("2024-03-02"), NOW)
 
     add(wh, [("c", None, "7", L3), ("b", None, "8", L3)])
-    plan.transform(wh, SPEC, now=NOW, broadcast_bytes=broadcast_bytes)
+    plan.transform(wh, SPEC, now=NOW)
     rows = fact(wh)
     assert (rows["c"].amount, rows["b"].amount) == (7, 1)
     assert wh.fact_state(SPEC.target_table).last_loaded_at == L3
@@ -96,17 +95,6 @@ def test_one_file_per_bucket(wh):
     assert len(wh.read_fact(SPEC).inputFiles()) == 4
 
 
-def test_scattered_buckets_are_gathered_again(wh, monkeypatch):
-    monkeypatch.setattr(plan, "MAX_FILES_PER_BUCKET", 1)
-    files = []
-    for i in range(4):
-        add(wh, [(f"k{j}", f"2024-01-0{i + 1}", str(i), ts(f"2024-02-0{i + 1}")) for j in range(i, 40 + i)])
-        plan.transform(wh, SPEC)
-        files.append(len(wh.read_fact(SPEC).inputFiles()))
-    assert files[0] == 4 and files[1] > 4 and files[2] == 4
-    assert len(fact(wh)) == 43 and fact(wh)["k3"].amount == 3 and fact(wh)["k0"].amount == 0
-
-
 def test_expired_versions_are_deleted(wh):
     for i in range(3):
         add(wh, [("k7", f"2024-01-0{i + 1}", str(i), ts(f"2024-02-0{i + 1}"))] + [(f"x{j}", "2024-01-01", "1", L1) for j in range(20) if i == 0])
@@ -118,7 +106,36 @@ def test_expired_versions_are_deleted(wh):
 
 
 def test_bucket_count():
-    assert plan.bucket_count(0) == 8 and plan.bucket_count(100_000_000) == 50 and plan.bucket_count(10**15) == 100_000
+    mb = 1 << 20
+    assert plan.bucket_count(0) == 1 and plan.bucket_count(1000 * mb, 0, 10 * mb) == 100
+    assert plan.bucket_count(80 * mb, 4, 10 * mb) == 4 and plan.bucket_count(81 * mb, 4, 10 * mb) == 9
+
+
+def test_buckets_follow_the_fact(spark, wh):
+    spec = FactSpec("rep.grown", "stg.t", *[getattr(SPEC, a) for a in ("key", "modified", "fields")])
+    add(wh, [("first", "2024-01-02", "1", L1)])
+    plan.transform(wh, spec, bucket_bytes=2000)
+    assert len(wh.fact_state(spec.target_table).bucket_versions) == 1
+    add(wh, [(f"k{i}", "2024-01-02", str(i), L2) for i in range(300)])
+    plan.transform(wh, spec, bucket_bytes=2000)
+    grown = len(wh.fact_state(spec.target_table).bucket_versions)
+    assert grown > 4 and wh.read_fact(spec).count() == 301
+    add(wh, [("k7", "2024-01-03", "99", L3)])
+    plan.transform(wh, spec, bucket_bytes=2000)
+    state = wh.fact_state(spec.target_table)
+    assert len(state.bucket_versions) == grown and state.bucket_versions.count(3) == 1
+    rows = {r.pk: r for r in wh.read_fact(spec).collect()}
+    assert len(rows) == 301 and rows["k7"].amount == 99 and rows["first"].amount == 1
+    plan.rebuild_fact(wh, spec, bucket_bytes=1 << 30)
+    state = wh.fact_state(spec.target_table)
+    assert state.bucket_versions == [4] and state.last_loaded_at == L3
+    assert {r.pk: r.amount for r in wh.read_fact(spec).collect()} == {k: r.amount for k, r in rows.items()}
+
+
+def test_transform_after_a_watermark_without_a_snapshot(wh):
+    plan.advance_transform_watermark(wh, SPEC.target_table, SPEC.source_table, L1)
+    add(wh, [("a", "2024-01-02", "1", L1), ("b", "2024-01-02", "2", L2)])
+    assert plan.transform(wh, SPEC).outcome == "transformed" and set(fact(wh)) == {"b"}
 
 
 def test_uncommitted_version_is_invisible_and_redone(wh):

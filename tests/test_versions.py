@@ -27,7 +27,6 @@ def test_latest_version(spark, rows, expected):
     assert [r.v for r in got] == [expected]
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("old,new,action,v", [
     (None, D2, "insert", 9),
     ((D2,), D2, "update", 9),
@@ -37,16 +36,15 @@ def test_latest_version(spark, rows, expected):
     ((None,), D1, "update", 9),
     ((None,), None, "update", 9),
 ])
-def test_upsert_actions(spark, small, old, new, action, v):
+def test_upsert_actions(spark, old, new, action, v):
     existing = frame(spark, [("z", D1, L1, 0)] + ([("a", old[0], L1, 1)] if old else []))
-    out = upsert_latest(existing, frame(spark, [("a", new, L3, 9)]), "k", "m", small_batch=small)
+    out = upsert_latest(existing, frame(spark, [("a", new, L3, 9)]), "k", "m")
     rows = {r.k: r for r in out.collect()}
     assert (rows["a"].action, rows["a"].v) == (action, v)
     assert (rows["z"].action, rows["z"].v) == ("keep", 0)
     assert len(rows) == 2
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("old,new,action", [
     ((D2, L3), (D2, L1), "stale"),
     ((D2, L1), (D2, L3), "update"),
@@ -54,8 +52,8 @@ def test_upsert_actions(spark, small, old, new, action, v):
     ((None, L3), (D1, L1), "update"),
     ((D2, L1), (None, L3), "stale"),
 ])
-def test_upsert_by_load_order(spark, small, old, new, action):
-    out = upsert_latest(frame(spark, [("a", *old, 1)]), frame(spark, [("a", *new, 9)]), "k", "m", "loaded_at", small)
+def test_upsert_by_load_order(spark, old, new, action):
+    out = upsert_latest(frame(spark, [("a", *old, 1)]), frame(spark, [("a", *new, 9)]), "k", "m", "loaded_at")
     assert [r.action for r in out.collect()] == [action]
 
 
@@ -72,14 +70,13 @@ def state(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("small", [False, True])
-def test_two_batches_are_one_batch(spark, seed, small):
+def test_two_batches_are_one_batch(spark, seed):
     rows = random_history(seed)
     whole = latest_version(frame(spark, rows), "k", "m")
     for cut in (1, 137, 399):
         first = latest_version(frame(spark, rows[:cut]), "k", "m")
         second = latest_version(frame(spark, rows[cut:]), "k", "m")
-        merged = upsert_latest(first, second, "k", "m", small_batch=small)
+        merged = upsert_latest(first, second, "k", "m")
         assert state(merged) == state(whole)
 
 
@@ -116,11 +113,3 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = latest_version(df, "k", "m")._jdf.queryExecution().executedPlan().toString()
     above, below = plan.split("Exchange", 1)
     assert "Final" in above and "Partial" in below and "WindowGroupLimit" in below
-
-
-def test_small_batch_does_not_shuffle_the_snapshot(spark):
-    rows = random_history(5)
-    plan = upsert_latest(
-        frame(spark, rows[:1]), frame(spark, rows[1:2]), "k", "m", small_batch=True
-    )._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

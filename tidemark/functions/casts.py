@@ -10,12 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The accepted shapes. \z and not $, which also matches before a final newline.
-TEMPORAL_SHAPE = r"^ *\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)? *\z"
-NUMERIC_SHAPE = r"^ *[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})? *\z"
-CLOCK_SHAPE = r"^ *(\d{1,2}|[1-9]\d{2,3}):([0-5]\d)(?::([0-5]\d(?:\.\d{1,6})?))? *\z"
+TEMPORAL_SHAPE = r"^ *\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6}0*)?)?)? *\z"
+NUMERIC_SHAPE = r"^ *[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,6})? *\z"
+CLOCK_SHAPE = r"^ *(\d{1,2}|[1-9]\d{2,7}):([0-5]\d)(?::([0-5]\d(?:\.\d{1,6}0*)?))? *\z"
 TIME_OF_DAY_SHAPE = r"^ *(([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?|24:00(:00(\.0{1,6})?)?) *\z"
 
-NUMERIC_TYPE = "decimal(38,10)"
+NUMERIC_SCALE = 10
+NUMERIC_TYPE = f"decimal(38,{NUMERIC_SCALE})"
+EXPONENT = r"[eE]([+-]?\d+)"
+FRACTION = r"\.(\d*[1-9])0*(?:[eE ]|\z)"
+WHOLE_ZEROS = r"^[^.eE]*?(0+)(?:\.0*)?(?:[eE ]|\z)"
 
 
 def _col(c: str | Column) -> Column:
@@ -34,8 +38,17 @@ def try_date(c: str | Column) -> Column:
 
 
 def try_numeric(c: str | Column) -> Column:
+    """A number that the type holds exactly. One with more decimals is refused rather than rounded."""
     text = _col(c)
-    return F.when(text.rlike(NUMERIC_SHAPE), text.try_cast(NUMERIC_TYPE))
+    return F.when(text.rlike(NUMERIC_SHAPE) & (_decimals(text) <= NUMERIC_SCALE), text.try_cast(NUMERIC_TYPE))
+
+
+def _decimals(text: Column) -> Column:
+    """Decimals that a number's text needs, trailing zeros aside; below zero for whole hundreds and so on."""
+    exponent = F.coalesce(F.regexp_extract(text, EXPONENT, 1).try_cast("int"), F.lit(0))
+    fraction = F.length(F.regexp_extract(text, FRACTION, 1))
+    zeros = F.length(F.regexp_extract(text, WHOLE_ZEROS, 1))
+    return F.when(fraction > 0, fraction).otherwise(-zeros) - exponent
 
 
 def _clock_parts(c: str | Column) -> tuple[Column, Column, Column]:
@@ -50,7 +63,7 @@ def _clock_parts(c: str | Column) -> tuple[Column, Column, Column]:
 def clock_seconds(c: str | Column) -> Column:
     """Seconds since midnight as decimal(18,6); hours beyond 24 are allowed and mean a duration."""
     hours, minutes, seconds = _clock_parts(c)
-    total = (hours * 3600 + minutes * 60 + seconds).cast("decimal(18,6)")
+    total = (hours.cast("bigint") * 3600 + minutes * 60 + seconds).cast("decimal(18,6)")
     return F.when(_col(c).rlike(CLOCK_SHAPE), total)
 
 

@@ -20,8 +20,15 @@ def number_text(c: str | Column) -> Column:
     size = F.abs(x)
 
     def rare(v: Column) -> Column:
-        # 38 digits hold every value of the wider plain range exactly as it was printed.
-        plain = F.regexp_replace(v.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1")
+        # The digits as they are printed, with the point moved by the exponent: no digit is lost.
+        printed = F.abs(v).cast("string")
+        digits = F.regexp_replace(F.regexp_extract(printed, r"^([\d.]+)", 1), r"\.0?\z|\.", "")
+        exponent = F.regexp_extract(printed, r"E(-?\d+)", 1).try_cast("int")
+        whole = F.rpad(F.substr(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
+        rest = F.substr(digits, exponent + 2)
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), F.regexp_replace(digits, r"(\d)0+\z", "$1"))
+        large = F.concat(whole, F.lit("."), F.when(F.length(rest) > 0, rest).otherwise("0"))
+        plain = F.concat(F.when(v < 0, "-").otherwise(""), F.when(exponent < 0, small).otherwise(large))
         other = v.cast("string")
         for pattern, shown in ((r"\.0E", "E"), (r"E(-?)(\d)\z", "E$10$2"), (r"E(?=\d)", "e+"), (r"E", "e"),
                                (r"NaN", "nan"), (r"Infinity", "inf")):

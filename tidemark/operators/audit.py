@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.sources.scan import ntz
 
@@ -13,7 +13,6 @@ STALLED_HOURS = 6
 OVERDUE_HOURS = 26
 RUN_STATUSES = ("running", "succeeded", "failed")
 TABLE_RUN_STATUSES = ("running", "succeeded", "failed", "drift")
-ERROR_LENGTH = 2000
 
 
 def differs(a: Column, b: Column) -> Column:
@@ -120,16 +119,19 @@ def data_currency(watermarks: DataFrame, as_of: dt.datetime) -> DataFrame:
 def pending_rows(watermarks: DataFrame, arrivals: DataFrame) -> DataFrame:
     """History rows each target has not consumed yet: tells a quiet source from a stopped transform.
 
-    ``arrivals`` has source_table and loaded_at. It is counted per load stamp first, so the join
-    sees one row per batch and not the history.
+    ``arrivals`` has source_table and loaded_at. It is counted per load stamp first, then one running
+    total per source meets each target once: the work grows with stamps plus targets, not their product.
     """
     per_batch = arrivals.groupBy("source_table", "loaded_at").agg(F.count(F.lit(1)).alias("n"))
-    joined = watermarks.select("target_table", "source_table", "last_loaded_at").join(
-        per_batch, "source_table", "left"
+    targets = watermarks.select("source_table", F.col("last_loaded_at").alias("loaded_at"), F.lit(0).cast("bigint").alias("n"), "target_table")
+    # From the newest stamp down, a watermark before the stamps of its own time: what has passed it so far is pending.
+    line = targets.withColumn("_mark", F.lit(0)).unionByName(
+        per_batch.withColumns({"target_table": F.lit(None).cast("string"), "_mark": F.lit(1)})
     )
-    new = F.col("loaded_at") > F.col("last_loaded_at")
-    return joined.groupBy("target_table", "source_table").agg(
-        F.coalesce(F.sum(F.when(new, F.col("n"))), F.lit(0)).alias("pending_rows")
+    down = W.partitionBy("source_table").orderBy(F.desc("loaded_at"), "_mark").rowsBetween(W.unboundedPreceding, 0)
+    passed = line.withColumn("_n", F.sum("n").over(down)).filter("_mark = 0")
+    return passed.select(
+        "target_table", "source_table", F.when(F.col("loaded_at").isNull(), 0).otherwise(F.col("_n")).cast("bigint").alias("pending_rows")
     )
 
 

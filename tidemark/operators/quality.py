@@ -44,8 +44,9 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataF
 
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Rows whose foreign key is set and has no parent; adaptive execution splits a hot key."""
-    known = parent.select(ident(pk).alias("_pk")).distinct()
+    """Rows whose foreign key is set and has no parent. Nothing stands between the shuffles and the join,
+    so that adaptive execution can split a hot key; a parent key that repeats does no harm."""
+    known = parent.select(ident(pk).alias("_pk"))
     return child.filter(ident(fk).isNotNull()).join(known, ident(fk) == F.col("_pk"), "left_anti")
 
 

@@ -41,7 +41,7 @@ def _action(old_mod: Column, new_mod: Column, old_loaded: Column | None, new_loa
 
 
 def upsert_latest(existing: DataFrame | None, batch: DataFrame, key: str, modified: str,
-                  loaded_at: str | None = None, small_batch: bool = False) -> DataFrame:
+                  loaded_at: str | None = None) -> DataFrame:
     """Merge a batch (one row per key) into a snapshot (one row per key), with the action taken.
 
     insert: new key. update: the snapshot's modification is unknown or not newer than the batch's.
@@ -49,17 +49,11 @@ def upsert_latest(existing: DataFrame | None, batch: DataFrame, key: str, modifi
     Nothing is ever deleted. With ``loaded_at``, equal modifications are decided by load time, which
     makes the result independent of the order in which batches arrive.
 
-    ``small_batch`` is for a batch whose size the caller has checked: it is broadcast and the
-    snapshot is not shuffled. Otherwise both sides meet in one full outer join on the key.
+    Both sides meet in one full outer join on the key.
     """
     columns = batch.columns
     if existing is None:
         return batch.withColumn("action", F.lit("insert"))
-    merge = _merge_small if small_batch else _merge_full
-    return merge(existing.select(*columns), batch, columns, key, modified, loaded_at)
-
-
-def _merge_full(existing, batch, columns, key, modified, loaded_at):
     o = existing.select(*[F.col(c).alias(f"_o_{c}") for c in columns])
     n = batch.select(*[F.col(c).alias(f"_n_{c}") for c in columns])
     old, new = (lambda c: F.col(f"_o_{c}")), (lambda c: F.col(f"_n_{c}"))
@@ -73,24 +67,6 @@ def _merge_full(existing, batch, columns, key, modified, loaded_at):
     )
 
 
-def _merge_small(existing, batch, columns, key, modified, loaded_at):
-    n = batch.select(*[F.col(c).alias(f"_n_{c}") for c in columns])
-    new = lambda c: F.col(f"_n_{c}")
-    both = _action(F.col(modified), new(modified),
-                   F.col(loaded_at) if loaded_at else None, new(loaded_at) if loaded_at else None)
-    joined = existing.join(F.broadcast(n), F.col(key) == new(key), "left").withColumn(
-        "action", F.when(new(key).isNull(), "keep").otherwise(both)
-    )
-    taken = F.col("action") == "update"
-    merged = joined.select(
-        *[F.when(taken, new(c)).otherwise(F.col(c)).alias(c) for c in columns], "action"
-    )
-    # At most one row per batch row, so no larger than the batch that was checked.
-    known = existing.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
-    inserts = batch.join(F.broadcast(known), key, "left_anti").withColumn("action", F.lit("insert"))
-    return merged.unionByName(inserts)
-
-
 def written_count(upserted: DataFrame) -> DataFrame:
     """Rows the upsert wrote: inserted and updated, without those refused as older."""
     return upserted.agg(
@@ -99,17 +75,3 @@ def written_count(upserted: DataFrame) -> DataFrame:
         F.count_if(F.col("action") == "update").alias("n_updated"),
         F.count_if(F.col("action") == "stale").alias("n_stale"),
     )
-
-
-def merge_into_table(batch: DataFrame, table: str, key: str, modified: str) -> None:
-    """The same upsert as one MERGE, for a catalog table whose format supports row-level change."""
-    (
-        batch.alias("s")
-        .mergeInto(table, F.col(f"s.{key}") == F.col(f"{table}.{key}"))
-        .whenMatched(
-            F.col(f"{table}.{modified}").isNull()
-            | (F.col(f"s.{modified}") >= F.col(f"{table}.{modified}"))
-        ).updateAll()
-        .whenNotMatched().insertAll()
-        .merge()
-    )

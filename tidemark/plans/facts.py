@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -12,8 +11,8 @@ from tidemark.functions.casts import clock_text, set_flag, try_date, try_numeric
 from tidemark.functions.text import clean_name
 from tidemark.operators.versions import latest_version, upsert_latest
 from tidemark.operators.quality import parse_errors
-from tidemark.operators.windows import not_null_key
-from tidemark.sources.history import loaded_range
+from tidemark.operators.windows import batch_ceiling, batch_counts, batch_window, not_null_key
+from tidemark.sources.history import loaded_range, read_history
 from tidemark.sources.scan import ident, ntz
 from tidemark.sources.store import Warehouse, bucket_of, utc_now
 from tidemark.spec import FactSpec, Field, LOADED_AT
@@ -23,22 +22,17 @@ _KIND = {
     "flag": set_flag, "name": clean_name, "text": lambda c: c,
 }
 
-# A batch up to this many bytes of text is broadcast against the stored snapshot; a larger one is
-# joined by shuffle. Measured on the written batch, not assumed.
-BROADCAST_BATCH_BYTES = 64 << 20
+# Text of a bucket, about. A fact that has outgrown its buckets twice over is dealt to more of them.
+BUCKET_BYTES = 256 << 20
 
-# A new fact gets one bucket per this many rows of its first batch, within the two limits.
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
 
-# Merging without a shuffle adds a file to each touched bucket. Beyond this many files per bucket
-# the shuffled merge is taken once, which writes one file per bucket again.
-MAX_FILES_PER_BUCKET = 8
+def bucket_count(n_bytes: int, current: int = 0, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """The number of buckets for so much text: the current one until twice as many are needed."""
+    wanted = max(1, -(-n_bytes // bucket_bytes))
+    return current if current and wanted <= 2 * current else wanted
 
 
-def bucket_count(n_rows: int) -> int:
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
-
+# The columns of the two histories and what they are called in the facts.
 
 
 def incident_fact(key: str, target_table: str = "rep.fact_incident", source_table: str = "stg.incident",
@@ -155,7 +149,7 @@ def newest_ceiling(wh: Warehouse) -> dt.datetime | None:
 
 
 def _text_bytes(columns) -> Column:
-    """A size for the broadcast decision: the text length of a row plus a fixed cost per column."""
+    """The text length of a row plus a fixed cost per column."""
     total = F.lit(16 * len(columns)).cast("bigint")
     for c in columns:
         total = total + F.coalesce(F.octet_length(ident(c).cast("string")), F.lit(0))
@@ -165,27 +159,24 @@ def _text_bytes(columns) -> Column:
 def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime | None = None,
                       now: dt.datetime | None = None, history: DataFrame | None = None,
                       ordered_by_load: bool = False, advance_as_at: bool = False,
-                      broadcast_bytes: int = BROADCAST_BATCH_BYTES, stream: tuple[str, int] | None = None,
+                      bucket_bytes: int = BUCKET_BYTES, stream: tuple[str, int] | None = None,
                       ) -> Prepared:
     """Take what reached the history since the last commit, keep the latest version of each key,
     and write a new version of the fact. Nothing is visible until the row is committed.
 
     The floor is ``loaded_at``, the warehouse's clock: a row loaded again after a failure has a new
     one although its modification is unchanged. ``history`` and ``stream`` are given by the stream.
+    A batch rewrites the buckets it touches, or all of them when the fact needs more buckets.
     """
     now = now or utc_now()
     state = wh.fact_state(spec.target_table)
     floor = None if stream or state is None else state.last_loaded_at
-    history = wh.read(spec.source_table) if history is None else history
+    history = read_history(wh, spec.source_table) if history is None else history
     if history is None:
         return Prepared(spec.target_table, "skipped")
 
-    # One pass over two columns of the new days: the ceiling and both counts.
-    ahead = loaded_range(history, floor, None).agg(
-        F.max(LOADED_AT).alias("ceiling"), F.count(F.lit(1)).alias("n_batch"),
-        F.count_if(ident(spec.source_key).isNull()).alias("n_nokey"),
-    ).first()
-    if ahead.ceiling is None:
+    ceiling = batch_ceiling(history, floor).first().batch_to
+    if ceiling is None:
         row = None
         if advance_as_at and state is not None:
             row = {**state.asDict(), "version": state.version + 1,
@@ -193,56 +184,76 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
                    "updated_at": now, "n_batch": 0, "n_nokey": 0, "n_written": 0}
         return Prepared(spec.target_table, "nothing new", row)
 
+    window = batch_window(history, floor, ceiling)
+    counts = batch_counts(window, spec.source_key).first()
+    return _merge_version(
+        wh, spec, state, rebuild(window, spec, tiebreak=True), now, bucket_bytes, LOADED_AT if ordered_by_load else None, floor, ceiling,
+        {"source_as_at": source_as_at or newest_ceiling(wh), "n_batch": counts.n_batch, "n_nokey": counts.n_nokey,
+         "last_loaded_at": max(filter(None, [ceiling, state and state.last_loaded_at])),
+         "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None},
+    )
+
+
+def _merge_version(wh: Warehouse, spec: FactSpec, state, batch: DataFrame, now: dt.datetime, bucket_bytes: int,
+                   loaded_at: str | None, floor, ceiling, row: dict, replace: bool = False) -> Prepared:
+    """Write the batch merged into the snapshot, or in its place, as the next version."""
     version = 1 if state is None else state.version + 1
-    n = (spec.n_buckets or bucket_count(ahead.n_batch)) if state is None else len(state.bucket_versions)
-    window = loaded_range(history, floor, ahead.ceiling)
-    batch = rebuild(window, spec, tiebreak=True).withColumn("transformed_at", ntz(now))
-    bucket = bucket_of(F.col(spec.key), n)
+    versions = [] if state is None or replace else list(state.bucket_versions)
+    # The batch is written once: what follows reads it several times, its size is then known,
+    # and a lost executor does not cost a second pass over the history.
+    batch = batch.withColumn("transformed_at", ntz(now))
+    path = f"{wh.path(spec.target_table)}_batch/v={version}"
+    batch.write.mode("overwrite").parquet(path)
+    staged = wh.spark.read.schema(batch.schema).parquet(path)
+    held = (state.n_bytes or 0) if versions else 0
+    added = staged.agg(F.sum(_text_bytes(batch.columns))).first()[0] or 0
+    n = spec.n_buckets or bucket_count(held + added, len(versions), bucket_bytes)
+    existing, touched = None, range(n)
+    if len(versions) == n:
+        touched = [r.b for r in staged.select(bucket_of(F.col(spec.key), n).alias("b")).distinct().collect()]  # at most n
+        existing = wh.read_fact(spec, touched, state, batch.schema)
+    elif versions:
+        existing = wh.read_fact(spec, None, state, batch.schema)
+    if existing is not None:
+        existing = existing.repartition(n, spec.key)
+    merged = upsert_latest(existing, staged.repartition(n, spec.key), spec.key, spec.modified, loaded_at)
     actions = Observation()
+    insert = F.col("action") == "insert"
     counted = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "stale", "keep")]
-
-    if state is None:
-        merged = upsert_latest(None, batch, spec.key, spec.modified).repartition(n, spec.key)
-    else:
-        # The batch is written once: what follows reads it several times, its size is then known,
-        # and a lost executor does not cost a second pass over the history.
-        staged_path = f"{wh.path(spec.target_table)}_batch/v={version}"
-        size = Observation()
-        batch.observe(size, F.sum(_text_bytes(batch.columns)).alias("bytes")).write.mode("overwrite").parquet(staged_path)
-        staged = wh.spark.read.schema(batch.schema).parquet(staged_path)
-        touched = [r.b for r in staged.select(bucket.alias("b")).distinct().collect()]  # at most n
-        existing = wh.read_fact(spec, touched, state)
-        scattered = existing is not None and len(existing.inputFiles()) > MAX_FILES_PER_BUCKET * len(touched)
-        small = (size.get["bytes"] or 0) <= broadcast_bytes and not scattered
-        if not small:
-            staged = staged.repartition(n, spec.key)
-            existing = existing if existing is None else existing.repartition(n, spec.key)
-        merged = upsert_latest(existing, staged, spec.key, spec.modified,
-                               LOADED_AT if ordered_by_load else None, small_batch=small)
-    wh.write_fact(
-        merged.observe(actions, *counted).drop("action").withColumn("bucket", bucket), spec, version
-    )
+    observed = merged.observe(actions, *counted, F.sum(F.when(insert, _text_bytes(batch.columns))).alias("bytes"))
+    wh.write_fact(observed.drop("action").withColumn("bucket", bucket_of(F.col(spec.key), n)), spec, version)
 
     done = actions.get
-    versions = [None] * n if state is None else list(state.bucket_versions)
-    for b in _written_buckets(wh, spec, version):
+    inserted = done.pop("bytes") or 0
+    versions = versions if len(versions) == n else [None] * n
+    for b in touched:
         versions[b] = version
     row = {
-        "target_table": spec.target_table, "source_table": spec.source_table,
-        "last_loaded_at": max(filter(None, [ahead.ceiling, state and state.last_loaded_at])),
-        "source_as_at": source_as_at or newest_ceiling(wh), "updated_at": now, "version": version, "bucket_versions": versions,
-        "n_batch": ahead.n_batch, "n_nokey": ahead.n_nokey,
-        "n_written": done["insert"] + done["update"],
-        "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None,
+        **row, "target_table": spec.target_table, "source_table": spec.source_table, "updated_at": now, "version": version,
+        "bucket_versions": versions, "n_bytes": held + inserted, "n_written": done["insert"] + done["update"],
     }
-    return Prepared(spec.target_table, "transformed", row, done, floor, ahead.ceiling)
+    return Prepared(spec.target_table, "transformed", row, done, floor, ceiling)
 
 
-def _written_buckets(wh: Warehouse, spec: FactSpec, version: int) -> set[int]:
-    """Buckets present in a version, from the names of its files; no data is read."""
-    df = wh.read(f"{spec.target_table}/v={version}")
-    names = [] if df is None else df.inputFiles()
-    return {int(re.search(r"/bucket=(\d+)/", name).group(1)) for name in names}
+def rebuild_fact(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime | None = None, now: dt.datetime | None = None,
+                 bucket_bytes: int = BUCKET_BYTES) -> Prepared:
+    """Build the fact anew from what it has consumed of its history, or all of it before its first transform, and
+    commit it in as many buckets as it needs. Rows whose history is gone go with it."""
+    now, state = now or utc_now(), wh.fact_state(spec.target_table)
+    history = read_history(wh, spec.source_table)
+    if history is None:
+        return Prepared(spec.target_table, "skipped")
+    upto = state.last_loaded_at if state is not None else batch_ceiling(history, None).first()[0]
+    counts = batch_counts(batch_window(history, None, upto), spec.source_key).first()
+    batch = rebuild(batch_window(history, None, upto), spec, tiebreak=True)
+    kept = {k: state[k] for k in ("stream_id", "batch_id")} if state is not None else {}
+    prepared = _merge_version(
+        wh, spec, state, batch, now, bucket_bytes, None, None, upto, replace=True,
+        row={**kept, "source_as_at": source_as_at or (state and state.source_as_at) or newest_ceiling(wh),
+             "last_loaded_at": upto, "n_batch": counts.n_batch, "n_nokey": counts.n_nokey},
+    )
+    commit(wh, [prepared])
+    return prepared
 
 
 def commit(wh: Warehouse, prepared: list[Prepared]) -> None:
@@ -289,7 +300,7 @@ def advance_transform_watermark(wh: Warehouse, target_table: str, source_table:
 def record_parse_errors(wh: Warehouse, spec: FactSpec, run_id: str | None, floor: dt.datetime | None,
                         ceiling: dt.datetime | None, now: dt.datetime | None = None) -> None:
     """Append the cast failures of a range of the history to the parse_errors table."""
-    history = wh.read(spec.source_table)
+    history = read_history(wh, spec.source_table)
     if history is None:
         return
     wh.append_state(

@@ -9,10 +9,9 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.audit import ERROR_LENGTH
-from tidemark.operators.quality import content_hash
+from tidemark.operators.quality import content_hash, reference_check
 from tidemark.operators.windows import high_watermark
 from tidemark.plans.facts import record_parse_errors, run_transforms
 from tidemark.sources.history import (
@@ -52,8 +51,8 @@ def extract_floor(wh: Warehouse, spec: TableSpec) -> dt.datetime | None:
     history = read_history(wh, spec.target_table)
     if history is None or history.isEmpty():
         return None
-    state = wh.state_row("extract_watermark", source_table=spec.source_table)
-    if state is not None:
+    state = wh.state_row("extract_watermark", target_table=spec.target_table)
+    if state is not None and state.last_watermark is not None:
         return state.last_watermark
     return high_watermark(history, spec.watermark_column.lower()).first()[0]
 
@@ -66,13 +65,6 @@ def load_plan(wh: Warehouse, spec: TableSpec) -> LoadPlan:
     return LoadPlan("unbounded" if floor is None else "bounded", floor)
 
 
-def load_mode(watermark_column: str | Column | None, high: Column) -> Column:
-    """The same choice as an expression over a history's high watermark."""
-    if watermark_column is None:
-        return F.lit("reference")
-    return F.when(high.isNull(), "unbounded").otherwise("bounded")
-
-
 def _land_and_append(wh: Warehouse, rows: DataFrame, spec: TableSpec, append: bool,
                      loaded_at: dt.datetime) -> tuple[int, int, int]:
     """(extracted, staged, loaded). The source is read once; the two other counts come from what
@@ -90,16 +82,15 @@ def _land_and_append(wh: Warehouse, rows: DataFrame, spec: TableSpec, append: bo
     return extracted, staged, loaded
 
 
-def set_extract_watermark(wh: Warehouse, spec: TableSpec, now: dt.datetime | None = None) -> dt.datetime | None:
+def set_extract_watermark(wh: Warehouse, spec: TableSpec, now: dt.datetime | None = None, restart: bool = False) -> dt.datetime | None:
     """Record the floor of the next load: the newest watermark of the landed batch, which is small.
-    The floor never moves back."""
+    The floor never moves back, but for a ``restart``: a full load of an empty history."""
     landed = wh.read(spec.staging_table)
     newest = None if landed is None else high_watermark(landed, spec.watermark_column.lower()).first()[0]
     if newest is None:
         return None
-    state = wh.state_row("extract_watermark", source_table=spec.source_table)
-    if state is not None and state.last_watermark > newest:
-        newest = state.last_watermark
+    floor = None if restart else extract_floor(wh, spec)
+    newest = newest if floor is None else max(floor, newest)
     wh.append_state("extract_watermark", [{
         "source_table": spec.source_table, "target_table": spec.target_table,
         "last_watermark": newest, "updated_at": now or utc_now(),
@@ -127,7 +118,7 @@ def incremental_load(wh: Warehouse, source: DataFrame, spec: TableSpec, ceiling:
     stamp = next_loaded_at(wh, spec.target_table, loaded_at or utc_now())
     counts = _land_and_append(wh, rows, spec, True, stamp)
     if counts[0] == counts[1] == counts[2]:
-        set_extract_watermark(wh, spec)
+        set_extract_watermark(wh, spec, restart=not bounded)
     return LoadResult(source_n, *counts, bounded, "normal")
 
 
@@ -149,11 +140,11 @@ def reference_load(wh: Warehouse, source: DataFrame, spec: TableSpec, dry_run: b
     see an edit in place; ``compare_content`` reads both sides and can.
     """
     history = read_history(wh, spec.target_table)
-    staged_n = 0 if history is None else history.count()
-    source_n = source_count(source).first()[0]
-    if staged_n == 0:
+    check = reference_check(source, source.limit(0) if history is None else history).first()
+    source_n = check.source_n
+    if check["mode"] == "reference-seed":
         return reference_pull(wh, source, spec, source_n, True, dry_run, loaded_at)
-    same = source_n == staged_n
+    same = check["mode"] == "reference-ok"
     if same and compare_content:
         text = stage_text(scan_columns(source, spec.columns))
         same = content_hash(text).first() == content_hash(history.select(*[ident(c) for c in text.columns])).first()
@@ -204,7 +195,7 @@ class Audit:
             "run_id": self.run_id, "source_table": source_table, "started_at": self.clock(),
         }
         row = {**row, "status": status, "finished_at": self.clock(),
-               "error_message": None if error is None else error[:ERROR_LENGTH]}
+               "error_message": error}
         if result is not None:
             row |= {
                 "source_row_count": result.source_n, "extracted_row_count": result.extracted_n,
@@ -271,12 +262,15 @@ def run_load(wh: Warehouse, sources: dict[str, DataFrame], specs: list[TableSpec
     elif not dry_run and facts:
         try:
             done = run_transforms(wh, list(facts), source_as_at=ceiling)
-            for spec, p in zip(facts, done):
-                if log_parse_errors and p.outcome == "transformed":
-                    record_parse_errors(wh, spec, audit.run_id, p.floor, p.ceiling)
         except Exception as e:  # noqa: BLE001
             error = f"loaded, but transform failed: {e}"
     status = "succeeded" if error is None else "failed"
+    try:
+        for spec, p in zip(facts, done):
+            if log_parse_errors and p.outcome == "transformed":
+                record_parse_errors(wh, spec, audit.run_id, p.floor, p.ceiling)
+    except Exception as e:  # noqa: BLE001 - the facts are committed; the run stands
+        error = f"transformed, but parse errors were not recorded: {e}"
     audit.finish_run(status, error)
     return RunReport(audit.run_id, status, error, results, done)
 

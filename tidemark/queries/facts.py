@@ -60,14 +60,14 @@ _UPSERTED = f"""{_ORDER_BATCHES} SELECT k, action, CASE WHEN action IN ('insert'
        CASE WHEN action IN ('insert','update') THEN nl ELSE ol END AS l FROM a"""
 
 
-def _order_upsert(spark, sf, small_batch=False):
+def _order_upsert(spark, sf):
     """Orders split in two batches by key; a third is the later one."""
     h = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("l"), F.col("o_totalprice").alias("v"),
         F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate")).alias("m"),
     )
     old, new = (ops.latest_version(h.filter(c), "k", "m", "l") for c in ("l % 3 <> 0", "l % 3 = 0"))
-    return ops.upsert_latest(old, new, "k", "m", small_batch=small_batch)
+    return ops.upsert_latest(old, new, "k", "m")
 
 
 @query(_UPSERTED)
@@ -144,8 +144,21 @@ def transform_incident(spark, sf):
 
 @query(upsert_sql(INCIDENT, frame_sql("incident_history"), _cut(frame_sql("incident_history"))))
 def transform_incident_shuffled(spark, sf):
-    """The same with the batch taken as too large to broadcast."""
-    return _two_batches(spark, sf, INCIDENT, "incident_history", broadcast_bytes=-1)
+    """The same with small buckets: the second batch outgrows those of the first, and all are dealt anew."""
+    return _two_batches(spark, sf, INCIDENT, "incident_history", bucket_bytes=1 << 16)
+
+
+@query(fact_sql(INCIDENT, frame_sql("incident_history")))
+def rebuild_fact(spark, sf):
+    """Half the history transformed, the rest consumed, then the fact built anew and committed."""
+    wh = Warehouse(spark, shared_folder(spark, "rebuild"))
+    history = frame(spark, sf, "incident_history")
+    cut = F.lit(str(_split_at(history))).cast("timestamp_ntz")
+    for part in (history.filter(F.col("loaded_at") <= cut), history.filter(F.col("loaded_at") > cut)):
+        _fill(wh, INCIDENT, part)
+        plan.transform(wh, INCIDENT, now=NOW)
+    plan.rebuild_fact(wh, INCIDENT, now=NOW, bucket_bytes=1 << 22)
+    return wh.read_fact(INCIDENT).drop("transformed_at")
 
 
 @query(upsert_sql(CHARGE, frame_sql("charge_history"), _cut(frame_sql("charge_history"))))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.profile import profile_columns
-from tidemark.operators.windows import high_watermark
 from tidemark.plans import loads as plan
 from tidemark.queries.registry import at, query, table
 from tidemark.sources import history as hist
@@ -19,7 +18,7 @@ ORDERS = TableSpec(
 )
 CUSTOMERS = TableSpec("CUSTOMER", "stg.customer", ("c_custkey", "c_name", "c_nationkey"), "c_custkey")
 STAMP = at("2024-03-01T02:00:00")
-CUT, CEILING = at("1998-01-01"), at("2000-01-01")
+CUT, CEILING, END = at("1998-01-01"), at("2000-01-01"), at("2100-01-01")
 _TEXT = """CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
            CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderstatus"""
 
@@ -42,32 +41,29 @@ def _result(spark, rows):
           UNION ALL SELECT 'no watermark', 'reference', NULL)""")
 def load_plan(spark, sf):
     """The mode of three tables: an empty history, a filled one, and one without a watermark."""
-    events = table(spark, sf, "events")
-
-    def row(name, history, watermark):
-        high = high_watermark(history, watermark or "ts")
-        floor = F.col("high_watermark") if watermark else F.lit(None).cast("timestamp_ntz")
-        return high.select(
-            F.lit(name).alias("history"), plan.load_mode(watermark, F.col("high_watermark")).alias("mode"), floor.alias("floor")
-        )
-
-    return row("empty", events.filter("ts < timestamp_ntz'1900-01-01'"), "ts").unionByName(
-        row("filled", events, "ts")
-    ).unionByName(row("no watermark", events, None))
+    wh, columns = _warehouse(spark, "load-plan"), ("event_id", "ts")
+    text = stage_text(table(spark, sf, "events").select(*columns))
+    hist.append_history(wh, "stg.filled", stamp_loaded_at(text, STAMP), columns)
+    specs = {h: TableSpec("EVENTS", f"stg.{h.split()[0]}", columns, "event_id", w) for h, w in (("empty", "TS"), ("filled", "TS"), ("no watermark", None))}
+    plans = {h: plan.load_plan(wh, spec) for h, spec in specs.items()}
+    return spark.createDataFrame([(h, p.mode, p.floor) for h, p in plans.items()], "history string, mode string, floor timestamp_ntz")
 
 
 @query("""SELECT 1 AS step, 'normal' AS mode, false AS bounded, count(*) AS source_n, count(*) AS extracted_n, count(*) AS staged_n, count(*) AS loaded_n
             FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01'
           UNION ALL SELECT 2, 'normal', true, count(*), count(*), count(*), count(*) FROM orders
             WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') AND o_orderdate <= TIMESTAMP '2000-01-01'
-          UNION ALL SELECT 3, 'normal', true, 0, 0, 0, 0""")
+          UNION ALL SELECT 3, 'normal', true, 0, 0, 0, 0
+          UNION ALL SELECT 4, 'normal', true, count(*), count(*), count(*), count(*) FROM orders
+            WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '2000-01-01')""")
 def incremental_load(spark, sf):
-    """A first load of the older orders, a bounded one up to a ceiling, and one with nothing new."""
+    """A first load of the older orders, a bounded one up to a ceiling, one with nothing new, and the rest."""
     wh, orders = _warehouse(spark, "incremental-load"), table(spark, sf, "orders")
     steps = [
         plan.incremental_load(wh, orders.filter("o_orderdate <= timestamp_ntz'1998-01-01'"), ORDERS, CUT, loaded_at=STAMP),
         plan.incremental_load(wh, orders, ORDERS, CEILING, loaded_at=STAMP),
         plan.incremental_load(wh, orders, ORDERS, CEILING, loaded_at=STAMP),
+        plan.incremental_load(wh, orders, ORDERS, END, loaded_at=STAMP),
     ]
     return _result(spark, steps)
 
@@ -132,3 +128,25 @@ def set_extract_watermark(spark, sf):
     hist.land_overwrite(wh, "lnd.orders", text)
     plan.set_extract_watermark(wh, ORDERS)
     return wh.current("extract_watermark").select("source_table", "target_table", "last_watermark")
+
+
+@query(f"SELECT {_TEXT} FROM orders")
+def reseed_history(spark, sf):
+    """Load, empty the history, seed it from an older copy, load again: no order is missing."""
+    wh, orders = _warehouse(spark, "reseed"), table(spark, sf, "orders").select(*ORDERS.columns)
+    plan.incremental_load(wh, orders.filter("o_orderdate <= timestamp_ntz'1998-01-01'"), ORDERS, CUT, loaded_at=STAMP)
+    wh.clear(ORDERS.target_table)
+    copy = orders.filter("o_orderdate <= timestamp_ntz'1996-01-01'")
+    hist.seed_history(wh, copy, profile_columns(copy, "orders", profiled_at=STAMP), ORDERS.target_table, at("2024-03-02"))
+    plan.incremental_load(wh, orders, ORDERS, END, loaded_at=at("2024-03-03"))
+    return hist.read_history(wh, ORDERS.target_table).select(*ORDERS.columns)
+
+
+@query(f"""SELECT {_TEXT}, CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def growing_scope(spark, sf):
+    """A column that joins the scope between two loads is NULL in the rows of the first."""
+    wh, orders = _warehouse(spark, "scope"), table(spark, sf, "orders")
+    grown = TableSpec("ORDERS", "stg.orders", (*ORDERS.columns, "o_orderpriority"), "o_orderkey", "o_orderdate")
+    plan.incremental_load(wh, orders.filter("o_orderdate <= timestamp_ntz'1998-01-01'"), ORDERS, CUT, loaded_at=STAMP)
+    plan.incremental_load(wh, orders, grown, END, loaded_at=at("2024-03-02"))
+    return hist.read_history(wh, "stg.orders").select(*grown.columns)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.casts import CLOCK_SHAPE, NUMERIC_SHAPE, TEMPORAL_SHAPE
+from tidemark.functions.casts import CLOCK_SHAPE, EXPONENT, FRACTION, NUMERIC_SCALE, NUMERIC_SHAPE, TEMPORAL_SHAPE, WHOLE_ZEROS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,7 +116,7 @@ _FRAMES = {
                CASE WHEN o_custkey % 9 = 0 THEN 'running' WHEN o_custkey % 9 = 1 THEN 'failed' ELSE 'succeeded' END AS status,
                CASE WHEN o_custkey % 9 = 1 THEN 'tables failed' END AS error_message,
                o_orderkey % 50 = 0 AS dry_run
-        FROM orders WHERE o_orderkey % 4 = 0 OR o_orderpriority = '1-URGENT'""",
+        FROM orders""",
     "table_run_log": """
         SELECT CAST(o_orderkey - o_orderkey % 4 AS STRING) AS run_id,
                concat('table_', CAST(o_orderkey % 4 AS STRING)) AS source_table,
@@ -183,7 +183,11 @@ def sql_date(x: str) -> str:
 
 
 def sql_numeric(x: str) -> str:
-    return f"CASE WHEN regexp_matches(trim({x}, ' '), '{_re2(NUMERIC_SHAPE)}') THEN TRY_CAST(trim({x}, ' ') AS DECIMAL(38,10)) END"
+    t = f"trim({x}, ' ')"
+    fraction, zeros = (f"length(regexp_extract({t}, '{_re2(p)}', 1))" for p in (FRACTION, WHOLE_ZEROS))
+    exponent = f"coalesce(TRY_CAST(nullif(regexp_extract({t}, '{EXPONENT}', 1), '') AS INT), 0)"
+    decimals = f"CASE WHEN {fraction} > 0 THEN {fraction} ELSE -{zeros} END - {exponent}"
+    return f"CASE WHEN regexp_matches({t}, '{_re2(NUMERIC_SHAPE)}') AND {decimals} <= {NUMERIC_SCALE} THEN TRY_CAST({t} AS DECIMAL(38,{NUMERIC_SCALE})) END"
 
 
 def _clock_part(x: str, i: int) -> str:

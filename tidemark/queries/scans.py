@@ -35,9 +35,11 @@ def scan_all(spark, sf):
     return scan.scan_all(table(spark, sf, "events"))
 
 
-@query()
+@query("SELECT least(count(*), 100) AS n, true AS sampled FROM events")
 def scan_sample(spark, sf):
-    return scan.scan_sample(table(spark, sf, "events"), 100)
+    """How many rows come and that all are marked; which ones come is not defined."""
+    sample = scan.scan_sample(table(spark, sf, "events"), 100)
+    return sample.agg(F.count("*").alias("n"), F.min("sampled").alias("sampled"))
 
 
 @query(f"SELECT * FROM events WHERE {_RANGE}")

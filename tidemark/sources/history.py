@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.sources.scan import ident, ntz, stage_text
-from tidemark.sources.store import Warehouse
+from tidemark.sources.store import Warehouse, utc_now
 from tidemark.spec import LOAD_DATE, LOADED_AT
 
 
@@ -42,7 +42,8 @@ def append_history(wh: Warehouse, target_table: str, landed: DataFrame, columns)
 
 
 def read_history(wh: Warehouse, target_table: str) -> DataFrame | None:
-    return wh.read(target_table)
+    """The whole history. It has the columns of all loads: one that was added to the scope later is NULL before."""
+    return wh.read(target_table, merge=True)
 
 
 def read_load_day(wh: Warehouse, target_table: str, day: dt.date) -> DataFrame:
@@ -114,4 +115,6 @@ def seed_history(wh: Warehouse, copy: DataFrame, latest_profile: DataFrame, targ
     n_history = read_history(wh, target_table).count()
     if n_copy != n_history:
         raise ValueError(f"{target_table}: row counts disagree, copy {n_copy}, history {n_history}")
+    # What an earlier history had reached says nothing about these rows: the next load looks at them.
+    wh.append_state("extract_watermark", [{"target_table": target_table, "updated_at": utc_now()}])
     return n_history

@@ -64,7 +64,9 @@ def scan_sample(df: DataFrame, n: int) -> DataFrame:
 
 
 def as_timestamp(df: DataFrame, column: str) -> Column:
-    """A watermark column as a timestamp: itself when typed, so filters on it reach the scan."""
+    """A watermark column, in any case, as a timestamp: itself when typed, so filters on it reach the scan."""
+    if column not in df.columns:
+        column = next((c for c in df.columns if c.lower() == column.lower()), column)
     kind = df.schema[column].dataType
     if isinstance(kind, T.TimestampNTZType):
         return ident(column)

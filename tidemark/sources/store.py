@@ -14,7 +14,6 @@ through Spark's reader and writer, so the root may be on any file system the clu
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import threading
 import uuid
 
@@ -32,6 +31,7 @@ def _schema(**columns) -> T.StructType:
 
 _S, _L, _B, _I = T.StringType(), T.LongType(), T.BooleanType(), T.IntegerType()
 
+# The columns of the state tables.
 STATE_SCHEMAS = {
     "load_run": _schema(
         run_id=_S, started_at=_NTZ, finished_at=_NTZ, watermark_to=_NTZ, status=_S,
@@ -49,7 +49,7 @@ STATE_SCHEMAS = {
     "transform_watermark": _schema(
         target_table=_S, source_table=_S, last_loaded_at=_NTZ, source_as_at=_NTZ, updated_at=_NTZ,
         version=_L, bucket_versions=T.ArrayType(_L), n_batch=_L, n_nokey=_L, n_written=_L,
-        stream_id=_S, batch_id=_L,
+        stream_id=_S, batch_id=_L, n_bytes=_L,
     ),
     "column_profile": _schema(
         source_table=_S, column_name=_S, total_rows=_L, populated=_L,
@@ -70,23 +70,16 @@ STATE_SCHEMAS = {
 CURRENT_BY = {
     "load_run": (["run_id"], ["event_at", "event_seq"]),
     "load_table_run": (["run_id", "source_table"], ["event_at", "event_seq"]),
-    "extract_watermark": (["source_table"], ["updated_at"]),
+    "extract_watermark": (["target_table"], ["updated_at"]),
     "load_stamp": (["target_table"], ["loaded_at"]),
     "transform_watermark": (["target_table"], ["version"]),
 }
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path under the shared folder the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting falls back to a folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    """A new path under the folder the cluster names in spark.checkpoint.dir; below its warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -106,18 +99,23 @@ class Warehouse:
         zone, _, name = table.partition(".")
         return f"{self.root}/{zone}/{name}"
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """The table, or None when nothing has been written to it."""
+    def read(self, table: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame | None:
+        """The table, or None when nothing has been written to it. ``merge`` unites the columns of all its files."""
         if not path_exists(self.spark, self.path(table)):
             return None
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return reader.parquet(self.path(table))
+            return reader.option("mergeSchema", merge).parquet(self.path(table))
         except AnalysisException as e:
             if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
                 return None
             raise
 
+    def clear(self, table: str) -> None:
+        """Delete all files of a table; its state rows stay."""
+        p, fs = path_of(self.spark, self.path(table))
+        fs.delete(p, True)
+
     # -- state tables ---------------------------------------------------------------------------
 
     def _state_path(self, name: str) -> str:
@@ -167,20 +165,27 @@ class Warehouse:
     def fact_state(self, target_table: str):
         return self.state_row("transform_watermark", target_table=target_table)
 
-    def read_fact(self, spec: FactSpec, buckets=None, state=None) -> DataFrame | None:
-        """The committed snapshot of a fact, or only some of its buckets. None before the first."""
+    def read_fact(self, spec: FactSpec, buckets=None, state=None, schema: T.StructType | None = None) -> DataFrame | None:
+        """The committed snapshot of a fact, or only some of its buckets. None before the first.
+
+        A version's folder holds the buckets it rewrote; of each bucket only the committed version is read.
+        """
         state = state or self.fact_state(spec.target_table)
         if state is None:
             return None
         root = self.path(spec.target_table)
-        wanted = range(len(state.bucket_versions)) if buckets is None else sorted(buckets)
-        paths = [
-            f"{root}/v={state.bucket_versions[b]}/bucket={b}"
-            for b in wanted if state.bucket_versions[b] is not None
-        ]
-        if not paths:
+        wanted = range(len(state.bucket_versions)) if buckets is None else buckets
+        versions = {state.bucket_versions[b] for b in wanted} - {None}
+        if not versions:
             return None
-        return self.spark.read.option("basePath", root).parquet(*paths).drop("v", "bucket")
+        reader = self.spark.read.option("basePath", root)
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField("v", _L), T.StructField("bucket", _I)]))
+        df = reader.parquet(*[f"{root}/v={v}" for v in sorted(versions)])
+        current = F.element_at(F.lit([v or 0 for v in state.bucket_versions]), F.col("bucket") + 1) == F.col("v")
+        if buckets is not None:
+            current = current & F.col("bucket").isin(sorted(buckets))
+        return df.filter(current).drop("v", "bucket")
 
     def expire_versions(self, spec: FactSpec, keep: int = 2) -> list[str]:
         """Delete bucket folders that none of the newest ``keep`` commits names; returns them.

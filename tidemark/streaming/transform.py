@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.facts import commit, prepare_transform
+from tidemark.sources.history import read_history
 from tidemark.sources.store import Warehouse
 from tidemark.spec import FactSpec, LOAD_DATE
 
@@ -25,7 +26,7 @@ def stream_transform(wh: Warehouse, spec: FactSpec, checkpoint: str, max_files:
     modifications are decided by load time. A batch that is delivered again is recognised by its
     number, which is committed with the snapshot.
     """
-    history = wh.read(spec.source_table)
+    history = read_history(wh, spec.source_table)
     if history is None:
         raise ValueError(f"{spec.source_table} has no history yet")
     schema = T.StructType([f for f in history.schema.fields if f.name != LOAD_DATE])
