@@ -22,6 +22,8 @@ from tidemark.llm.words import Words, mix64, slices, words_of
 WINDOW = 13
 #: Text per bucket; a bucket holds about three times as much and is sorted in one piece.
 BUCKET_BYTES = 1 << 20
+#: Packed text gathered in a task before its super-k-mers are folded and sent.
+SEND_BYTES = 8 << 20
 #: Cells in which word pairs are counted to find the order. Pairs of full cells come last.
 CELLS = 1 << 16
 
@@ -91,11 +93,8 @@ def _runs(w: Words, levels: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
 
 
 def _split(levels: np.ndarray, n_buckets: int, window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, blob) of super-k-mers, and rows without a blob for what is decided on the spot.
-
-    Of equal super-k-mers in one slice of text, only those of the smallest document travel: the others repeat it.
-    """
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+    """Rows (bucket, blob) of super-k-mers, and rows without a blob for what is decided on the spot."""
+    held, size = [], 0
     for batch in batches:
         ids, tags = batch["id"].to_numpy(), batch["tag"].to_numpy()
         for a, b in slices(batch["text"]):
@@ -103,37 +102,47 @@ def _split(levels: np.ndarray, n_buckets: int, window: int, batches: Iterator[pa
             if len(w.start) < window:
                 continue
             first, words, key, h, doc = _runs(w, levels, window)
-            if not len(first):
-                continue
             text, begin, end = _packed(w)
-            left, right = begin[first].tolist(), end[first + words - 1].tolist()
-            start, doc_id, tag = first - w.first[doc], ids[a + doc], tags[a + doc]
-            by = np.lexsort((doc_id, h))
-            same = h[by][1:] == h[by][:-1]
-            smallest = {}
-            known = np.zeros(len(first), bool)
-            for i in by[np.append(same, False) | np.insert(same, 0, False)].tolist():  # in the order of documents
-                known[i] = smallest.setdefault(text[left[i] : right[i]], doc_id[i]) < doc_id[i]
-            decided = np.flatnonzero(known)
-            bucket = ((key & np.uint64((1 << 58) - 1)) % np.uint64(n_buckets)).astype(np.int64)
-            go = np.flatnonzero(~known)
-            go = go[np.argsort(bucket[go], kind="stable")]
-            cuts = np.flatnonzero(np.diff(bucket[go], prepend=-1)).tolist()
-            buckets, blobs = [], []
-            for x, y in zip(cuts, [*cuts[1:], len(go)]):
-                part = go[x:y]
-                head = np.concatenate([[len(part)], doc_id[part], tag[part], start[part], words[part]]).astype(np.int64).tobytes()
-                buckets.append(int(bucket[part[0]]))
-                blobs.append(squeeze(head + b" ".join([text[left[i] : right[i]] for i in part.tolist()])))
-            n, m = len(buckets), len(decided)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.array(buckets, np.int64), doc_id[decided] % n_buckets])), pa.array(blobs + [None] * m, pa.binary()),
-                    pa.array(np.concatenate([np.zeros(n, np.int64), doc_id[decided]])), pa.array(np.concatenate([np.zeros(n, np.int64), tag[decided]])),
-                    pa.array(np.concatenate([np.zeros(n, np.int64), start[decided]])), pa.array(np.concatenate([np.zeros(n, np.int64), (start + words)[decided]])),
-                ],
-                ["bucket", "blob", "id", "tag", "begin", "stop"],
-            )
+            held.append((text, size + begin[first], size + end[first + words - 1], key, h, ids[a + doc], tags[a + doc], first - w.first[doc], words))
+            size += len(text)
+            if size >= SEND_BYTES:
+                yield _send(held, n_buckets)
+                held, size = [], 0
+    if held:
+        yield _send(held, n_buckets)
+
+
+def _send(held: list[tuple], n_buckets: int) -> pa.RecordBatch:
+    """Of equal super-k-mers only those of the smallest document travel: the others are known to repeat it."""
+    text = b"".join(x[0] for x in held)
+    left, right, key, h, doc_id, tag, start, words = (np.concatenate(x) for x in list(zip(*held))[1:])
+    left, right = left.tolist(), right.tolist()
+    by = np.lexsort((doc_id, h))
+    same = h[by][1:] == h[by][:-1]
+    smallest: dict[bytes, int] = {}
+    known = np.zeros(len(h), bool)
+    for i in by[np.append(same, False) | np.insert(same, 0, False)].tolist() if len(h) else ():  # in the order of documents
+        known[i] = smallest.setdefault(text[left[i] : right[i]], doc_id[i]) < doc_id[i]
+    decided = np.flatnonzero(known)
+    bucket = ((key & np.uint64((1 << 58) - 1)) % np.uint64(n_buckets)).astype(np.int64)
+    go = np.flatnonzero(~known)
+    go = go[np.argsort(bucket[go], kind="stable")]
+    cuts = np.flatnonzero(np.diff(bucket[go], prepend=-1)).tolist()
+    squeeze = zstandard.ZstdCompressor(level=6).compress
+    blobs = []
+    for x, y in zip(cuts, [*cuts[1:], len(go)]):
+        part = go[x:y]
+        head = [np.array([len(part)], np.int64), doc_id[part], *(z[part].astype(np.int32) for z in (tag, start, words))]
+        blobs.append(squeeze(b"".join(z.tobytes() for z in head) + b" ".join([text[left[i] : right[i]] for i in part.tolist()])))
+    none, m = np.zeros(len(blobs), np.int64), len(decided)
+    columns = [doc_id[decided], tag[decided], start[decided], (start + words)[decided]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([bucket[go[cuts]], doc_id[decided] % n_buckets])), pa.array(blobs + [None] * m, pa.binary()),
+            *(pa.array(np.concatenate([none, x.astype(np.int64)])).cast(t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))),
+        ],
+        ["bucket", "blob", "id", "tag", "begin", "stop"],
+    )
 
 
 def _repeats(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
@@ -142,9 +151,10 @@ def _repeats(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     for blob in blobs:
         raw = zstandard.decompress(blob)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
-        heads.append(np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n))
-        texts.append(raw[8 + 32 * n :])
-    doc_id, tag, start, words = np.concatenate(heads, axis=1)
+        heads.append((np.frombuffer(raw, np.int64, n, 8), *np.frombuffer(raw, np.int32, 3 * n, 8 + 8 * n).reshape(3, n)))
+        texts.append(raw[8 + 20 * n :])
+    doc_id, tag, start, words = (np.concatenate(x) for x in zip(*heads))
+    start, words = start.astype(np.int64), words.astype(np.int64)
     text = b" ".join(texts)
     w = words_of(pa.array([text], pa.large_binary()))
     h = w.hashes()
@@ -173,7 +183,7 @@ def _repeats(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
         repeated[i] = smallest.setdefault(text[left[i] : right[i]], owner[i]) < owner[i]
     hit = np.flatnonzero(repeated)
     if not len(hit):
-        return (np.zeros(0, np.int64),) * 4
+        return doc_id[:0], tag[:0], start[:0], start[:0]
     runs = run[at[hit]]
     offset = start[runs] + at[hit] - (np.cumsum(words) - words)[runs]
     cut = np.flatnonzero(np.concatenate(([True], (runs[1:] != runs[:-1]) | (offset[1:] != offset[:-1] + 1))))
@@ -235,10 +245,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     One pass counts word pairs in a fixed number of cells, which orders the minimisers so that no frequent pair draws
     its whole neighbourhood to one bucket; the order steers the dealing only, never the result. A window in very many
-    documents reaches its bucket once per slice of text that holds it. Then the whole text meets its spans by doc_id.
+    documents reaches its bucket once per few megabytes of text that hold it. Then the whole text meets its spans by doc_id.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("tag"), F.col(text_col).alias("text"))
     cells = rows.select("text").mapInArrow(_count_pairs, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect()
     counts = np.zeros(CELLS)
     size = 0
@@ -251,10 +261,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     levels = spark.sparkContext.broadcast(np.log2(np.maximum(counts / mean, 1)).astype(np.uint8))
     n_buckets = 1 + size // BUCKET_BYTES
     parts = rows.filter("id IS NOT NULL").mapInArrow(
-        lambda it: _split(levels.value, n_buckets, window, it), "bucket long, blob binary, id long, tag long, begin long, stop long"
+        lambda it: _split(levels.value, n_buckets, window, it), "bucket long, blob binary, id long, tag int, begin long, stop long"
     )
     spans = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        lambda it: _join_buckets(window, it), "id long, tag long, begin long, stop long"
+        lambda it: _join_buckets(window, it), "id long, tag int, begin long, stop long"
     )
     spans = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
     return rows.join(spans, ["id", "tag"], "left").select(F.col("id").alias("doc_id"), "text", "spans").mapInArrow(
