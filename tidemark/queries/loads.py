@@ -10,7 +10,7 @@ from tidemark.queries.registry import at, query, table
 from tidemark.sources import history as hist
 from tidemark.sources.scan import stage_text, stamp_loaded_at
 from tidemark.sources.store import Warehouse, shared_folder
-from tidemark.spec import TableSpec
+from tidemark.spec import FactSpec, Field, TableSpec
 
 ORDERS = TableSpec(
     "ORDERS", "stg.orders", ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"),
@@ -150,3 +150,41 @@ def growing_scope(spark, sf):
     plan.incremental_load(wh, orders.filter("o_orderdate <= timestamp_ntz'1998-01-01'"), ORDERS, CUT, loaded_at=STAMP)
     plan.incremental_load(wh, orders, grown, END, loaded_at=at("2024-03-02"))
     return hist.read_history(wh, "stg.orders").select(*grown.columns)
+
+
+ORDER_FACT = FactSpec("rep.orders", "stg.orders", "order_no", "modified", (
+    Field("order_no", "o_orderkey"), Field("modified", "o_orderdate", "timestamp"), Field("price", "o_totalprice", "numeric"),
+))
+
+
+@query("""WITH o AS (SELECT count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '1998-01-01') AS a, count(*) AS n FROM orders),
+          c AS (SELECT count(*) AS c, count(*) FILTER (WHERE c_custkey % 5 <> 0) AS k FROM customer)
+          SELECT 1 AS night, 'succeeded' AS run, 'ORDERS' AS "table", 'succeeded' AS status, a AS source_n, a AS extracted_n, a AS staged_n, a AS loaded_n FROM o
+          UNION ALL SELECT 1, 'succeeded', 'CUSTOMER', 'succeeded', c, c, c, c FROM c
+          UNION ALL SELECT 2, 'succeeded', 'ORDERS', 'succeeded', n - a, n - a, n - a, n - a FROM o
+          UNION ALL SELECT 2, 'succeeded', 'CUSTOMER', 'drift', k, k, k, 0 FROM c
+          UNION ALL SELECT 3, 'failed', 'ORDERS', 'failed', NULL, NULL, NULL, NULL
+          UNION ALL SELECT 3, 'failed', 'CUSTOMER', 'succeeded', c, 0, 0, 0 FROM c
+          UNION ALL SELECT 3, 'failed', 'rep.orders', 'rows', NULL, NULL, NULL, (SELECT count(DISTINCT o_orderkey) FROM orders)""")
+def run_load(spark, sf):
+    """Three nights: a first load, more orders with a reference table that drifts, a night in which a column is gone."""
+    wh, orders, customer = _warehouse(spark, "nights"), table(spark, sf, "orders"), table(spark, sf, "customer")
+    nights = [
+        (CUT, orders.filter("o_orderdate <= timestamp_ntz'1998-01-01'"), customer),
+        (at("2100-01-01"), orders, customer.filter("c_custkey % 5 <> 0")),
+        (at("2100-01-02"), orders.drop("o_orderstatus"), customer),
+    ]
+    for ceiling, *sources in nights:
+        plan.run_load(wh, dict(zip(("ORDERS", "CUSTOMER"), sources)), [ORDERS, CUSTOMERS], ceiling, [ORDER_FACT])
+    night = F.when(F.year("watermark_to") == 1998, 1).otherwise(F.dayofmonth("watermark_to") + 1).alias("night")
+    runs = wh.current("load_run").select("run_id", night, F.col("status").alias("run"))
+    tables = wh.current("load_table_run").join(runs, "run_id").select(
+        "night", "run", F.col("source_table").alias("table"), "status", F.col("source_row_count").alias("source_n"),
+        F.col("extracted_row_count").alias("extracted_n"), F.col("staged_row_count").alias("staged_n"), F.col("loaded_row_count").alias("loaded_n"),
+    )
+    none = F.lit(None).cast("bigint")
+    fact = wh.read_fact(ORDER_FACT).agg(F.count("*").alias("loaded_n")).select(
+        F.lit(3).alias("night"), F.lit("failed").alias("run"), F.lit("rep.orders").alias("table"), F.lit("rows").alias("status"),
+        none.alias("source_n"), none.alias("extracted_n"), none.alias("staged_n"), "loaded_n",
+    )
+    return tables.unionByName(fact)
