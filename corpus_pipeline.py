@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import decode, encode, read_vocabulary
+from tidemark.llm.bpe import encode, read_vocabulary
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import keep_known, train
 from tidemark.llm.minhash import near_dedup
@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, how many there are, and the ids decoded."""
     vocabulary = read_vocabulary(public_tokenizers.path(VOCABULARY))
-    return decode(encode(docs, vocabulary), vocabulary).withColumn("n_tokens", F.size("ids"))
+    return encode(docs, vocabulary, decoded_col="decoded").withColumn("n_tokens", F.size("ids"))
 
 
 STAGES = [

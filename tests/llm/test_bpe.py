@@ -45,6 +45,7 @@ def test_spark_round_trip(spark, library):
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string, `odd name` int")
     vocabulary = read_vocabulary(PATH)
     got = decode(encode(df, vocabulary), vocabulary).orderBy("doc_id").collect()
+    assert encode(df, vocabulary, decoded_col="decoded").orderBy("doc_id").collect() == got
     want = [library.encode(t or "", add_special_tokens=False).ids for _, t, *_ in rows]
     assert [r.ids for r in got] == want
     assert [r.decoded for r in got] == [library.decode(i, skip_special_tokens=False) for i in want]

@@ -12,7 +12,7 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -21,10 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tidemark.llm.shared import find_package
 from tidemark.llm.words import slices
 
-#: Entries of each of the two generations of a task's caches; they change its speed, never its result.
-CACHE = 300_000
+#: Entries of each of the two generations of a process's caches; they change its speed, never its result.
+CHUNKS, WORDS = 80_000, 220_000
 
 #: Unicode's White_Space, as inside a character class. Python's str.split() also cuts at U+001C to U+001F.
 _WHITE = r"\t-\r \x85\xA0  -     　"
@@ -90,12 +91,12 @@ def read_vocabulary(path: str) -> Vocabulary:
 class _Cache(dict):
     """Keeps what was used lately: the older generation goes when the newer one is full."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
-        if len(self) >= CACHE:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         value = self.old.get(key)
@@ -107,7 +108,7 @@ class Encoder:
     def __init__(self, v: Vocabulary):
         self.v, self.words = v, re.compile(v.pattern)
         self.special = re.compile("|".join(map(re.escape, sorted(v.special, key=len, reverse=True))) or r"(?!)")
-        self.word, self.chunk = _Cache(self._word), _Cache(self._chunk)
+        self.word, self.chunk = _Cache(self._word, WORDS), _Cache(self._chunk, CHUNKS)
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit integers, one after the other."""
@@ -174,6 +175,20 @@ class Encoder:
         return [i for i in ids if i >= 0]
 
 
+_kept: list[Encoder] = []
+
+
+def _encoder(v: Vocabulary) -> Encoder:
+    """The encoder this process used last, with its caches, if it is for the same vocabulary."""
+    if not _kept or _kept[0].v is not v:
+        _kept[:] = [Encoder(v)]
+    return _kept[0]
+
+
+def _text(v: Vocabulary, ids: Iterable[int]) -> str:
+    return " ".join(map(v.tokens.__getitem__, ids))
+
+
 def _schema(docs: DataFrame, col: str, kind: str) -> str:
     """The columns of `docs` but `col`, then `col`, as a schema for Arrow tasks."""
     return ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema if f.name != col), f"`{col}` {kind}"])
@@ -184,25 +199,31 @@ def _with(batch: pa.RecordBatch, col: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(batch[n] for n in names), values], [*names, col])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """`docs` with the token ids of each whole text as array<int>, without special tokens added.
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """`docs` with the token ids of each whole text as array<int>, without special tokens added. With `decoded_col`, the
+    ids are decoded in the same task, as `decode` does.
 
     The strings of special tokens inside a text become those tokens. Null and empty texts have no ids. A column that
     is already called `ids_col` is replaced; column names must differ otherwise. Nothing is shuffled.
     """
+    find_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        encoder = _encoder(held.value)
         for batch in batches:
             for a, b in slices(batch[text_col]):
                 part = batch.slice(a, b - a)
                 ids = [encoder.encode(t) for t in pc.fill_null(part[text_col], "").to_pylist()]
                 ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                yield _with(part, ids_col, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+                part = _with(part, ids_col, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+                if decoded_col is not None:
+                    part = _with(part, decoded_col, pa.array([_text(held.value, memoryview(i).cast("i")) for i in ids], pa.string()))
+                yield part
 
-    return docs.mapInArrow(run, _schema(docs, ids_col, "array<int>"))
+    schema = _schema(docs, ids_col, "array<int>")
+    return docs.mapInArrow(run, schema if decoded_col is None else f"{schema}, `{decoded_col}` string")
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -210,14 +231,14 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_c
 
     Null ids decode to the empty text; an id outside the vocabulary is an error.
     """
+    find_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = held.value.tokens.__getitem__
         for batch in batches:
             for a in range(0, len(batch), 500):
                 part = batch.slice(a, 500)
-                texts = [" ".join(map(token, i or ())) for i in part[ids_col].to_pylist()]
+                texts = [_text(held.value, i or ()) for i in part[ids_col].to_pylist()]
                 yield _with(part, text_col, pa.array(texts, pa.string()))
 
     return docs.mapInArrow(run, _schema(docs, text_col, "string"))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import find_package
 from tidemark.llm.words import mix64, slices
 
 ORDER = 4
@@ -27,6 +28,8 @@ SAMPLE = 2000
 CALIBRATION = 20
 #: A document is rejected beyond so many standard deviations, so that hardly any document of a learned language is.
 LIMIT = 8.0
+#: Text scored at once within a task; a longer one is scored alone, whole.
+SLICE_BYTES = 1 << 19
 #: Steepness of the score: the scores of two languages differ by this power of e for one nat per character.
 STEEP = 8.0
 
@@ -187,7 +190,7 @@ def _scores(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     langs = np.array([*model.languages, "und"], object)
     limits = np.array([model.limits.get(x, (math.inf, 0, 0)) for x in model.languages] + [(math.inf, 0, 0)])
     for batch in batches:
-        for a, b in slices(batch["text"]):
+        for a, b in slices(batch["text"], SLICE_BYTES):
             flat, begins, letters = plain_characters(batch["text"].slice(a, b - a).to_pylist())
             logp = model.log_probabilities(flat)
             logp[np.add.outer(begins[:-1], np.arange(ORDER - 1))] = 0
@@ -218,6 +221,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     A language is thinned evenly by a hash of the id to about `sample` documents, or four in five; a quarter as many others
     calibrate it.
     """
+    find_package(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna(subset=["text", "lang"])
     sizes = rows.groupBy("lang").count().collect()
     if not sizes:
@@ -239,6 +243,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def _scored(docs: DataFrame, model: Model, schema: str) -> DataFrame:
+    find_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(lambda batches: _scores(held.value, batches), f"{schema}, {_SCORE_SCHEMA}")
 
@@ -256,6 +261,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that the model does not reject, with their columns."""
+    find_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

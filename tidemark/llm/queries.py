@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import decode, encode, read_vocabulary
+from tidemark.llm.bpe import encode, read_vocabulary
 from tidemark.llm.chat import CONTROL, format_branches, loss_text, read_turns
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import predict, train
@@ -56,7 +56,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs, vocabulary).drop("text"), vocabulary).select(
+    return encode(docs, vocabulary, decoded_col="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

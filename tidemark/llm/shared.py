@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,15 @@ def shared_folder(spark: SparkSession) -> str:
     return base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/llm-scratch"
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did, wherever they were started. A cluster whose machines
+    have it elsewhere, or get it with the job, is not disturbed."""
+    root, workers = os.path.abspath(os.path.join(os.path.dirname(__file__), "..", "..")), spark.sparkContext.environment
+    paths = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 class Scratch:
     """A folder for one call of an operator.
 
@@ -22,6 +32,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        find_package(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._count = 0
