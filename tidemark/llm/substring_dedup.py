@@ -17,6 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import find_package
 from tidemark.llm.words import Words, mix64, slices, words_of
 
 WINDOW = 13
@@ -248,6 +249,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents reaches its bucket once per few megabytes of text that hold it. Then the whole text meets its spans by doc_id.
     """
     spark = docs.sparkSession
+    find_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("tag"), F.col(text_col).alias("text"))
     cells = rows.select("text").mapInArrow(_count_pairs, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect()
     counts = np.zeros(CELLS)

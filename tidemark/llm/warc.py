@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, find_package
 
 #: Payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
@@ -217,6 +217,7 @@ class _Index:
 
 def look_up(wanted: DataFrame, parts: list[tuple[str, int, str]]) -> DataFrame:
     """Captures (file, offset, length) of the pages in `wanted` (key, page_id), each once, however often it is wanted."""
+    find_package(wanted.sparkSession)
     held = wanted.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,4 +266,6 @@ def read_records(captures: DataFrame) -> DataFrame:
                 part = batch.slice(a, 500).to_pylist()
                 yield pa.RecordBatch.from_pylist([parse_record(ranges.read(r["file"], r["offset"], r["length"])) for r in part], types)
 
-    return captures.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    # a number of its own: a range is a few bytes here, and tasks joined by those would each read far too much
+    parts = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return captures.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
