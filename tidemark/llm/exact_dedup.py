@@ -85,7 +85,8 @@ def exact_dedup(
 
     known = scratch.table(rows.drop("blocks").join(done, "row"))
     best = F.min(F.struct((-F.col("n_chars")).alias("fewer"), F.col("id").isNull().alias("none"), "id", "row"))
-    groups = known.groupBy("n_blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
+    # as a table of its own, so that Spark may split a large group's rows in the join
+    groups = scratch.table(known.groupBy("n_blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size")))
     return known.join(groups, ["n_blocks", "name"]).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"),
