@@ -94,7 +94,8 @@ def draw(docs: DataFrame, tokens: Column, target_entropy: float | None = None, m
     plan = spark.createDataFrame(plan, "source string, held long, passes long, rest long, n_blocks long")
 
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = rows.join(plan, "source").withColumn("block", F.pmod(_number(F.lit(seed), name), F.col("n_blocks")))
+    # the plan is a row per source, listed on the driver a moment ago; a shuffle by source would put a large one in one task
+    rows = rows.join(F.broadcast(plan), "source").withColumn("block", F.pmod(_number(F.lit(seed), name), F.col("n_blocks")))
     blocks = rows.groupBy("source", "block", "passes", "rest").agg(F.sum("n_tokens").alias("bytes"))
     blocks = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), "passes")))
     order = Window.partitionBy("source", "epoch").orderBy(_number(F.lit(seed), F.col("epoch"), F.col("source"), F.col("block")), "block")
