@@ -48,32 +48,34 @@ def branches(messages: DataFrame, best: int = 1) -> tuple[DataFrame, DataFrame]:
     no root and are in no branch, nor are messages without a tree or a node. Rows that repeat a (tree, node) count once, the one with the smallest parent.
     """
     scratch = Scratch(messages.sparkSession, "branches")
+    messages = messages.filter("tree IS NOT NULL AND node IS NOT NULL")
     once = messages.groupBy("tree", "node").agg(F.min_by("parent", F.coalesce("parent", F.lit(-(2**63)))).alias("parent"), F.max(F.coalesce("score", F.lit(0.0))).alias("score"))
     once = scratch.table(once)
     there = once.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     jump = once.join(there, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.col("score").cast("double").alias("sum"), F.lit(1).cast("long").alias("steps")
     )
-    # level k: up is the ancestor 2**k above, sum and steps cover what lies below it
-    levels, open_before = [scratch.table(jump)], -1
-    while (still := levels[-1].filter("up IS NOT NULL").count()) and still != open_before:
-        at, over = levels[-1], levels[-1].select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("steps").alias("steps2"))
-        joined = at.join(over, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")
+    # level k holds the messages with an ancestor 2**k above: that ancestor, and the sum and number of what lies below it.
+    # Those that have come to their root are done, so a level joins only what is deep enough for it.
+    first = scratch.table(jump)
+    levels, done, open_before = [first.filter("up IS NOT NULL")], first.filter("up IS NULL"), -1
+    while (still := levels[-1].count()) and still != open_before:
+        over = levels[-1].unionByName(done).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("steps").alias("steps2"))
+        joined = levels[-1].join(over, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum"), (F.col("steps") + F.col("steps2")).alias("steps")
         )
-        levels.append(scratch.table(joined))
-        open_before = still
-    rooted = levels[-1].filter("up IS NULL")
-    parents = levels[0].filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
-    leaves = rooted.join(parents, ["tree", "node"], "left_anti").select(
+        joined = scratch.table(joined)
+        levels.append(joined.filter("up IS NOT NULL"))
+        done, open_before = done.unionByName(joined.filter("up IS NULL")), still
+    parents = levels[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = done.join(parents, ["tree", "node"], "left_anti").select(
         "tree", F.col("node").alias("leaf"), (F.col("sum") / F.col("steps")).alias("score"), F.col("steps").alias("depth")
     )
     by = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("depth"), "leaf")
     ranked = scratch.table(leaves.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= best))
     path = ranked.select("tree", "leaf", F.col("leaf").alias("node"), F.col("depth").alias("place"))
-    for k in range(len(levels) - 2, -1, -1):  # every distance is one sum of powers of two, so every ancestor comes once
-        up = levels[k].filter("up IS NOT NULL").select("tree", "node", "up")
-        above = path.join(up, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))
+    for k in range(len(levels) - 1, -1, -1):  # every distance is one sum of powers of two, so every ancestor comes once
+        above = path.join(levels[k].select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))
         path = scratch.table(path.unionByName(above))
     return ranked, path
 
