@@ -67,3 +67,17 @@ def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r for r in QUERIES["op10_language_id"](spark, sf).collect() if r.held_out]
     assert sum(r.lang_pred == langs[r.doc_id] for r in got) >= 0.99 * len(got) > 250
+
+
+def test_a_rare_language_has_a_limit_and_is_learned_whole(spark):
+    model = train(labelled(spark).limit(60))  # too few for 20 calibration documents a language
+    assert set(model.limits) == set(model.languages)
+    rare = "ο γρηγορος σκυλος τρεχει στο μεγαλο πρασινο λιβαδι και κοιταζει τα ζωα του αγρου"
+    noise = "".join(chr(0x4E00 + i * 37 % 9000) for i in range(400))
+    for i in range(2):
+        model = train(labelled(spark).unionByName(spark.createDataFrame([(9000 + i, rare, "el", 1.0)], labelled(spark).schema)))
+        docs = spark.createDataFrame([(1, noise), (2, EN), (3, rare)], "doc_id long, text string")
+        assert [(r.lang_pred, r.rejected) for r in predict(docs, model).orderBy("doc_id").collect()][1:] == [("en", False), ("el", False)]
+        assert predict(docs, model).filter("doc_id = 1").first().rejected
+    model = train(spark.createDataFrame([(1, EN, "en")], "doc_id long, text string, lang string"))
+    assert [r.rejected for r in predict(docs, model).orderBy("doc_id").collect()] == [True, False, True]

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ from tidemark.llm.words import mix64, slices
 ORDER = 4
 #: The models are fitted on about this many labelled documents a language, whole texts, and calibrated on others.
 SAMPLE = 2000
-#: A language with fewer documents to calibrate on has no limit: nothing that looks most like it is rejected.
+#: A language that has no others is calibrated by models that each leave out one of so many parts of its documents.
+FOLDS = 4
+#: A language with fewer documents to calibrate on takes the variances of all languages for as many documents as this.
 CALIBRATION = 20
 #: A document is rejected beyond so many standard deviations, so that hardly any document of a learned language is.
 LIMIT = 8.0
@@ -176,14 +179,17 @@ def _lower(grams, contexts, g: str, i: int, unseen: float) -> float:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By language, and by part where the batches have one."""
     for batch in batches:
         counts = defaultdict(Counter)
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+        folds = batch["fold"].to_pylist() if "fold" in batch.schema.names else [-1] * len(batch)
+        for lang, fold, text in zip(batch["lang"].to_pylist(), folds, batch["text"].to_pylist()):
             flat, _, _ = plain_characters([text])
             s = "".join(map(chr, flat.tolist()))
-            counts[lang].update(s[i : i + ORDER] for i in range(len(s) - ORDER + 1))
-        rows = [(lang, g, n) for lang, c in counts.items() for g, n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ([], [], []), (pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
+            counts[lang, fold].update(s[i : i + ORDER] for i in range(len(s) - ORDER + 1))
+        rows = [(lang, fold, g, n) for (lang, fold), c in counts.items() for g, n in c.items()]
+        kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ([],) * 4, kinds)], ["lang", "fold", "gram", "n"])
 
 
 def _scores(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,34 +224,74 @@ _SCORE_SCHEMA = "lang_pred string, score double, entropy double, within double,
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """The models of every language in `labelled`; rows with a null text or language teach nothing.
 
-    A language is thinned evenly by a hash of the id to about `sample` documents, or four in five; a quarter as many others
-    calibrate it.
+    A language with much more than `sample` documents is thinned evenly by a hash to about as many, and a quarter as many
+    others calibrate it. A smaller one is learned from all its documents and calibrated by models that leave a part out.
     """
     find_package(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna(subset=["text", "lang"])
     sizes = rows.groupBy("lang").count().collect()
     if not sizes:
         raise ValueError("no labelled text to learn a language from")
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
-    enough = F.lit(0.0)
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / (1 << 30)
+    enough = F.lit(1.0)
     for r in sizes:
-        enough = F.when(F.col("lang") == r.lang, F.lit(min(sample / r["count"], 0.8))).otherwise(enough)
-    counts = defaultdict(dict)
-    grams = rows.filter(place < enough).mapInArrow(_count_grams, "lang string, gram string, n long")
-    for r in grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r.lang][r.gram] = r.n
-    model = kneser_ney(counts)
-    calibration = rows.filter((place >= enough) & (place < 1.25 * enough)).select("lang", "text")
-    right = _scored(calibration, model, "lang string").filter("lang_pred = lang").groupBy("lang")
-    for r in right.agg(F.count("*").alias("n"), F.avg("entropy"), F.var_samp("entropy"), F.avg("within")).filter(F.col("n") >= CALIBRATION).collect():
-        model.limits[r[0]] = (r[2], r[3], r[4])
+        if r["count"] > 1.25 * sample:
+            enough = F.when(F.col("lang") == r.lang, F.lit(sample / r["count"])).otherwise(enough)
+    # copies of a text are in one part
+    fold = F.when(enough < 1, F.lit(-1)).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS))).cast("int").alias("fold")
+    counts = defaultdict(lambda: defaultdict(dict))  # by part and language
+    grams = rows.filter(place < enough).select("lang", fold, "text").mapInArrow(_count_grams, "lang string, fold int, gram string, n long")
+    for r in grams.groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[r.fold][r.lang][r.gram] = r.n
+
+    def without(part: int | None) -> dict[str, Counter]:
+        total = defaultdict(Counter)
+        for f, by_lang in counts.items():
+            for lang, grams in by_lang.items() if f != part else ():
+                total[lang].update(grams)
+        return total
+
+    model = kneser_ney(without(None))
+    models = {-1: model} | {f: kneser_ney(rest) for f in counts if f >= 0 and (rest := without(f))}
+    others = rows.filter((enough == 1) | ((place >= enough) & (place < 1.25 * enough))).select("lang", fold, "text")
+    others = others.filter(F.col("fold").isin(list(models)))
+    right = _scored(others, models, "lang string, fold int").filter("lang_pred = lang").groupBy("lang")
+    figures = right.agg(F.count("*").alias("n"), F.avg("entropy").alias("mean"), F.var_samp("entropy").alias("between"), F.avg("within").alias("within")).collect()
+    model.limits = _limits(model, {r.lang: (r.n, r["mean"], r.between or 0.0, r.within) for r in figures})
     return model
 
 
-def _scored(docs: DataFrame, model: Model, schema: str) -> DataFrame:
+def _limits(model: Model, figures: dict[str, tuple[int, float, float, float]]) -> dict[str, tuple[float, float, float]]:
+    """For every language, from its calibration documents' number, mean entropy, variance between and variance within.
+
+    Where they are few, the mean stays the language's own, as a model that has seen little fits its language less well,
+    but the variances lean on those of all languages and allow for the error of that mean. A language without any is
+    judged by chance alone: its text must cost less than characters drawn evenly from all that were seen.
+    """
+    freedom, held = sum(n - 1 for n, *_ in figures.values()), sum(n for n, *_ in figures.values())
+    spread = sum((n - 1) * between for n, _, between, _ in figures.values()) / freedom if freedom else 0.0
+    inside = sum(n * within for n, *_, within in figures.values()) / held if held else 0.0
+    limits = {lang: (-model.unseen, 0.0, 0.0) for lang in model.languages}
+    for lang, (n, mean, between, within) in figures.items():
+        if n < CALIBRATION:
+            between = ((n - 1) * between + CALIBRATION * spread) / (n - 1 + CALIBRATION) * (1 + 1 / n)
+            within = (n * within + CALIBRATION * inside) / (n + CALIBRATION)
+        limits[lang] = (mean, between, within)
+    return limits
+
+
+def _scored(docs: DataFrame, models: dict[int, Model], schema: str) -> DataFrame:
+    """Each row by the model of its fold, or by the only one where rows have none."""
     find_package(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(lambda batches: _scores(held.value, batches), f"{schema}, {_SCORE_SCHEMA}")
+    held = docs.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for f, model in held.value.items():
+                part = batch.filter(pc.equal(batch["fold"], f)) if "fold" in batch.schema.names else batch
+                yield from _scores(model, iter([part] if len(part) else []))
+
+    return docs.mapInArrow(run, f"{schema}, {_SCORE_SCHEMA}")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,7 +302,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return _scored(rows, model, f"doc_id {kind}").select("doc_id", "lang_pred", "score", "entropy", "rejected")
+    return _scored(rows, {-1: model}, f"doc_id {kind}").select("doc_id", "lang_pred", "score", "entropy", "rejected")
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
