@@ -63,3 +63,9 @@ def test_edges(spark):
     assert draw(docs(spark, []), F.col("n")).collect() == []
     one = draw(docs(spark, [(1, "a", 1), (2, "a", 9)]), F.col("n")).collect()
     assert sorted((r.doc_id, r.epoch) for r in one) == [(1, 0), (2, 0)]
+
+
+def test_a_source_of_any_size_keeps_its_last_token():
+    held = {"a": 543_767_120_406, "b": 14_048_056_808, "c": 4_371_694_838}
+    mix = fit(held, 0.6 * math.log(3), 2.0)
+    assert all(mix.budgets[s] >= n for s, n in held.items())

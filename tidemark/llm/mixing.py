@@ -63,7 +63,10 @@ def fit(tokens: dict[str, int], target_entropy: float, max_repeats: float, budge
     w = weights(tokens, exponent)
     total = needed(w)
     # a hair more than the product, so that a source that is drawn exactly once is not short of its last token
-    return Mix(exponent, {s: math.floor(w[s] * total + 1e-6) for s in w})
+    budgets = {s: math.floor(w[s] * total + 1e-6) for s in w}
+    if budget is None:  # the hair is less than a rounding step of a large product
+        budgets = {s: max(tokens[s], n) for s, n in budgets.items()}
+    return Mix(exponent, budgets)
 
 
 def _number(*parts: Column) -> Column:
