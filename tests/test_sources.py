@@ -105,3 +105,13 @@ def test_seed_carries_populated_columns_and_refuses(spark, wh):
         seed_history(wh, copy, profile.limit(0), "stg.u", ts("2024-01-01"))
     with pytest.raises(ValueError, match="empty"):
         seed_history(wh, copy, profile_columns(copy.select("empty"), "t"), "stg.u", ts("2024-01-01"))
+
+
+def test_sampled_rows_are_rows_of_events(spark):
+    from tidemark.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    got = QUERIES["scan_sample_rows"](spark, sf)
+    assert got.columns == [*events.columns, "sampled"] and got.count() == min(events.count(), 100) and got.filter("sampled").count() == got.count()
+    assert got.drop("sampled").exceptAll(events).count() == 0

@@ -42,6 +42,12 @@ def scan_sample(spark, sf):
     return sample.agg(F.count("*").alias("n"), F.min("sampled").alias("sampled"))
 
 
+@query(None)
+def scan_sample_rows(spark, sf):
+    """The sampled rows themselves. SQL cannot give the same ones; a test holds them against events."""
+    return scan.scan_sample(table(spark, sf, "events"), 100)
+
+
 @query(f"SELECT * FROM events WHERE {_RANGE}")
 def scan_bounded(spark, sf):
     return scan.scan_bounded(table(spark, sf, "events"), "ts", FLOOR, CEILING)
