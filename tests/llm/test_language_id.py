@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,32 @@ def test_a_rare_language_has_a_limit_and_is_learned_whole(spark):
         assert predict(docs, model).filter("doc_id = 1").first().rejected
     model = train(spark.createDataFrame([(1, EN, "en")], "doc_id long, text string, lang string"))
     assert [r.rejected for r in predict(docs, model).orderBy("doc_id").collect()] == [True, False, True]
+
+
+def test_short_texts_of_random_letters_are_rejected():
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidemark.llm.language_id import _limits, _scores
+
+    by = {}
+    for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]).to_pylist():
+        by.setdefault(r["lang"], []).append(r["text"] or "")
+
+    def scored(model, texts):
+        return pa.Table.from_batches(_scores(model, iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))).to_pylist()
+
+    counts = {}
+    for lang in ("en", "de", "fr"):
+        batch = pa.RecordBatch.from_arrays([pa.array([lang] * 300), pa.array(by[lang][:300])], ["lang", "text"])
+        counts[lang] = {g: n for b in _count_grams([batch]) for g, n in zip(b["gram"].to_pylist(), b["n"].to_pylist())}
+    model, figures = kneser_ney(counts), {}
+    for lang in counts:
+        got = [r for r in scored(model, by[lang][300:400]) if r["lang_pred"] == lang]
+        mean = sum(r["entropy"] for r in got) / len(got)
+        figures[lang] = (len(got), mean, sum((r["entropy"] - mean) ** 2 for r in got) / (len(got) - 1), sum(r["within"] for r in got) / len(got))
+    model.limits = _limits(model, figures)
+    rng = random.Random(1)
+    foreign = scored(model, ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(23)) for _ in range(300)])
+    own = scored(model, [x[:100] for lang in counts for x in by[lang][400:] if len(x) >= 200][:1000])
+    assert sum(r["rejected"] for r in foreign) > 0.9 * len(foreign) and sum(r["rejected"] for r in own) < 0.01 * len(own)

@@ -29,8 +29,9 @@ SAMPLE = 2000
 FOLDS = 4
 #: A language with fewer documents to calibrate on takes the variances of all languages for as many documents as this.
 CALIBRATION = 20
-#: A document is rejected beyond so many standard deviations, so that hardly any document of a learned language is.
-LIMIT = 8.0
+#: A document is rejected beyond so many standard deviations between documents and, as it is short, of its characters'
+#: mean, so that hardly any document of a learned language is. README has the rates by length.
+LIMIT, NOISE = 8.0, 4.0
 #: Text scored at once within a task; a longer one is scored alone, whole.
 SLICE_BYTES = 1 << 19
 #: Steepness of the score: the scores of two languages differ by this power of e for one nat per character.
@@ -210,7 +211,7 @@ def _scores(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             none = letters == 0
             best[none] = len(model.languages)
             mean, between, inside = limits[best].T
-            rejected = none | (least > mean + LIMIT * np.sqrt(between + 4 * inside / n))
+            rejected = none | (least > mean + np.sqrt(LIMIT**2 * between + NOISE**2 * 4 * inside / n))
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c].slice(a, b - a) for c in batch.schema.names if c != "text"), pa.array(langs[best], pa.string()), pa.array(np.where(none, 0.0, score)),
                  pa.array(least), pa.array(within), pa.array(n, pa.int64()), pa.array(rejected)],
