@@ -80,3 +80,12 @@ def test_edges(spark):
     long = "é[INST]" * 200_000
     got = format_branches(frame(spark, [(1, 1, None, 0.0, "assistant", long)])).select(read_turns(F.col("formatted")).alias("turns")).first()
     assert got.turns[0].text == long
+
+
+def test_messages_without_conv_id_are_a_conversation(spark, tmp_path):
+    from tidemark.llm.queries import QUERIES
+
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "bc"), (0, 0, "user", "d"), (0, 1, "assistant", "e"), (7, 0, "user", "f")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: (r.n_turns, r.loss_chars) for r in QUERIES["op2_chat_formatting"](spark, str(tmp_path)).collect()}
+    assert got == {None: (2, 2), 0: (2, 1), 7: (1, 0), -1: (2, 21)}

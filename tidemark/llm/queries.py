@@ -95,12 +95,13 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     node = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
-    messages = said.select(F.col("conv_id").alias("tree"), node.alias("node"), "role", "text", F.lit(0.0).alias("score"))
+    tree = F.struct(F.col("conv_id").isNull().alias("none"), F.coalesce("conv_id", F.lit(0)).alias("id"))  # rows without conv_id are a conversation too
+    messages = said.select(tree.alias("tree"), node.alias("node"), "role", "text", F.lit(0.0).alias("score"))
     messages = messages.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))  # a conversation without branches
     done = format_branches(messages).select("tree", "formatted", read_turns(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("lost"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n"))), "")
     return done.select(
-        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.when(~F.col("tree.none"), F.col("tree.id")).alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.char_length("lost").cast("long").alias("loss_chars"), F.sha2("lost", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
