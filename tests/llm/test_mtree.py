@@ -55,3 +55,21 @@ def test_whole_table_against_numpy(spark):
         best = [j for j in np.lexsort((ids, -s)) if j != i][:10]
         want += [(int(ids[i]), r, int(ids[j]), int(s[j])) for r, j in enumerate(best, 1)]
     assert sorted(tuple(r) for r in QUERIES["op6_mtree_top_k"](spark, sf).collect()) == sorted(want)
+
+
+def test_scores_beside_a_large_norm_are_exact():
+    """A page is not passed over where one rounding step of a distance is more than 1e-7."""
+    import pyarrow as pa
+
+    rng, dim, n = np.random.default_rng(0), 64, 600
+    v = rng.integers(-(2**15), 2**15, (n, dim))
+    v[0], v[1:200] = 0, v[1]
+    v[0, 0] = 2**30 - 1
+    m2 = int((v * v).sum(axis=1).max())
+    table = pa.table({"vec_id": list(range(n)), "v": [x.astype(np.int32).tobytes() for x in v], "hash": list(range(n)), "node": ["0"] * n})
+    tree = mtree._Subtree(mtree._build(m2, dim, table).to_pylist()[0], dim)
+    for q in range(0, n, 5):
+        scores = v @ v[q]
+        want = [(int(scores[i]), -int(i)) for i in np.lexsort((np.arange(n), -scores)) if i != q][:10]
+        for least in (None, want[-1][0]):
+            assert sorted(tree.search(q, v[q], 10, least, m2), reverse=True) == want

@@ -26,8 +26,8 @@ LEVELS = 12
 QUERY_BLOCK = 256
 #: Components from here on take no part, so that scores fit 64 bits.
 LARGEST = 1 << 20
-#: Far above the rounding of any distance here and far below the difference that one unit of score makes.
-SLACK = 1e-7
+#: Times sqrt(M2) and the number of components: above the rounding of all distances of one comparison.
+SLACK = 2.0**-49
 
 
 def _points(vectors: list[bytes], m2: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,12 +106,13 @@ class _Subtree:
 
     def search(self, query: int, q: np.ndarray, k: int, least: int | None, m2: int) -> list[tuple[int, int]]:
         """The best k points (score, -id) with a score of at least `least`."""
-        base = float((q * q).sum()) + m2
+        base = int((q * q).sum()) + m2  # exact, as scores are
+        slack = SLACK * (len(q) + 8) * max(np.sqrt(m2), 1.0)
         point = np.append(q, 0).astype(np.float64)
 
         def reach(score: int | None) -> float:
             """Points further away than this have a lower score."""
-            return np.inf if score is None else np.sqrt(max(base - 2.0 * score, 0.0)) + SLACK
+            return np.inf if score is None else np.sqrt(float(max(base - 2 * score, 0))) + slack
 
         limit, best = reach(least), []
         to_centre = float(np.sqrt(((point - self.centre) ** 2).sum()))
