@@ -17,6 +17,7 @@ from tidemark.llm.mixing import BLOCK_TOKENS, count_words, draw
 from tidemark.llm.mtree import top_k
 from tidemark.llm.shared import Scratch
 from tidemark.llm.sharding import kd_shards
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.warc import look_up, read_records, url_key, write_archives, write_index
 
@@ -213,3 +214,27 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.
 SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+#: The remainders of CRC-32 by its rule (polynomial 0xEDB88320), then a run's checksum byte by byte.
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE c AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda v, b: xor(v >> 1, (v & 1) * 3988292384), i) AS v FROM range(256) r(i))),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+d AS (SELECT run, count(*) AS k, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS b FROM r GROUP BY doc_id, run),
+h AS (SELECT run, k, xor(list_reduce(list_transform(range(0, octet_length(b)), lambda i: ('0x' || hex(b)[2 * i + 1:2 * i + 2])::BIGINT),
+             lambda v, x: xor(v >> 8, t[1 + (xor(v, x) & 255)]), 4294967295), 4294967295) AS h FROM d, c),
+o AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+s AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n FROM s a JOIN s b USING (rest, i) WHERE a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM s a JOIN w b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM s a JOIN w b ON a.rest = b.word),
+g AS (SELECT word, count(*) AS n_near, max(n) AS best_n, arg_min(near, (-n, encode(near))) AS best FROM p GROUP BY word),
+f AS (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n FROM w LEFT JOIN g USING (word)),
+z AS (SELECT word, word AS root FROM f WHERE form IS NULL UNION ALL SELECT f.word, z.root FROM f JOIN z ON f.form = z.word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)
+"""
