@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import Pair, align_tokens
 from tidemark.llm.bpe import encode, read_vocabulary
 from tidemark.llm.chat import CONTROL, format_branches, loss_text, read_turns
 from tidemark.llm.exact_dedup import exact_dedup
@@ -238,3 +239,9 @@ f AS (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w
 z AS (SELECT word, word AS root FROM f WHERE form IS NULL UNION ALL SELECT f.word, z.root FROM f JOIN z ON f.form = z.word)
 SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)
 """
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = Pair.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return align_tokens(table(spark, sf_dir, "documents"), pair)
