@@ -16,6 +16,8 @@ from tidemark.llm.language_id import predict, train
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import BLOCK_TOKENS, count_words, draw
 from tidemark.llm.mtree import top_k
+from tidemark.llm.pii import find_personal_data
+from tidemark.llm.pii import train as train_tagger
 from tidemark.llm.shared import Scratch
 from tidemark.llm.sharding import kd_shards
 from tidemark.llm.spelling import spelling_variants
@@ -245,3 +247,9 @@ SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = Pair.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return align_tokens(table(spark, sf_dir, "documents"), pair)
+
+
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return find_personal_data(docs, train_tagger(docs))
