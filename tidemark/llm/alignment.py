@@ -8,9 +8,11 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from tidemark.llm.shared import Scratch
 from tidemark.llm.words import slices
 
 #: Text whose fragments are told apart and tokenized together. A longer text is a slice of its own, whole.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: Fragments that are handed to the libraries at once.
 BATCH = 20_000
 #: Identifiers of the second tokenizer take this many bits of a pair.
@@ -74,62 +76,108 @@ def byte_letters() -> dict[int, str]:
     return {**{v: chr(v) for v in shown}, **{v: chr(256 + i) for i, v in enumerate(hidden)}}
 
 
-def _char_ends(data: np.ndarray) -> np.ndarray:
-    """The byte at which each character ends, with 0 before the first."""
-    return np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+@dataclass
+class Aligned:
+    """What `align` found for fragments; of fragment f the links are those from `link_first[f]` to `link_first[f + 1]`."""
+
+    good: np.ndarray
+    sizes: np.ndarray  # fragment; tokens of A, tokens of B, groups, links
+    groups: list[str]
+    link_first: np.ndarray
+    links_a: np.ndarray
+    links_b: np.ndarray
+
 
+def _flat(lists: list, width: int, n: int) -> np.ndarray:
+    items = chain.from_iterable(lists)
+    return np.fromiter(chain.from_iterable(items) if width == 2 else items, np.int64, n * width).reshape(n, width)
 
-def _ends(ids: list[int], token_bytes: list[bytes], coarse: np.ndarray, sure: np.ndarray) -> np.ndarray | None:
+
+def _ends(ids: np.ndarray, length: np.ndarray, coarse: np.ndarray, sure: np.ndarray) -> np.ndarray:
     """Where each token ends. `coarse` is right where it is `sure`; within a character only the tokens' own bytes tell."""
-    refined = np.cumsum(np.fromiter((len(token_bytes[i]) for i in ids), np.int64, len(ids)))
-    return None if (refined[sure] != coarse[sure]).any() else np.where(sure, coarse, refined)
+    refined = np.cumsum(length[ids])
+    if (refined[sure] != coarse[sure]).any():
+        raise ValueError("spans and decoded bytes disagree")
+    return np.where(sure, coarse, refined)
 
 
-@dataclass
-class Fragment:
-    a: list[int]
-    b: list[int]
-    groups: str
-    n_groups: int
-    links_a: np.ndarray
-    links_b: np.ndarray
+def _joined(ids: list[list[int]], token_bytes: list[bytes], data: list[bytes]) -> np.ndarray:
+    """Whether the joined bytes of each fragment's tokens are the fragment's."""
+    if b"".join([token_bytes[i] for i in chain.from_iterable(ids)]) == b"".join(data):
+        return np.fromiter((sum(len(token_bytes[i]) for i in x) == len(d) for x, d in zip(ids, data)), bool, len(data))
+    return np.fromiter((b"".join([token_bytes[i] for i in x]) == d for x, d in zip(ids, data)), bool, len(data))
 
 
-def align(fragments: list[str], pair: Pair) -> Iterator[Fragment | None]:
-    """For each fragment, a space and whatever follows, its tokens, groups and links; None where the joined bytes of
-    one tokenizer are not the fragment's.
+def align(fragments: list[str], pair: Pair) -> Aligned:
+    """The tokens, groups and links of fragments, each a space and whatever follows; those where the joined bytes of one
+    tokenizer are not the fragment's are not good and have none.
 
     The character offsets of `tokenizers` and the byte spans of sentencepiece's proto are coarse cuts: tokens of one
     character share its span, and of a character written as byte tokens only the last has one. There the tokens'
-    decoded bytes tell where each ends. Every place where a token of either side ends begins a new link; every place
-    where both end, a new group.
+    decoded bytes tell where each ends. Every place where a token of either side ends closes a link; every place where
+    both end, a group.
     """
     tok_a, tok_b, bytes_a, bytes_b, _ = pair.load()
-    for begin in range(0, len(fragments), BATCH):
-        part = fragments[begin : begin + BATCH]
-        encoded_a = tok_a.encode_batch(part, add_special_tokens=False)
-        encoded_b = tok_b.encode([f[1:].encode() for f in part], return_type="offset_mapping", return_bytes=True, num_threads=1)
-        for f, ea, eb in zip(part, encoded_a, encoded_b):
-            data, a, b = f.encode(), ea.ids, eb["ids"]
-            if b"".join([bytes_a[i] for i in a]) != data or b"".join([bytes_b[i] for i in b]) != data:
-                yield None
-                continue
-            spans = np.array(ea.offsets, np.int64)
-            to = spans[:, 1] if len(data) == len(f) else _char_ends(np.frombuffer(data, np.uint8))[spans[:, 1]]
-            end_a = _ends(a, bytes_a, to, np.append(spans[1:, 0] >= spans[:-1, 1], True))
-            spans = np.array(eb["offsets"], np.int64) + 1  # the space before the text
-            spans[0, 0] = 0
-            end_b = _ends(b, bytes_b, spans[:, 1], np.append(spans[1:, 0] >= spans[:-1, 1], True) & (spans[:, 1] > spans[:, 0]))
-            if end_a is None or end_b is None:
-                raise ValueError(f"spans and decoded bytes disagree on {f!r}")
-            both = np.union1d(end_a, end_b)
-            ia, ib = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
-            cut = np.flatnonzero((end_a[ia] == both) & (end_b[ib] == both))
-            groups, i, j = [], 0, 0
-            for k, m in zip((ia[cut] + 1).tolist(), (ib[cut] + 1).tolist()):
-                groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-                i, j = k, m
-            yield Fragment(a, b, ";".join(groups), len(cut), np.array(a, np.int64)[ia], np.array(b, np.int64)[ib])
+    parts = [_align(fragments[i : i + BATCH], tok_a, tok_b, bytes_a, bytes_b) for i in range(0, len(fragments), BATCH)]
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return Aligned(none.astype(bool), none.reshape(0, 4), [], np.zeros(1, np.int64), none, none)
+    sizes = np.concatenate([p.sizes for p in parts])
+    return Aligned(
+        np.concatenate([p.good for p in parts]), sizes, list(chain.from_iterable(p.groups for p in parts)),
+        np.concatenate(([0], np.cumsum(sizes[:, 3]))), np.concatenate([p.links_a for p in parts]), np.concatenate([p.links_b for p in parts]),
+    )
+
+
+def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned:
+    data = [f.encode() for f in fragments]
+    encoded = tok_a.encode_batch(fragments, add_special_tokens=False)
+    ids_a, spans_a = [e.ids for e in encoded], [e.offsets for e in encoded]
+    # the spans of the immutable proto, under the name that the library gives them now
+    encoded = tok_b.encode([d[1:] for d in data], return_type="offset_mapping", return_bytes=True, num_threads=1)
+    ids_b, spans_b = [e["ids"] for e in encoded], [e["offsets"] for e in encoded]
+    good = _joined(ids_a, bytes_a, data) & _joined(ids_b, bytes_b, data)
+    kept = np.flatnonzero(good).tolist()
+    ids_a, spans_a, ids_b, spans_b, data = ([x[i] for i in kept] for x in (ids_a, spans_a, ids_b, spans_b, data))
+    n_a, n_b, n_bytes = (np.fromiter(map(len, x), np.int64, len(kept)) for x in (ids_a, ids_b, data))
+    base = np.cumsum(n_bytes) - n_bytes
+    a, b = _flat(ids_a, 1, n_a.sum())[:, 0], _flat(ids_b, 1, n_b.sum())[:, 0]
+    lengths = [np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b)]
+
+    begins = np.flatnonzero((np.frombuffer(b"".join(data), np.uint8) & 0xC0) != 0x80)  # of characters, then the end
+    begins = np.append(begins, n_bytes.sum())
+    span = _flat(spans_a, 2, len(a)) + np.repeat(np.searchsorted(begins, base), n_a)[:, None]
+    last = np.zeros(len(a) + 1, bool)
+    last[np.cumsum(n_a)] = True
+    end_a = _ends(a, lengths[0], begins[span[:, 1]], last[1:] | (np.append(span[1:, 0], 0) >= span[:, 1]))
+    span = _flat(spans_b, 2, len(b)) + np.repeat(base + 1, n_b)[:, None]  # after the space before the text
+    last = np.zeros(len(b) + 1, bool)
+    last[np.cumsum(n_b)] = True
+    first = np.append(True, last[1:-1]) if len(b) else last[:0]
+    sure = (last[1:] | (np.append(span[1:, 0], 0) >= span[:, 1])) & ((span[:, 1] > span[:, 0]) | first)
+    end_b = _ends(b, lengths[1], span[:, 1], sure)
+
+    both = np.union1d(end_a, end_b)
+    ia, ib = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
+    cut = both[(end_a[ia] == both) & (end_b[ib] == both)]
+    ends = base + n_bytes
+    n_links, n_groups = (np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (both, cut))
+
+    group = np.concatenate((np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)))
+    side = np.repeat((0, 1), (len(a), len(b)))
+    order = np.argsort(2 * group + side, kind="stable")
+    fresh = np.diff((2 * group + side)[order], prepend=-1) > 0
+    starts = np.zeros(len(cut) + 1, bool)
+    starts[np.cumsum(n_groups) - n_groups] = True  # the first groups of fragments
+    sign = np.where(fresh, np.where(side[order] == 1, 2, np.where(starts[group[order]], 0, 3)), 1)
+    signs = ("", ",", "|", ";")
+    text = [signs[k] + str(i) for k, i in zip(sign.tolist(), np.concatenate((a, b))[order].tolist())]
+    to = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
+    groups, sizes = [""] * len(fragments), np.zeros((len(fragments), 4), np.int64)
+    for i, x, y in zip(kept, to, to[1:]):
+        groups[i] = "".join(text[x:y])
+    sizes[kept] = np.stack((n_a, n_b, n_groups, n_links), 1)
+    return Aligned(good, sizes, groups, np.concatenate(([0], np.cumsum(sizes[:, 3]))), a[ia], b[ib])
 
 
 _SLICE = "slice string, ids array<{id}>, totals binary, sha array<string>, first binary, fragment binary, link_first binary, link_pair binary, pair array<long>, n array<long>"
@@ -149,28 +197,25 @@ def _slice(ids: pa.Array, texts: list[str | None], pair: Pair, schema: pa.Schema
     rows = []
     for t in texts:
         found = (_CUT.split(t) if cuts else [t]) if t else []
-        rows.append(np.fromiter((known.setdefault(f, len(known)) for f in found), np.int64, len(found)))
-    done = list(align([" " + f for f in known], pair))
-    good = np.fromiter((d is not None for d in done), bool, len(done))
+        rows.append(np.fromiter((known.setdefault(f, len(known)) for f in found), np.int32, len(found)))
+    done = align([" " + f for f in known], pair)
+    good, sizes, strings = done.good, done.sizes, done.groups
     rows = [r if good[r].all() else r[:0] for r in rows]
-    strings = ["" if d is None else d.groups for d in done]
     sha = [hashlib.sha256(";".join([strings[i] for i in r.tolist()]).encode()).hexdigest() if len(r) else "" for r in rows]
-    sizes = np.array([(0, 0, 0, 0) if d is None else (len(d.a), len(d.b), d.n_groups, len(d.links_a)) for d in done], np.int64).reshape(-1, 4)
     first = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
-    fragment = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    fragment = np.concatenate(rows) if rows else np.zeros(0, np.int32)
     sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(sizes[fragment], axis=0)))
     totals = sums[first[1:]] - sums[first[:-1]]
-    often = np.bincount(fragment, minlength=len(done))
-    none = [np.zeros(0, np.int64)]
-    key = np.concatenate(none + [(d.links_a << _B_BITS) | d.links_b for d in done if d is not None])
-    of = np.repeat(np.arange(len(done)), sizes[:, 3])
+    often = np.bincount(fragment, minlength=len(good))
+    key = (done.links_a << _B_BITS) | done.links_b
+    of = np.repeat(np.arange(len(good)), sizes[:, 3])
     used = often[of] > 0  # fragments of texts without tokens alone count for nothing
     pairs, where = np.unique(key, return_inverse=True)
     n = np.zeros(len(pairs), np.int64)
     np.add.at(n, where[used], often[of[used]])
     values = [
         uuid.uuid4().hex, ids, _pack(totals.ravel()), sha, _pack(first), _pack(fragment),
-        _pack(np.concatenate(([0], np.cumsum(sizes[:, 3])))), _pack(where), pairs, n,
+        _pack(done.link_first), _pack(where), pairs, n,
     ]
     columns = [pa.array([v.to_pylist() if isinstance(v, pa.Array) else v], f.type) for v, f in zip(values, schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -230,7 +275,7 @@ def align_tokens(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col:
         for batch in batches:
             for i, j in slices(batch.column(1), slice_bytes):
                 piece = batch.slice(i, j - i)
-                n = sum(len(t.encode()) for t in piece.column(1).to_pylist() if t)
+                n = pc.sum(pc.binary_length(piece.column(1))).as_py() or 0
                 if held and size + n > slice_bytes:
                     yield from flush(held)
                     held, size = [], 0
