@@ -22,7 +22,7 @@ from tidemark.llm.words import slices
 #: Text whose fragments are told apart and tokenized together. A longer text is a slice of its own, whole.
 SLICE_BYTES = 4 << 20
 #: Fragments that are handed to the libraries at once.
-BATCH = 20_000
+BATCH = 5_000
 #: Identifiers of the second tokenizer take this many bits of a pair.
 _B_BITS = 32
 
@@ -101,10 +101,12 @@ def _ends(ids: np.ndarray, length: np.ndarray, coarse: np.ndarray, sure: np.ndar
     return np.where(sure, coarse, refined)
 
 
-def _joined(ids: list[list[int]], token_bytes: list[bytes], data: list[bytes]) -> np.ndarray:
+def _joined(ids: list[list[int]], token_bytes: list[bytes], length: np.ndarray, data: list[bytes]) -> np.ndarray:
     """Whether the joined bytes of each fragment's tokens are the fragment's."""
-    if b"".join([token_bytes[i] for i in chain.from_iterable(ids)]) == b"".join(data):
-        return np.fromiter((sum(len(token_bytes[i]) for i in x) == len(d) for x, d in zip(ids, data)), bool, len(data))
+    flat, n = list(chain.from_iterable(ids)), np.fromiter(map(len, ids), np.int64, len(ids))
+    if b"".join([token_bytes[i] for i in flat]) == b"".join(data):
+        ends = np.concatenate(([0], np.cumsum(length[np.array(flat, np.int64)])))[np.cumsum(n)]
+        return ends == np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
     return np.fromiter((b"".join([token_bytes[i] for i in x]) == d for x, d in zip(ids, data)), bool, len(data))
 
 
@@ -136,13 +138,14 @@ def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: li
     # the spans of the immutable proto, under the name that the library gives them now
     encoded = tok_b.encode([d[1:] for d in data], return_type="offset_mapping", return_bytes=True, num_threads=1)
     ids_b, spans_b = [e["ids"] for e in encoded], [e["offsets"] for e in encoded]
-    good = _joined(ids_a, bytes_a, data) & _joined(ids_b, bytes_b, data)
+    lengths = [np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b)]
+    good = _joined(ids_a, bytes_a, lengths[0], data) & _joined(ids_b, bytes_b, lengths[1], data)
     kept = np.flatnonzero(good).tolist()
-    ids_a, spans_a, ids_b, spans_b, data = ([x[i] for i in kept] for x in (ids_a, spans_a, ids_b, spans_b, data))
+    if len(kept) < len(data):
+        ids_a, spans_a, ids_b, spans_b, data = ([x[i] for i in kept] for x in (ids_a, spans_a, ids_b, spans_b, data))
     n_a, n_b, n_bytes = (np.fromiter(map(len, x), np.int64, len(kept)) for x in (ids_a, ids_b, data))
     base = np.cumsum(n_bytes) - n_bytes
     a, b = _flat(ids_a, 1, n_a.sum())[:, 0], _flat(ids_b, 1, n_b.sum())[:, 0]
-    lengths = [np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b)]
 
     begins = np.flatnonzero((np.frombuffer(b"".join(data), np.uint8) & 0xC0) != 0x80)  # of characters, then the end
     begins = np.append(begins, n_bytes.sum())
