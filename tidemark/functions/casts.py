@@ -15,6 +15,9 @@ NUMERIC_SHAPE = r"^ *[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,6})? *\z"
 CLOCK_SHAPE = r"^ *(\d{1,2}|[1-9]\d{2,7}):([0-5]\d)(?::([0-5]\d(?:\.\d{1,6}0*)?))? *\z"
 TIME_OF_DAY_SHAPE = r"^ *(([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?|24:00(:00(\.0{1,6})?)?) *\z"
 
+# Numbers without an exponent that need no rounding, whatever their digits are: most there are.
+PLAIN_NUMBER = r"^ *[+-]?\d{1,28}(\.\d{0,10})? *\z"
+
 NUMERIC_SCALE = 10
 NUMERIC_TYPE = f"decimal(38,{NUMERIC_SCALE})"
 EXPONENT = r"[eE]([+-]?\d+)"
@@ -38,9 +41,19 @@ def try_date(c: str | Column) -> Column:
 
 
 def try_numeric(c: str | Column) -> Column:
-    """A number that the type holds exactly. One with more decimals is refused rather than rounded."""
+    """A number that the type holds exactly. One with more decimals is refused rather than rounded.
+
+    Plain numbers cost one pattern. Decimals are counted for the others alone, in a lambda, which is evaluated outside
+    the generated code, so that a wide projection stays small enough for the JVM to compile.
+    """
     text = _col(c)
-    return F.when(text.rlike(NUMERIC_SHAPE) & (_decimals(text) <= NUMERIC_SCALE), text.try_cast(NUMERIC_TYPE))
+
+    def counted(v: Column) -> Column:
+        return F.when(_decimals(v) <= NUMERIC_SCALE, v.try_cast(NUMERIC_TYPE))
+
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast(NUMERIC_TYPE)).when(
+        text.rlike(NUMERIC_SHAPE), F.element_at(F.transform(F.array(text), counted), 1)
+    )
 
 
 def _decimals(text: Column) -> Column:

@@ -35,10 +35,15 @@ def number_text(c: str | Column) -> Column:
             other = F.regexp_replace(other, pattern, shown)
         return F.when((F.abs(v) >= 1e-4) & (F.abs(v) < 1e16), plain).otherwise(other)
 
+    # From 1e7 on a double prints at most nine decimals, so the decimal holds what is printed.
+    large = F.rtrim(x.try_cast("decimal(26,9)").cast("string"), F.lit("0"))
+    large = F.when(large.endswith("."), F.concat(large, F.lit("0"))).otherwise(large)
     # The rare forms sit in a lambda, which is evaluated outside the generated code: with them
     # inline, a few numeric columns make one method too large for the JVM to compile.
-    return F.when((x == 0) | ((size >= 1e-3) & (size < 1e7)), x.cast("string")).otherwise(
-        F.element_at(F.transform(F.array(x), rare), 1)
+    return (
+        F.when((x == 0) | ((size >= 1e-3) & (size < 1e7)), x.cast("string"))
+        .when((size >= 1e7) & (size < 1e16), large)
+        .otherwise(F.element_at(F.transform(F.array(x), rare), 1))
     )
 
 

@@ -84,32 +84,32 @@ def domain_violations(df: DataFrame, domains: dict[str, tuple], required=(), key
 
 
 def _inline_found(df: DataFrame, found: list[Column], keys) -> DataFrame:
-    """A row for each non-NULL struct of each input row. Nothing is shuffled, and rows without any
-    finding, normally nearly all, are dropped before arrays are built."""
-    some = found[0].isNotNull()
-    for f in found[1:]:
-        some = some | f.isNotNull()
+    """A row for each non-NULL struct of each input row. Nothing is shuffled, and each finding is evaluated once:
+    a filter on the findings before they are expanded would evaluate them a second time."""
     return (
-        df.filter(some).select(*[ident(k) for k in keys], F.explode(F.array(*found)).alias("_f"))
+        df.select(*[ident(k) for k in keys], F.explode(F.array(*found)).alias("_f"))
         .filter(F.col("_f").isNotNull()).select(*[ident(k) for k in keys], "_f.*")
     )
 
 
+def refusal(field, typed: Column) -> Column:
+    """What is known of a value that is set and that its guarded cast turned into NULL; NULL for any other value."""
+    raw = ident(field.source)
+    return F.when(
+        set_flag(raw) & typed.isNull(),
+        F.struct(
+            F.lit(field.source).alias("source_column"), raw.alias("raw_value"),
+            F.lit(f"not a {field.kind}").alias("error_type"),
+        ),
+    )
+
+
 def parse_errors(history: DataFrame, spec: FactSpec) -> DataFrame:
     """One row per value that is set and that its guarded cast turned into NULL.
 
     Columns: row_key, source_column, raw_value, error_type (the type that was wanted).
     """
-    found = [
-        F.when(
-            set_flag(ident(f.source)) & CASTS[f.kind](ident(f.source)).isNull(),
-            F.struct(
-                F.lit(f.source).alias("source_column"), ident(f.source).alias("raw_value"),
-                F.lit(f"not a {f.kind}").alias("error_type"),
-            ),
-        )
-        for f in spec.fields if f.kind in CASTS
-    ]
+    found = [refusal(f, CASTS[f.kind](ident(f.source))) for f in spec.fields if f.kind in CASTS]
     keyed = history.withColumn("row_key", ident(spec.source_key))
     return _inline_found(keyed, found, ["row_key"])
 

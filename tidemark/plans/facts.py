@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from tidemark.functions.casts import clock_text, set_flag, try_date, try_numeric, try_ts
 from tidemark.functions.text import clean_name
 from tidemark.operators.versions import latest_version, upsert_latest
-from tidemark.operators.quality import parse_errors
+from tidemark.operators.quality import CASTS, parse_errors, refusal
 from tidemark.operators.windows import batch_ceiling, batch_counts, batch_window, not_null_key
 from tidemark.sources.history import loaded_range, read_history
 from tidemark.sources.scan import ident, ntz
@@ -106,6 +106,26 @@ def project_fact(rows: DataFrame, spec: FactSpec) -> DataFrame:
     return rows.select(*[_KIND[f.kind](ident(f.source)).alias(f.target) for f in spec.fields], LOADED_AT)
 
 
+def checked_fact(rows: DataFrame, spec: FactSpec) -> DataFrame:
+    """The typed projection with ``refused``: an array of the values that its casts turned into NULL, each with its
+    source column, its text and the type that was wanted; empty for a sound row.
+
+    The casts make one projection and the refusals read its columns, so each cast is evaluated once.
+    """
+    # names of its own for the texts, as a source column may be called like a target
+    texts = {c: f"_text_{i}" for i, c in enumerate(spec.source_columns)}
+    typed = rows.select(
+        *[_KIND[f.kind](ident(f.source)).alias(f.target) for f in spec.fields], LOADED_AT,
+        *[ident(c).alias(n) for c, n in texts.items()],
+    )
+    found = [
+        F.when(r.isNotNull(), F.struct(F.lit(f.source).alias("source_column"), r["raw_value"].alias("raw_value"), r["error_type"].alias("error_type")))
+        for f in spec.fields if f.kind in CASTS
+        for r in [refusal(Field(f.target, texts[f.source], f.kind), ident(f.target))]
+    ]
+    return typed.select(*[ident(f.target) for f in spec.fields], LOADED_AT, F.array_compact(F.array(*found)).alias("refused"))
+
+
 def _latest_rows(history: DataFrame, spec: FactSpec, tiebreak: bool) -> DataFrame:
     source = history.select(*[ident(c) for c in spec.source_columns], LOADED_AT)
     return latest_version(

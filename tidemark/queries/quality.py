@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as ops
+from tidemark.plans.facts import checked_fact, record_parse_errors
 from tidemark.queries.facts import CHARGE, INCIDENT
-from tidemark.queries.registry import SQL_KIND, frame, frame_sql, query, sql_flag, table
+from tidemark.queries.registry import SQL_KIND, at, frame, frame_sql, query, sql_flag, table
+from tidemark.sources.history import append_history
+from tidemark.sources.store import Warehouse, shared_folder
 
 
 def _parents(spark, sf):
@@ -109,3 +112,40 @@ def parse_errors(spark, sf):
 @query(_parse_errors_sql(CHARGE, "charge_history"))
 def parse_errors_charge(spark, sf):
     return ops.parse_errors(frame(spark, sf, "charge_history"), CHARGE)
+
+
+_RANGE = "loaded_at > TIMESTAMP '2024-01-01 00:10:00' AND loaded_at <= TIMESTAMP '2024-01-01 12:00:00'"
+
+
+@query(f"""SELECT 'run-1' AS run_id, 'stg.incident' AS source_table, e.*, TIMESTAMP '2024-03-01' AS logged_at FROM (
+           {_parse_errors_sql(INCIDENT, "incident_history").replace("WHERE", f"WHERE {_RANGE} AND")}) e""", name="record_parse_errors")
+def recorded_errors(spark, sf):
+    """What the rows of one range of load times leave in the table of parse errors."""
+    wh = Warehouse(spark, shared_folder(spark, "parse-errors"))
+    append_history(wh, INCIDENT.source_table, frame(spark, sf, "incident_history"), INCIDENT.source_columns)
+    record_parse_errors(wh, INCIDENT, "run-1", at("2024-01-01T00:10:00"), at("2024-01-01T12:00:00"), at("2024-03-01"))
+    return wh.state("parse_errors")
+
+
+def _checked_sql(spec, source: str) -> str:
+    quoted = lambda c: '"' + c + '"'
+    fields = ", ".join(f"{SQL_KIND[f.kind](quoted(f.source))} AS {quoted(f.target)}" for f in spec.fields)
+    refused = " + ".join(
+        f"CASE WHEN {sql_flag(quoted(f.source))} AND ({SQL_KIND[f.kind](quoted(f.source))}) IS NULL THEN 1 ELSE 0 END"
+        for f in spec.fields if f.kind in ops.CASTS
+    )
+    first = " ".join(
+        f"WHEN {sql_flag(quoted(f.source))} AND ({SQL_KIND[f.kind](quoted(f.source))}) IS NULL THEN '{f.source}: ' || {quoted(f.source)} || ' is not a {f.kind}'"
+        for f in spec.fields if f.kind in ops.CASTS
+    )
+    return f"SELECT {fields}, loaded_at, {refused} AS n_refused, CASE {first} END AS first_refused FROM {frame_sql(source)}"
+
+
+@query(_checked_sql(CHARGE, "charge_history"))
+def checked_charge(spark, sf):
+    """The typed rows with what their casts refused, in one projection."""
+    first = F.try_element_at(F.col("refused"), F.lit(1))
+    shown = F.concat(first["source_column"], F.lit(": "), first["raw_value"], F.lit(" is "), first["error_type"])
+    return checked_fact(frame(spark, sf, "charge_history"), CHARGE).withColumns(
+        {"n_refused": F.size("refused"), "first_refused": shown}
+    ).drop("refused")
