@@ -6,14 +6,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.sources.history import loaded_range
-from tidemark.sources.scan import as_timestamp, ident
+from tidemark.sources.history import loaded_range, typed_watermark
+from tidemark.sources.scan import ident
 from tidemark.spec import LOADED_AT
 
 
 def high_watermark(history: DataFrame, watermark: str) -> DataFrame:
-    """The newest watermark in the history; NULL when it is empty or nothing parses."""
-    return history.agg(F.max(as_timestamp(history, watermark)).alias("high_watermark"))
+    """The newest watermark in the history; NULL when it is empty or nothing parses. A history that keeps its watermark
+    typed answers from that column, without parsing a text."""
+    return history.agg(F.max(typed_watermark(history, watermark)).alias("high_watermark"))
 
 
 def batch_ceiling(history: DataFrame, floor: dt.datetime | None) -> DataFrame:

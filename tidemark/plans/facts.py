@@ -329,3 +329,13 @@ def record_parse_errors(wh: Warehouse, spec: FactSpec, run_id: str | None, floor
             "run_id": F.lit(run_id), "source_table": F.lit(spec.source_table), "logged_at": ntz(now or utc_now()),
         }),
     )
+
+
+def record_refused_lines(wh: Warehouse, source_table: str, fmt: str, refused: DataFrame, run_id: str | None,
+                         now: dt.datetime | None = None) -> None:
+    """Append the broken lines of a text source to the parse_errors table. They have neither a key nor a column."""
+    wh.append_state("parse_errors", refused.select(
+        F.lit(run_id).alias("run_id"), F.lit(source_table).alias("source_table"), F.lit(None).cast("string").alias("source_column"),
+        F.lit(None).cast("string").alias("row_key"), "raw_value", F.lit(f"not a {fmt} record").alias("error_type"),
+        ntz(now or utc_now()).alias("logged_at"),
+    ))

@@ -75,7 +75,7 @@ def _land_and_append(wh: Warehouse, rows: DataFrame, spec: TableSpec, append: bo
     staged = landed.count()
     if not append:
         return extracted, staged, 0
-    append_history(wh, spec.target_table, landed, [c.lower() for c in spec.columns])
+    append_history(wh, spec.target_table, landed, [c.lower() for c in spec.columns], spec.watermark_column and spec.watermark_column.lower())
     if staged == 0:
         return extracted, staged, 0
     loaded = read_load_day(wh, spec.target_table, loaded_at.date()).filter(F.col(LOADED_AT) == ntz(loaded_at)).count()

@@ -7,6 +7,7 @@ from tidemark.queries.registry import ORACLES, QUERIES
 from tidemark.queries import (  # noqa: F401  (importing registers the queries)
     audit,
     facts,
+    formats,
     loads,
     probe,
     profile,

@@ -152,6 +152,15 @@ def growing_scope(spark, sf):
     return hist.read_history(wh, "stg.orders").select(*grown.columns)
 
 
+@query(f"""SELECT {_TEXT} FROM orders WHERE o_orderdate > TIMESTAMP '1994-05-01 12:00:00' AND o_orderdate <= TIMESTAMP '1997-02-03 01:02:03'""")
+def watermark_range(spark, sf):
+    """Rows of a loaded history by their own modification time: both bounds reach the scan of its typed watermark."""
+    wh = _warehouse(spark, "watermark-range")
+    plan.incremental_load(wh, table(spark, sf, "orders"), ORDERS, END, loaded_at=STAMP)
+    history = hist.read_history(wh, ORDERS.target_table)
+    return hist.watermark_range(history, "o_orderdate", at("1994-05-01T12:00:00"), at("1997-02-03T01:02:03")).select(*ORDERS.columns)
+
+
 ORDER_FACT = FactSpec("rep.orders", "stg.orders", "order_no", "modified", (
     Field("order_no", "o_orderkey"), Field("modified", "o_orderdate", "timestamp"), Field("price", "o_totalprice", "numeric"),
 ))

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tidemark.sources.scan import ident, ntz, stage_text
-from tidemark.sources.store import Warehouse, utc_now
-from tidemark.spec import LOAD_DATE, LOADED_AT
+from tidemark.sources.scan import as_timestamp, ident, ntz, stage_text
+from tidemark.sources.store import Warehouse, path_exists, utc_now
+from tidemark.spec import HISTORY_COLUMNS, LOAD_DATE, LOADED_AT, WATERMARK
 
 
 def staged_columns(history: DataFrame) -> list[str]:
     """The column list of a staged table in order, without the warehouse's own columns."""
-    return [c for c in history.columns if c not in (LOADED_AT, LOAD_DATE)]
+    return [c for c in history.columns if c not in HISTORY_COLUMNS]
 
 
 def land_overwrite(wh: Warehouse, landing_table: str, batch: DataFrame) -> int:
@@ -29,27 +30,73 @@ def land_overwrite(wh: Warehouse, landing_table: str, batch: DataFrame) -> int:
     return seen.get["n"]
 
 
-def append_history(wh: Warehouse, target_table: str, landed: DataFrame, columns) -> None:
+def append_history(wh: Warehouse, target_table: str, landed: DataFrame, columns, watermark: str | None = None) -> None:
     """Append landed rows by column name, carrying ``loaded_at``.
 
-    History is partitioned by load date, so a transform's range reads only its days.
+    History is partitioned by load date, so a transform's range reads only its days. The ``watermark`` column is kept
+    as a timestamp as well, so that bounds on it reach the scan. A load that brings no column the history does not have
+    leaves the register of its columns alone.
     """
-    (
-        landed.select(*[ident(c) for c in columns], LOADED_AT)
-        .withColumn(LOAD_DATE, F.to_date(LOADED_AT))
-        .write.mode("append").partitionBy(LOAD_DATE).parquet(wh.path(target_table))
-    )
+    rows = landed.select(*[ident(c) for c in columns], LOADED_AT).withColumn(LOAD_DATE, F.to_date(LOADED_AT))
+    if watermark is not None:
+        rows = rows.withColumn(WATERMARK, as_timestamp(landed, watermark))
+    _register(wh, target_table, rows.schema, watermark)
+    rows.write.mode("append").partitionBy(LOAD_DATE).parquet(wh.path(target_table))
+
+
+def _register(wh: Warehouse, target_table: str, schema: T.StructType, watermark: str | None) -> None:
+    """Before rows with new columns are written, the register names them. The watermark stays registered only while
+    every load, from the first on, has brought it typed."""
+    row = wh.state_row("history_columns", target_table=target_table)
+    if row is not None:
+        known, typed = T.StructType.fromJson(json.loads(row.fields)), row.watermark
+    elif path_exists(wh.spark, wh.path(target_table)):  # filled before there was a register
+        old = wh.read(target_table, merge=True)
+        known, typed = T.StructType([]) if old is None else old.schema, None if old is not None else watermark
+    else:
+        known, typed = T.StructType([]), watermark
+    names = set(known.fieldNames())
+    grown = T.StructType([*known.fields, *[T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in names]])
+    kept = watermark if typed == watermark else None
+    if row is None or len(grown) > len(known) or kept != row.watermark:
+        wh.append_state("history_columns", [{
+            "target_table": target_table, "fields": grown.json(), "watermark": kept, "registered_at": utc_now(),
+        }])
 
 
 def read_history(wh: Warehouse, target_table: str) -> DataFrame | None:
-    """The whole history. It has the columns of all loads: one that was added to the scope later is NULL before."""
-    return wh.read(target_table, merge=True)
+    """The whole history. It has the columns of all loads: one that was added to the scope later is NULL before.
+
+    The register gives the columns, so no file's footer is read for them; a history that was filled before there was a
+    register shows the columns of all its files. Its typed watermark is there only if every load brought it.
+    """
+    if not path_exists(wh.spark, wh.path(target_table)):
+        return None
+    row = wh.state_row("history_columns", target_table=target_table)
+    if row is None:
+        return wh.read(target_table, merge=True)
+    history = wh.read(target_table, T.StructType.fromJson(json.loads(row.fields)))
+    return history.drop(WATERMARK) if row.watermark is None else history
+
+
+def typed_watermark(history: DataFrame, watermark: str) -> Column:
+    """A history's watermark as a timestamp: the typed column that loads keep beside the text, else parsed text."""
+    return F.col(WATERMARK) if WATERMARK in history.columns else as_timestamp(history, watermark)
+
+
+def watermark_range(history: DataFrame, watermark: str, floor: dt.datetime | None, ceiling: dt.datetime | None) -> DataFrame:
+    """History rows with floor < watermark <= ceiling, a bound that is None left out. With a typed watermark both bounds
+    reach the scan and no text is parsed."""
+    at = typed_watermark(history, watermark)
+    if floor is not None:
+        history = history.filter(at > ntz(floor))
+    return history if ceiling is None else history.filter(at <= ntz(ceiling))
 
 
 def read_load_day(wh: Warehouse, target_table: str, day: dt.date) -> DataFrame:
-    """One load date of a history, without listing the others."""
-    root = wh.path(target_table)
-    return wh.spark.read.option("basePath", root).parquet(f"{root}/{LOAD_DATE}={day.isoformat()}")
+    """The load stamps of one load date of a history, without listing the others or reading a footer for the columns."""
+    schema = T.StructType([T.StructField(LOADED_AT, T.TimestampNTZType())])
+    return wh.spark.read.schema(schema).parquet(f"{wh.path(target_table)}/{LOAD_DATE}={day.isoformat()}")
 
 
 def loaded_range(history: DataFrame, floor: dt.datetime | None, ceiling: dt.datetime | None) -> DataFrame:

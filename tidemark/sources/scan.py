@@ -7,6 +7,7 @@ the caller already holds. Nothing here shuffles; filters and column lists reach
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,6 +28,42 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None, schema=N
     return reader.load(path) if path else reader.load()
 
 
+REFUSED_LINE = "_refused_line"
+
+
+@dataclass(frozen=True)
+class TextScan:
+    """The sound rows of a text source, and ``refused``: ``raw_value``, each line that is not a record of its schema."""
+
+    rows: DataFrame
+    refused: DataFrame
+
+
+def scan_text(spark: SparkSession, fmt: str, path: str, schema: T.StructType | str, folder: str, **options) -> TextScan:
+    """Read csv or json in permissive mode, once: sound rows and broken lines go side by side to ``folder``, a new folder
+    that the cluster shares, and are read from there.
+
+    A line with too few or too many fields, a value of another type or broken syntax is refused as a whole and kept as
+    it was. Were the source read again for each side, a query of some columns would judge a line by these alone.
+    Blank lines are no records. An empty source gives two empty frames.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"{fmt} is no text format")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if REFUSED_LINE in schema.fieldNames():
+        raise ValueError(f"{REFUSED_LINE} is a reserved name")
+    wide = T.StructType([*schema.fields, T.StructField(REFUSED_LINE, T.StringType())])
+    options = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REFUSED_LINE}
+    read = read_source(spark, fmt, path, wide, **options)
+    read.withColumn("_broken", ident(REFUSED_LINE).isNotNull()).write.partitionBy("_broken").parquet(folder)
+    both = spark.read.schema(T.StructType([*wide.fields, T.StructField("_broken", T.BooleanType())])).parquet(folder)
+    return TextScan(
+        both.filter("NOT _broken").drop("_broken", REFUSED_LINE),
+        both.filter("_broken").select(ident(REFUSED_LINE).alias("raw_value")),
+    )
+
+
 def normalise_columns(df: DataFrame) -> DataFrame:
     """Lower-case column names; two names that become equal are an error."""
     names = [c.lower() for c in df.columns]

@@ -46,6 +46,8 @@ STATE_SCHEMAS = {
         source_table=_S, target_table=_S, last_watermark=_NTZ, updated_at=_NTZ,
     ),
     "load_stamp": _schema(target_table=_S, loaded_at=_NTZ),
+    # One row for each change of a history's columns; `fields` is the schema of all its loads so far.
+    "history_columns": _schema(target_table=_S, fields=_S, watermark=_S, registered_at=_NTZ),
     "transform_watermark": _schema(
         target_table=_S, source_table=_S, last_loaded_at=_NTZ, source_as_at=_NTZ, updated_at=_NTZ,
         version=_L, bucket_versions=T.ArrayType(_L), n_batch=_L, n_nokey=_L, n_written=_L,
@@ -72,6 +74,7 @@ CURRENT_BY = {
     "load_table_run": (["run_id", "source_table"], ["event_at", "event_seq"]),
     "extract_watermark": (["target_table"], ["updated_at"]),
     "load_stamp": (["target_table"], ["loaded_at"]),
+    "history_columns": (["target_table"], ["registered_at"]),
     "transform_watermark": (["target_table"], ["version"]),
 }
 

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 LOADED_AT = "loaded_at"
 LOAD_DATE = "load_date"
+WATERMARK = "_wm"  # the table's watermark text as a timestamp, beside it in the history
 
 # Columns the warehouse adds itself.
-HISTORY_COLUMNS = {LOADED_AT, LOAD_DATE}
+HISTORY_COLUMNS = {LOADED_AT, LOAD_DATE, WATERMARK}
 FACT_COLUMNS = {LOADED_AT, "transformed_at", "v", "bucket", "action"}
 
 
