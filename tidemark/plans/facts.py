@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.casts import clock_text, set_flag, try_date, try_numeric, try_ts
@@ -223,10 +227,11 @@ def _merge_version(wh: Warehouse, spec: FactSpec, state, batch: DataFrame, now:
     # and a lost executor does not cost a second pass over the history.
     batch = batch.withColumn("transformed_at", ntz(now))
     path = f"{wh.path(spec.target_table)}_batch/v={version}"
-    batch.write.mode("overwrite").parquet(path)
+    size = Observation()
+    batch.observe(size, F.sum(_text_bytes(batch.columns)).alias("bytes")).write.mode("overwrite").parquet(path)
     staged = wh.spark.read.schema(batch.schema).parquet(path)
     held = (state.n_bytes or 0) if versions else 0
-    added = staged.agg(F.sum(_text_bytes(batch.columns))).first()[0] or 0
+    added = size.get["bytes"] or 0
     n = spec.n_buckets or bucket_count(held + added, len(versions), bucket_bytes)
     existing, touched = None, range(n)
     if len(versions) == n:
@@ -294,9 +299,40 @@ transform_charge = transform
 
 
 def run_transforms(wh: Warehouse, specs: list[FactSpec], source_as_at: dt.datetime | None = None,
-                   now: dt.datetime | None = None, **options) -> list[Prepared]:
-    """All targets in order, all or nothing: every version is written before the one commit."""
-    prepared = [prepare_transform(wh, s, source_as_at=source_as_at, now=now, **options) for s in specs]
+                   now: dt.datetime | None = None, parallel: int = 4, **options) -> list[Prepared]:
+    """All targets, ``parallel`` at a time, all or nothing: every version is written before the one commit.
+
+    Each call has a job tag of its own. The first target that fails cancels the jobs of the others and keeps those that
+    wait from starting; its error is raised once all have ended, and nothing is committed. What the others have written
+    belongs to no commit, and the next run writes over it.
+    """
+    targets = [s.target_table for s in specs]
+    if len(set(targets)) < len(targets):
+        raise ValueError(f"a target is there twice: {', '.join(targets)}")
+    context, tag = wh.spark.sparkContext, f"transforms-{uuid.uuid4().hex}"
+    first: list[BaseException] = []
+    lock = threading.Lock()
+
+    def prepare(spec: FactSpec) -> Prepared | None:
+        if first:
+            return None
+        context.addJobTag(tag)
+        try:
+            return prepare_transform(wh, spec, source_as_at=source_as_at, now=now, **options)
+        except BaseException as e:  # noqa: BLE001 - raised below, by the thread that asked
+            with lock:
+                first.append(e)
+            if len(first) == 1:
+                context.cancelJobsWithTag(tag)
+            return None
+        finally:
+            context.removeJobTag(tag)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        started = [pool.submit(inheritable_thread_target(wh.spark)(prepare), s) for s in specs]
+        prepared = [f.result() for f in started]
+    if first:
+        raise first[0]
     commit(wh, prepared)
     return prepared
 

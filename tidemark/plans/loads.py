@@ -82,14 +82,16 @@ def _land_and_append(wh: Warehouse, rows: DataFrame, spec: TableSpec, append: bo
     return extracted, staged, loaded
 
 
-def set_extract_watermark(wh: Warehouse, spec: TableSpec, now: dt.datetime | None = None, restart: bool = False) -> dt.datetime | None:
+def set_extract_watermark(wh: Warehouse, spec: TableSpec, now: dt.datetime | None = None, restart: bool = False,
+                          floor: dt.datetime | None = None) -> dt.datetime | None:
     """Record the floor of the next load: the newest watermark of the landed batch, which is small.
-    The floor never moves back, but for a ``restart``: a full load of an empty history."""
+    The floor never moves back, but for a ``restart``: a full load of an empty history. A load that knows its floor
+    gives it; otherwise it is looked up."""
     landed = wh.read(spec.staging_table)
     newest = None if landed is None else high_watermark(landed, spec.watermark_column.lower()).first()[0]
     if newest is None:
         return None
-    floor = None if restart else extract_floor(wh, spec)
+    floor = None if restart else floor or extract_floor(wh, spec)
     newest = newest if floor is None else max(floor, newest)
     wh.append_state("extract_watermark", [{
         "source_table": spec.source_table, "target_table": spec.target_table,
@@ -118,7 +120,7 @@ def incremental_load(wh: Warehouse, source: DataFrame, spec: TableSpec, ceiling:
     stamp = next_loaded_at(wh, spec.target_table, loaded_at or utc_now())
     counts = _land_and_append(wh, rows, spec, True, stamp)
     if counts[0] == counts[1] == counts[2]:
-        set_extract_watermark(wh, spec, restart=not bounded)
+        set_extract_watermark(wh, spec, restart=not bounded, floor=plan.floor)
     return LoadResult(source_n, *counts, bounded, "normal")
 
 

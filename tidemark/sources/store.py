@@ -17,8 +17,10 @@ import datetime as dt
 import threading
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.spec import FactSpec
 
@@ -130,9 +132,9 @@ class Warehouse:
         if isinstance(rows, DataFrame):
             df = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         else:
-            df = self.spark.createDataFrame(
-                [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema
-            ).coalesce(1)
+            # An Arrow table becomes a local relation: no Python worker starts for a handful of rows.
+            columns = {f.name: [r.get(f.name) for r in rows] for f in schema.fields}
+            df = self.spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema))).coalesce(1)
         # Two writers of one folder would remove each other's temporary files.
         with self._state_lock:
             df.write.mode("append").parquet(self._state_path(name))
