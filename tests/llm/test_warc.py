@@ -51,3 +51,17 @@ def test_look_ups_read_only_what_they_want(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert round_trip(spark, pages)[1] == []
+
+
+def test_null_and_negative_ids_under_one_key(spark, tmp_path, monkeypatch):
+    """Ids that sort around -1 in one block and over several: every record comes back."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    ids = [None, -5, -1, 3, -7, 0, None, -(2**63), 2**63 - 1, -2]
+    for n in (5, len(ids)):
+        pages = spark.createDataFrame([(i, None, f"page {k}") for k, i in enumerate(ids[:n])], "page_id long, url string, html string").repartition(2)
+        folder = str(tmp_path / f"n{n}")
+        captures = spark.createDataFrame(warc.write_archives(pages, f"{folder}/warc").collect(), "page_id long, key string, file string, offset long, length long")
+        parts = warc.write_index(captures, f"{folder}/index")
+        wanted = pages.select("page_id", warc.url_key(pages["url"]).alias("key"))
+        got = [(r.page_id, bytes(r.payload).decode()) for r in warc.read_records(warc.look_up(wanted, parts)).collect()]
+        assert sorted(got, key=str) == sorted(((i, f"page {k}") for k, i in enumerate(ids[:n])), key=str)

@@ -14,7 +14,6 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,8 +127,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     )
 
 
+#: A null id in the index: smaller than any id, as Spark sorts nulls first.
+NO_ID = -(1 << 63) - 1
+
+
+def _number(page_id: int | None) -> int:
+    return NO_ID if page_id is None else page_id
+
+
 def _line(r: dict) -> tuple[str, int, str, int, int]:
-    return (r["key"], -1 if r["page_id"] is None else r["page_id"], r["file"], r["offset"], r["length"])
+    return (r["key"], _number(r["page_id"]), r["file"], r["offset"], r["length"])
 
 
 def _write_index(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +165,8 @@ def _write_index(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         with _create(f"{path}.directory") as f:
             f.write("".join("\t".join(map(str, x)) + "\n" for x in directory).encode())
         key, page, *_ = directory[0]
-        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([page]), pa.array([path])], ["key", "page", "path"])
+        page = pa.array([None if page == NO_ID else page], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([key]), page, pa.array([path])], ["key", "page", "path"])
 
 
 def write_index(captures: DataFrame, folder: str) -> list[tuple[str, int, str]]:
@@ -167,7 +175,7 @@ def write_index(captures: DataFrame, folder: str) -> list[tuple[str, int, str]]:
         lambda it: _write_index(folder, it), "key string, page long, path string"
     )
     # the rows of the attempts that Spark kept; sorted by bytes, as Spark sorts
-    return sorted(((r.key, r.page, r.path) for r in parts.collect()), key=lambda p: (p[0].encode(), p[1]))
+    return sorted(((r.key, _number(r.page), r.path) for r in parts.collect()), key=lambda p: (p[0].encode(), p[1]))
 
 
 class _Index:
@@ -223,7 +231,7 @@ def look_up(wanted: DataFrame, parts: list[tuple[str, int, str]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(held.value)
         for batch in batches:
-            pages = pc.fill_null(batch["page_id"], -1).to_pylist()
+            pages = map(_number, batch["page_id"].to_pylist())
             rows = [x for k, p in zip(batch["key"].to_pylist(), pages) for x in index.find(k, p)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((),) * 3, (pa.string(), pa.int64(), pa.int64()))], ["file", "offset", "length"])
 
