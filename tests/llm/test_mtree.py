@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import mtree
@@ -10,7 +11,7 @@ from tidemark.llm.mtree import top_k
 
 def brute(rows, is_query, k, scale=1024):
     def sound(v):
-        return v is not None and all(c is not None and math.isfinite(c) and abs(c) < 2**20 for c in v)
+        return v is not None and all(c is not None and math.isfinite(c) for c in v)
 
     points = [(i, [math.floor(scale * c) for c in v]) for i, v in rows if i is not None and sound(v)]
     out = []
@@ -35,7 +36,7 @@ def test_equals_brute_force_with_a_hot_vector(spark, monkeypatch):
 
 
 def test_edges(spark):
-    rows = [(0, [1.0, 2.0]), (10, None), (20, [1.0, None]), (30, [float("nan"), 1.0]), (40, [float("inf"), 0.0]), (50, [1e300, 0.0]), (60, []), (61, [-0.0005]),
+    rows = [(0, [1.0, 2.0]), (10, None), (20, [1.0, None]), (30, [float("nan"), 1.0]), (40, [float("inf"), 0.0]), (50, [2.0**21, -(2.0**22)]), (60, []), (61, [-0.0005]),
             (62, [3.0, 1.0, 2.0]), (63, [1.0, 2.0]), (63, [1.0, 2.0]), (None, [9.0, 9.0]), (70, [0.0, 0.0]), (64, [-5.0, -5.0])]
     assert run(spark, rows, 4) == brute(rows, lambda i: i % 10 == 0, 4)
     assert run(spark, rows, 100) == brute(rows, lambda i: i % 10 == 0, 100)
@@ -73,3 +74,18 @@ def test_scores_beside_a_large_norm_are_exact():
         want = [(int(scores[i]), -int(i)) for i in np.lexsort((np.arange(n), -scores)) if i != q][:10]
         for least in (None, want[-1][0]):
             assert sorted(tree.search(q, v[q], 10, least, m2), reverse=True) == want
+
+
+def test_huge_vectors_are_scored_exactly(spark):
+    few = [(0, [1.0, 0.5]), (1, [2.0**20, 0.0]), (2, [3.0, -4.0]), (100, [2.0**21, 1.0])]
+    assert run(spark, few, 10) == brute(few, lambda i: i % 10 == 0, 10)
+    assert {r[0] for r in run(spark, few, 10)} == {0, 100}
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) * 10 ** rng.choice([0, 0, 0, 5, 5.6]) for _ in range(3)]) for i in range(300)]
+    assert run(spark, rows, 6) == brute(rows, lambda i: i % 10 == 0, 6)
+    alone = [(10, [2.0**20]), (20, [-(2.0**20)]), (20, [7.0])]
+    assert run(spark, alone, 3) == brute(alone, lambda i: i % 10 == 0, 3)
+    zero = [(10, [1e300, 0.0]), (11, [0.0, 5.0]), (12, [0.0, 1e300])]
+    assert run(spark, zero, 3) == [(10, 1, 11, 0), (10, 2, 12, 0)]
+    with pytest.raises(Exception, match="64 bits"):
+        run(spark, [(10, [1e300, 0.0]), (11, [1.0, 0.0])], 3)

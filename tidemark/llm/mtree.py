@@ -11,6 +11,7 @@ their least possible distance and leaves out, by the triangle inequality, whatev
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ SUBTREE, PAGE, FANOUT = 4096, 64, 16
 #: Levels by distance; what is still too large then, as a vector that repeats without end, is dealt by a hash of its id.
 LEVELS = 12
 QUERY_BLOCK = 256
-#: Components from here on take no part, so that scores fit 64 bits.
+#: Vectors with a component from here on are scored beside the tree, where scores are exact at any size.
 LARGEST = 1 << 20
 #: Times sqrt(M2) and the number of components: above the rounding of all distances of one comparison.
 SLACK = 2.0**-49
@@ -140,6 +141,41 @@ class _Subtree:
         return best
 
 
+def _exact(scale: int, vector: list[float]) -> list[int]:
+    """floor(scale * x), also where the product leaves the range of doubles."""
+    return [math.floor(x * scale) if abs(x) < 2.0**900 else int(x) * scale for x in vector]
+
+
+def _beside(k: int, scale: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best k of a block of candidates for each of a block of queries, in integers of any size."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row, found = batch.slice(i, 1).to_pylist()[0], []
+            held = [(x["vec_id"], _exact(scale, x["v"])) for x in row["candidates"]]
+            for x in row["queries"]:
+                q = _exact(scale, x["v"])
+                scores = ((sum(a * b for a, b in zip(q, v)), -y) for y, v in held if y != x["vec_id"])
+                found += [(x["vec_id"], -y, s) for s, y in heapq.nlargest(k, scores)]
+            if any(not -(1 << 63) <= s < 1 << 63 for *_, s in found):
+                raise OverflowError("a score among the best needs more than 64 bits")
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((),) * 3)], ["query_id", "vec_id", "score"])
+
+
+def _scored_beside(queries: DataFrame, candidates: DataFrame, k: int, scale: int) -> DataFrame:
+    """Blocks of queries meet blocks of candidates; one of the two sides holds huge vectors alone."""
+    def blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+        n = 1 + rows.count() // size
+        part = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).alias(f"{name}_block")
+        return rows.groupBy(part).agg(F.collect_list(F.struct("vec_id", "v")).alias(name)), n
+
+    asked, n = blocks(queries, QUERY_BLOCK, "queries")
+    held, _ = blocks(candidates, QUERY_BLOCK, "candidates")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("queries_block")
+    return held.select("candidates", every).join(asked, "queries_block").select("queries", "candidates").mapInArrow(
+        lambda it: _beside(k, scale, it), "query_id long, vec_id long, score long"
+    )
+
+
 def _search(k: int, m2: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a subtree beside a block of queries (ids, vectors, scores to beat)."""
     for batch in batches:
@@ -156,21 +192,36 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query with all other rows.
 
     Components are floor(scale * x). Queries are the rows for which the column `is_query` holds. Ties go to the smaller
-    vec_id; a query with fewer than k others gets them all. Vectors that are null or hold a null, a non-finite or a
-    huge component take no part, nor do rows without an id; shorter vectors count as filled up with zeros. Rows with the
+    vec_id; a query with fewer than k others gets them all. Vectors that are null or hold a null or a non-finite
+    component take no part, nor do rows without an id; shorter vectors count as filled up with zeros. Rows with the
     query's id are its own; other rows that repeat are found once each. Extra columns are ignored.
 
-    Each query first searches its own subtree, which gives a score to beat; then blocks of queries meet all subtrees.
+    Vectors with a component of LARGEST or more stay out of the tree: as candidates they meet all queries, as queries
+    all candidates, block by block, in exact integers. A best score that needs more than 64 bits is an error.
+    Each other query first searches its own subtree, which gives a score to beat; then blocks of queries meet all subtrees.
     """
     scratch = Scratch(vectors.sparkSession, "mtree")
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
-    sound = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LARGEST))
+    sound = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & sound)
+    is_huge = F.exists("v", lambda c: F.abs(c) >= LARGEST)
+    everything, huge = rows, scratch.table(rows.filter(is_huge))
+    beside = None
+    if not is_empty(huge):
+        asked = everything.filter("query").dropDuplicates(["vec_id"])
+        beside = _scored_beside(asked, huge, k, scale)
+        if not is_empty(huge.filter("query")):
+            beside = beside.unionByName(_scored_beside(huge.filter("query").dropDuplicates(["vec_id"]), everything.filter(~is_huge), k, scale))
+        beside = scratch.table(beside)
+    rows = everything.filter(~is_huge)
     queries = rows.filter("query").select("vec_id")
     points = scratch.table(rows.select("vec_id", "v").mapInArrow(lambda it: _integers(scale, it), "vec_id long, v binary, norm long, dim int"))
     m2, dim = points.agg(F.max("norm"), F.max("dim")).first()
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     if m2 is None:
+        if beside is not None:
+            return beside.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         return points.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.col("norm").alias("score"))
     hashed = F.shiftrightunsigned(F.xxhash64("vec_id"), 1).alias("hash")
     level, ready = scratch.table(points.select("vec_id", "v", hashed, F.lit("0").alias("node"))), None
@@ -205,5 +256,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
     blocks = scratch.table(blocks)
     ids = F.sequence(F.lit(0).cast("long"), F.lit(asked.count() // QUERY_BLOCK).cast("long"))
     met = trees.withColumn("block", F.explode(ids)).join(blocks, "block").mapInArrow(lambda it: _search(k, m2, dim, it), schema)
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    if beside is not None:
+        met = met.unionByName(beside)
     return met.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
