@@ -1,6 +1,8 @@
 import math
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,8 +61,63 @@ def test_rejection_of_what_no_language_explains(spark):
     docs = spark.createDataFrame([(1, noise), (2, EN)], "doc_id long, text string")
     assert [r.rejected for r in predict(docs, model).orderBy("doc_id").collect()] == [True, False]
     assert math.isfinite(predict(docs, model).agg(F.max("entropy")).first()[0])
-    with pytest.raises(ValueError):
-        train(labelled(spark).limit(0))
+
+
+def test_nothing_to_learn_from(spark):
+    for rows in (labelled(spark).limit(0), labelled(spark).withColumn("lang", F.lit(None).cast("string"))):
+        for calibrate in (True, False):
+            model = train(rows, calibrate=calibrate)
+            docs = spark.createDataFrame([(1, EN), (2, None), (3, "12")], "doc_id long, text string")
+            got = predict(docs, model).orderBy("doc_id").collect()
+            assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, False), ("und", 0.0, True), ("und", 0.0, True)]
+            assert predict(docs.limit(0), model).collect() == []
+
+
+def test_the_query_without_documents_or_labels(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    docs.withColumn("lang", F.lit(None).cast("string")).write.parquet(str(tmp_path / "bare" / "documents.parquet"))
+    run = QUERIES["op10_language_id"]
+    assert run(spark, str(tmp_path / "none")).collect() == []
+    got = run(spark, str(tmp_path / "bare")).collect()
+    assert len(got) == docs.count() and {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
+
+
+def plain_kneser_ney(texts, order):
+    """Log-probabilities by the definition: counts at the highest order, kinds of predecessors below, even chances last."""
+    grams = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        for i in range(len(t) - order + 1):
+            grams[order][t[i : i + order]] += 1
+    for k in range(order - 1, 0, -1):
+        for g in grams[k + 1]:
+            grams[k][g[1:]] += 1
+
+    def probability(g, symbols):
+        if not g:
+            return 1 / symbols
+        seen = {x: n for x, n in grams[len(g)].items() if x[:-1] == g[:-1]}
+        lower = probability(g[1:], symbols)
+        if not seen:
+            return lower
+        total = sum(seen.values())
+        once, twice = (sum(n == k for n in grams[len(g)].values()) for k in (1, 2))
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        return max(seen.get(g, 0) - discount, 0) / total + discount * len(seen) / total * lower
+
+    return probability
+
+
+def test_probabilities_are_those_of_the_definition():
+    texts = ["   abrakadabra  ab ra", "   kadabra dabra a"]
+    counts = Counter(t[i : i + ORDER] for t in texts for i in range(len(t) - ORDER + 1))
+    model = kneser_ney({"x": counts})
+    want = plain_kneser_ney(texts, ORDER)
+    symbols = round(math.exp(-model.unseen))
+    for text in ("   abra kadab", "   zzz ab", "   raa dabr kkab"):
+        got = model.log_probabilities(np.array([ord(c) for c in text]))[:, 0]
+        for i in range(ORDER - 1, len(text)):
+            assert abs(got[i] - math.log(want(text[i - ORDER + 1 : i + 1], symbols))) < 1e-4, (text, i)
 
 
 def test_held_out_accuracy(spark):

@@ -199,6 +199,11 @@ def _scores(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         for a, b in slices(batch["text"], SLICE_BYTES):
             flat, begins, letters = plain_characters(batch["text"].slice(a, b - a).to_pylist())
+            if not model.languages:
+                rest = [pa.array(x) for x in (["und"] * (b - a), np.zeros(b - a), np.zeros(b - a), np.zeros(b - a), np.diff(begins), letters == 0)]
+                names = [c for c in batch.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(a, b - a) for c in names), *rest], [*names, "lang_pred", "score", "entropy", "within", "n_chars", "rejected"])
+                continue
             logp = model.log_probabilities(flat)
             logp[np.add.outer(begins[:-1], np.arange(ORDER - 1))] = 0
             n = np.maximum(np.diff(begins) - (ORDER - 1), 1)
@@ -222,8 +227,10 @@ def _scores(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 _SCORE_SCHEMA = "lang_pred string, score double, entropy double, within double, n_chars long, rejected boolean"
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """The models of every language in `labelled`; rows with a null text or language teach nothing.
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, calibrate: bool = True) -> Model:
+    """The models of every language in `labelled`; rows with a null text or language teach nothing. Without any labelled
+    text the model knows no language: it predicts `und` with score 0 for all. Without `calibrate` it rejects nothing but
+    texts without letters, and the models that only the limits need are not made.
 
     A language with much more than `sample` documents is thinned evenly by a hash to about as many, and a quarter as many
     others calibrate it. A smaller one is learned from all its documents and calibrated by models that leave a part out.
@@ -232,7 +239,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna(subset=["text", "lang"])
     sizes = rows.groupBy("lang").count().collect()
     if not sizes:
-        raise ValueError("no labelled text to learn a language from")
+        return Model([], [], [], 0.0)
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / (1 << 30)
     enough = F.lit(1.0)
     for r in sizes:
@@ -253,6 +260,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return total
 
     model = kneser_ney(without(None))
+    if not calibrate:
+        return model
     models = {-1: model} | {f: kneser_ney(rest) for f in counts if f >= 0 and (rest := without(f))}
     others = rows.filter((enough == 1) | ((place >= enough) & (place < 1.25 * enough))).select("lang", fold, "text")
     others = others.filter(F.col("fold").isin(list(models)))
@@ -265,18 +274,18 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def _limits(model: Model, figures: dict[str, tuple[int, float, float, float]]) -> dict[str, tuple[float, float, float]]:
     """For every language, from its calibration documents' number, mean entropy, variance between and variance within.
 
-    Where they are few, the mean stays the language's own, as a model that has seen little fits its language less well,
-    but the variances lean on those of all languages and allow for the error of that mean. A language without any is
-    judged by chance alone: its text must cost less than characters drawn evenly from all that were seen.
+    The mean is the language's own, as a model that has seen little fits its language less well; the variances lean on
+    those of all languages as on CALIBRATION more documents, and allow for the error of that mean, so the fewer documents
+    there are the more. A language without any is judged by chance alone: its text must cost less than characters drawn
+    evenly from all that were seen.
     """
     freedom, held = sum(n - 1 for n, *_ in figures.values()), sum(n for n, *_ in figures.values())
     spread = sum((n - 1) * between for n, _, between, _ in figures.values()) / freedom if freedom else 0.0
     inside = sum(n * within for n, *_, within in figures.values()) / held if held else 0.0
     limits = {lang: (-model.unseen, 0.0, 0.0) for lang in model.languages}
     for lang, (n, mean, between, within) in figures.items():
-        if n < CALIBRATION:
-            between = ((n - 1) * between + CALIBRATION * spread) / (n - 1 + CALIBRATION) * (1 + 1 / n)
-            within = (n * within + CALIBRATION * inside) / (n + CALIBRATION)
+        between = ((n - 1) * between + CALIBRATION * spread) / (n - 1 + CALIBRATION) * (1 + 1 / n)
+        within = (n * within + CALIBRATION * inside) / (n + CALIBRATION)
         limits[lang] = (mean, between, within)
     return limits
 
