@@ -111,7 +111,7 @@ def _joined(ids: list[list[int]], token_bytes: list[bytes], length: np.ndarray,
 
 
 def align(fragments: list[str], pair: Pair) -> Aligned:
-    """The tokens, groups and links of fragments, each a space and whatever follows; those where the joined bytes of one
+    """The tokens, groups and links of fragments, each behind a space; those where the joined bytes of one
     tokenizer are not the fragment's are not good and have none.
 
     The character offsets of `tokenizers` and the byte spans of sentencepiece's proto are coarse cuts: tokens of one
@@ -132,6 +132,7 @@ def align(fragments: list[str], pair: Pair) -> Aligned:
 
 
 def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned:
+    fragments = [" " + f for f in fragments]
     data = [f.encode() for f in fragments]
     encoded = tok_a.encode_batch(fragments, add_special_tokens=False)
     ids_a, spans_a = [e.ids for e in encoded], [e.offsets for e in encoded]
@@ -194,14 +195,16 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, "<i4" if len(data) == 4 * n else "<i8", n).astype(np.int64)
 
 
-def _slice(ids: pa.Array, texts: list[str | None], pair: Pair, schema: pa.Schema) -> pa.RecordBatch:
+def _slice(ids: pa.Array, texts: pa.ChunkedArray, pair: Pair, schema: pa.Schema) -> pa.RecordBatch:
     cuts = pair.load()[4]
     known: dict[str, int] = {}
     rows = []
-    for t in texts:
+    for t in (x.as_py() for x in texts):
         found = (_CUT.split(t) if cuts else [t]) if t else []
         rows.append(np.fromiter((known.setdefault(f, len(known)) for f in found), np.int32, len(found)))
-    done = align([" " + f for f in known], pair)
+    fragments = list(known)
+    known.clear()
+    done = align(fragments, pair)
     good, sizes, strings = done.good, done.sizes, done.groups
     rows = [r if good[r].all() else r[:0] for r in rows]
     sha = [hashlib.sha256(";".join([strings[i] for i in r.tolist()]).encode()).hexdigest() if len(r) else "" for r in rows]
@@ -289,7 +292,7 @@ def align_tokens(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col:
 
     def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
-        yield _slice(table.column(0).combine_chunks(), table.column(1).to_pylist(), pair, slice_schema)
+        yield _slice(table.column(0).combine_chunks(), table.column(1), pair, slice_schema)
 
     made = scratch.table(docs.mapInArrow(cut, slice_type))
     pairs = made.select("slice", F.posexplode(F.arrays_zip("pair", "n")).alias("place", "z")).select("slice", "place", F.col("z.pair").alias("pair"), F.col("z.n").alias("n"))
