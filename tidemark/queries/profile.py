@@ -110,7 +110,7 @@ def constant_columns(spark, sf):
 
 
 @query(f"""SELECT source_table, column_name, populated, min_value, max_value,
-                  CASE WHEN regexp_matches(column_name, '(?i)(modif|updat|changed|amend|edit)') THEN 'modification'
+                  CASE WHEN regexp_matches(column_name, '{ops.MODIFICATION_NAME}') THEN 'modification'
                        WHEN regexp_matches(column_name, '(?i)creat') THEN 'creation (not usable)'
                        ELSE 'unclassified' END AS kind
            FROM {_LATEST} WHERE looks_timestamp > 0 AND looks_timestamp = populated""")
