@@ -9,6 +9,8 @@ from tidemark.plans import facts as plan
 from tidemark.queries.registry import SQL_KIND, at, frame, frame_sql, query, table
 from tidemark.sources.history import append_history
 from tidemark.sources.store import Warehouse, shared_folder
+from tidemark.operators.audit import heartbeat, load_exceptions
+from tidemark.streaming import audited_stream as start_audited_stream
 from tidemark.streaming import stream_transform as start_stream
 
 INCIDENT = plan.incident_fact("__key_incident")
@@ -212,3 +214,25 @@ def stream_transform(spark, sf):
         _fill(wh, INCIDENT, part)
         start_stream(wh, INCIDENT, f"{wh.root}/checkpoint").awaitTermination()
     return wh.read_fact(INCIDENT).drop("transformed_at")
+
+
+@query(f"""SELECT source_table, step, n AS source_row_count, n AS extracted_row_count, n AS staged_row_count, n AS loaded_row_count,
+                  'succeeded' AS status, 'stream' AS trigger_source, false AS exception, false AS overdue
+           FROM (SELECT 'stg.incident' AS source_table, CASE WHEN call_type = 'F' THEN 1 ELSE 2 END AS step, count(*) AS n
+                 FROM {frame_sql('incident_history')} GROUP BY 1, 2)""")
+def audited_stream(spark, sf):
+    """Two audited runs of a stream: their counts agree, no exception is listed and the heartbeat has heard of them."""
+    wh = Warehouse(spark, shared_folder(spark, "audited-stream"))
+    history = frame(spark, sf, "incident_history")
+    for part in (history.filter("call_type = 'F'"), history.filter("call_type <> 'F'")):
+        _fill(wh, INCIDENT, part)
+        start_audited_stream(wh, INCIDENT, f"{wh.root}/checkpoint", clock=lambda: NOW).await_termination()
+    runs, table_runs = wh.current("load_run"), wh.current("load_table_run")
+    wrong = load_exceptions(runs, table_runs).select("run_id", F.lit(True).alias("_wrong"))
+    step = F.when(F.col("watermark_from").isNull(), 1).otherwise(2).alias("step")
+    return (
+        table_runs.join(runs.select("run_id", "trigger_source"), "run_id").join(wrong, "run_id", "left")
+        .join(heartbeat(runs, NOW).select("overdue"))
+        .select("source_table", step, "source_row_count", "extracted_row_count", "staged_row_count", "loaded_row_count",
+                "status", "trigger_source", F.coalesce("_wrong", F.lit(False)).alias("exception"), "overdue")
+    )

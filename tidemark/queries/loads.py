@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.profile import profile_columns
 from tidemark.plans import loads as plan
+from tidemark.plans import references
 from tidemark.queries.registry import at, query, table
 from tidemark.sources import history as hist
 from tidemark.sources.scan import stage_text, stamp_loaded_at
@@ -197,3 +198,25 @@ def run_load(spark, sf):
         none.alias("source_n"), none.alias("extracted_n"), none.alias("staged_n"), "loaded_n",
     )
     return tables.unionByName(fact)
+
+
+SEGMENTS = TableSpec("CUSTOMER", "stg.segment", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), "c_custkey")
+
+
+@query("""WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer),
+          after AS (SELECT * FROM c WHERE c_custkey % 11 <> 0),
+          before AS (SELECT * REPLACE (CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment)
+                     FROM c WHERE c_custkey % 5 <> 0),
+          new_rows AS (SELECT * FROM after EXCEPT SELECT * FROM before), old_rows AS (SELECT * FROM before EXCEPT SELECT * FROM after)
+          SELECT CAST(coalesce(n.c_custkey, o.c_custkey) AS VARCHAR) AS row_key,
+                 CASE WHEN o.c_custkey IS NULL THEN 'added' WHEN n.c_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+                 CASE WHEN o.c_custkey IS NULL THEN 0 ELSE 1 END AS n_before, CASE WHEN n.c_custkey IS NULL THEN 0 ELSE 1 END AS n_after
+          FROM new_rows n FULL JOIN old_rows o ON n.c_custkey = o.c_custkey""")
+def reference_changes(spark, sf):
+    """The source has lost some rows, gained others, and holds another text for a few."""
+    wh, customers = _warehouse(spark, "reference-changes"), table(spark, sf, "customer").select(*SEGMENTS.columns)
+    older = customers.filter("c_custkey % 5 <> 0").withColumn(
+        "c_mktsegment", F.when(F.col("c_custkey") % 7 == 0, "CHANGED").otherwise(F.col("c_mktsegment"))
+    )
+    hist.append_history(wh, SEGMENTS.target_table, stamp_loaded_at(stage_text(older), STAMP), SEGMENTS.columns)
+    return references.reference_changes(wh, customers.filter("c_custkey % 11 <> 0"), SEGMENTS)

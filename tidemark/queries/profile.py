@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import profile as ops
+from tidemark.plans.profiles import profile_history as merged_profile
 from tidemark.queries.registry import at, frame, frame_sql, query, sql_clock_seconds, sql_date, sql_numeric, sql_ts, table
-from tidemark.sources.scan import ntz
+from tidemark.sources.history import append_history
+from tidemark.sources.scan import ntz, stage_text, stamp_loaded_at
 from tidemark.sources.store import Warehouse, shared_folder
 
 FIRST_RUN, SECOND_RUN = at("2024-05-01"), at("2024-05-02")
@@ -132,3 +134,18 @@ def record_profile(spark, sf):
     wh = Warehouse(spark, shared_folder(spark, "record-profile"))
     ops.record_profile(wh, ops.profile_columns(table(spark, sf, "customer"), "customer"), at("2024-06-01"))
     return wh.state("column_profile")
+
+
+_GROWN = profile_sql(ORDERS_TEXT, "stg.orders")
+
+
+@query(f"SELECT * EXCLUDE (distinct_values), true AS distinct_close FROM ({_GROWN})")
+def profile_history(spark, sf):
+    """A history that is profiled, grows and is profiled again. Its sketches' distinct counts are held against exact ones."""
+    wh, orders = Warehouse(spark, shared_folder(spark, "profile-history")), stage_text(table(spark, sf, "orders"))
+    for part, stamp in (("o_orderstatus = 'F'", FIRST_RUN), ("o_orderstatus <> 'F'", SECOND_RUN)):
+        append_history(wh, "stg.orders", stamp_loaded_at(orders.filter(part), stamp), orders.columns)
+        merged = merged_profile(wh, "stg.orders")
+    exact = ops.profile_light(orders).select("column_name", F.col("distinct_values").alias("n_distinct"))
+    close = F.abs(F.col("distinct_values") - F.col("n_distinct")) <= F.col("n_distinct") * 0.05
+    return merged.join(exact, "column_name").withColumn("distinct_close", close).drop("distinct_values", "n_distinct")

@@ -1,3 +1,4 @@
+from tidemark.streaming.audit import audited_stream
 from tidemark.streaming.transform import stream_transform
 
-__all__ = ["stream_transform"]
+__all__ = ["audited_stream", "stream_transform"]

@@ -18,6 +18,14 @@ def history_stream(wh: Warehouse, table: str, schema: T.StructType, max_files: i
     return reader.parquet(wh.path(table))
 
 
+def stream_schema(wh: Warehouse, spec: FactSpec) -> T.StructType:
+    """The columns that the files of a fact's history hold."""
+    history = read_history(wh, spec.source_table)
+    if history is None:
+        raise ValueError(f"{spec.source_table} has no history yet")
+    return T.StructType([f for f in history.schema.fields if f.name != LOAD_DATE])
+
+
 def stream_transform(wh: Warehouse, spec: FactSpec, checkpoint: str, max_files: int | None = None) -> StreamingQuery:
     """Consume new history files and upsert each micro-batch into the fact.
 
@@ -26,10 +34,7 @@ def stream_transform(wh: Warehouse, spec: FactSpec, checkpoint: str, max_files:
     modifications are decided by load time. A batch that is delivered again is recognised by its
     number, which is committed with the snapshot.
     """
-    history = read_history(wh, spec.source_table)
-    if history is None:
-        raise ValueError(f"{spec.source_table} has no history yet")
-    schema = T.StructType([f for f in history.schema.fields if f.name != LOAD_DATE])
+    schema = stream_schema(wh, spec)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         state = wh.fact_state(spec.target_table)
