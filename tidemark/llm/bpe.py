@@ -28,11 +28,57 @@ from tidemark.llm.words import slices
 CHUNKS, WORDS = 80_000, 220_000
 
 #: Unicode's White_Space, as inside a character class. Python's str.split() also cuts at U+001C to U+001F.
-_WHITE = r"\t-\r \x85\xA0  -     　"
+_WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _ONLY_PYTHON = re.compile(r"[\x1C-\x1F]")
 _SPLIT = re.compile(f"[{_WHITE}]+")
 
 
+def _ranges(text: str) -> list[tuple[int, int]]:
+    """Ranges written as hexadecimal code points."""
+    return [(int(a, 16), int(b or a, 16)) for a, _, b in (r.partition("-") for r in text.split())]
+
+
+# Where the tokenizers library's Unicode tables differ from those of Python 3.13 (Unicode 15.1). Its classes
+# are those of Unicode 16, its lower case is that of 17, its NFC is older than both.
+#: Letters and numbers of Unicode 16 that 15.1 leaves unassigned.
+_NEWER = {
+    "L": _ranges(
+        "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 "
+        "113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"
+    ),
+    "N": _ranges("10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"),
+}
+#: Capitals assigned after 15.1, each range with its first small letter.
+_CAPITALS = {
+    "1C89": 0x1C8A, "A7CB": 0x0264, "A7CC": 0xA7CD, "A7CE": 0xA7CF, "A7D2": 0xA7D3, "A7D4": 0xA7D5, "A7DA": 0xA7DB, "A7DC": 0x019B,
+    "10D50-10D65": 0x10D70, "16EA0-16EB8": 0x16EBB,
+}
+#: Marks that its NFC does not know: they neither move nor combine, and nothing moves over them.
+_UNMOVED = _ranges(
+    "7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 "
+    "10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 "
+    "16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+)
+
+_LOWER = {a + i: small + i for r, small in _CAPITALS.items() for a, b in _ranges(r) for i in range(b - a + 1)}
+
+
+def _inside(ranges: Iterable[tuple[int, int]]) -> str:
+    """Ranges as inside a character class."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+_FENCE = re.compile(f"([{_inside(_UNMOVED)}])")
+_DIFFERS = re.compile(f"[{_inside(_UNMOVED)}{_inside((c, c) for c in _LOWER)}]")
+
+
+def _nfc(text: str) -> str:
+    """NFC as the library makes it, with capitals that Python does not know made small."""
+    if not _DIFFERS.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in _FENCE.split(text)).translate(_LOWER)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """What the encoder needs of a tokenizer file. Its size is that of the file, whatever the data."""
@@ -57,16 +103,17 @@ def _byte_chars() -> list[str]:
 @cache
 def _category(major: str) -> str:
     """The code points of a general category, L or N, as inside a character class."""
-    of = [unicodedata.category(chr(c))[0] == major for c in range(sys.maxunicode + 1)]
+    newer = {c for a, b in _NEWER[major] for c in range(a, b + 1)}
+    of = [unicodedata.category(chr(c))[0] == major or c in newer for c in range(sys.maxunicode + 1)]
     starts = [c for c, x in enumerate(of) if x and not (c and of[c - 1])]
     ends = [c for c, x in enumerate(of) if x and not (c < sys.maxunicode and of[c + 1])]
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+    return _inside(zip(starts, ends))
 
 
 def read_vocabulary(path: str) -> Vocabulary:
     """From a tokenizer file: byte-level BPE with a word-end suffix; NFC, white space and lower case as normalisers.
 
-    Letters and numbers are those of Python's Unicode tables; code points assigned later are neither.
+    Letters, numbers and lower case are those of Python's Unicode tables with what the library's have beyond them.
     """
     with open(path, encoding="utf-8") as f:
         file = json.load(f)
@@ -127,7 +174,7 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk.isascii():  # letter by letter: str.lower() alone would make a final sigma
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+            chunk = _nfc(chunk).replace("Σ", "σ")
         return b"".join(map(self.word.__getitem__, self.words.findall(chunk.lower())))
 
     def _word(self, word: str) -> bytes:
