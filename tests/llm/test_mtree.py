@@ -35,6 +35,46 @@ def test_equals_brute_force_with_a_hot_vector(spark, monkeypatch):
     assert run(spark, rows, 7) == brute(rows, lambda i: i % 10 == 0, 7)
 
 
+def test_queries_meet_few_subtrees_of_separate_clusters(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "SUBTREE", 40)
+    seen, leaves, meetings = [], [], mtree._meetings
+
+    def counted(*a, **k):
+        met = meetings(*a, **k)
+        seen.append(met.select("node", F.explode("queries").alias("q")).select("node", "q.query_id", "q.own").collect())
+        leaves.append(a[1].select("node").subtract(a[1].select("parent")).count())
+        return met
+
+    monkeypatch.setattr(mtree, "_meetings", counted)
+    rng = random.Random(5)
+    centres = [[40 * rng.gauss(0, 1) for _ in range(4)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 12]]) for i in range(1800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_k(df, F.col("vec_id") % 10 == 0, 3)
+    assert "CartesianProduct" not in got._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 10 == 0, 3)
+    first, met = seen
+    assert len(first) == len({r.query_id for r in first}) == 180
+    assert all(r.node != r.own for r in met) and len({(r.node, r.query_id) for r in met}) == len(met)
+    assert leaves[0] >= 45 and 4 * len(met) < 180 * leaves[0]  # of 180 queries
+
+
+def test_a_block_loses_queries_at_each_node():
+    import pyarrow as pa
+
+    dim, m2 = 2, 200
+    def packed(*x):
+        return np.array(x, np.int32).tobytes()
+
+    queries = [{"query_id": i, "v": packed(*v), "least": least, "own": own, "to_node": None}
+               for i, (v, least, own) in enumerate([((10, 10), None, "0.9"), ((10, 10), 190, "0.9"), ((10, 10), 190, "0.0"), ((-10, -10), 190, "0.9")])]
+    children = [{"node": f"0.{i}", "route": packed(*v), "radius": 1.0} for i, v in enumerate([(10, 10), (-10, -10), (10, -10)])]
+    struct = pa.struct([("query_id", pa.int64()), ("v", pa.binary()), ("least", pa.int64()), ("own", pa.string()), ("to_node", pa.float64())])
+    batch = pa.table({"queries": pa.array([queries], pa.list_(struct)), "route": pa.array([None], pa.binary()), "children": [children]}).to_batches()
+    out = {r["node"]: [q["query_id"] for q in r["queries"]] for b in mtree._descend(m2, dim, False, iter(batch)) for r in b.to_pylist()}
+    assert out == {"0.0": [0, 1], "0.1": [0, 3], "0.2": [0]}  # 2 has been there before
+
+
 def test_edges(spark):
     rows = [(0, [1.0, 2.0]), (10, None), (20, [1.0, None]), (30, [float("nan"), 1.0]), (40, [float("inf"), 0.0]), (50, [2.0**21, -(2.0**22)]), (60, []), (61, [-0.0005]),
             (62, [3.0, 1.0, 2.0]), (63, [1.0, 2.0]), (63, [1.0, 2.0]), (None, [9.0, 9.0]), (70, [0.0, 0.0]), (64, [-5.0, -5.0])]

@@ -3,9 +3,11 @@
 A vector x with an extra coordinate sqrt(M2 - |x|**2), where M2 is the largest squared norm, is a point on a sphere; for a
 query with extra coordinate 0 the squared distance is |q|**2 + M2 - 2 <q, x>, so the nearest point has the highest inner
 product. Spark routes the points, level by level, to the nearest of a few routing objects until a subtree has at most
-`SUBTREE` points; within a subtree they are dealt to pages. A page keeps its routing object, its covering radius, its
-distance to the subtree's routing object and the distances of its points to its own. The search opens pages by
-their least possible distance and leaves out, by the triangle inequality, whatever stored distances rule out.
+`SUBTREE` points; within a subtree they are dealt to pages. A node on the way keeps its routing object, its covering
+radius and the distance to its parent's routing object; a page keeps those too, beside the distances of its points to its own.
+Blocks of queries descend the nodes in Spark and lose, at each, the queries that the triangle inequality rules out; only the
+others meet a subtree. There the search opens pages by their least possible distance and leaves out what stored distances
+rule out.
 """
 
 from __future__ import annotations
@@ -57,6 +59,7 @@ def _route(m2: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     for batch in batches:
         _, points = _points(batch["v"].to_pylist(), m2, dim)
         nodes, out = np.array(batch["node"].to_pylist(), object), np.empty(len(batch), object)
+        route, own = np.empty(len(batch), object), np.zeros(len(batch))
         for node in set(nodes.tolist()):
             at = np.flatnonzero(nodes == node)
             first = batch.slice(int(at[0]), 1).to_pylist()[0]
@@ -66,7 +69,13 @@ def _route(m2: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             else:
                 child = batch["hash"].to_numpy()[at] % (1 + 2 * first["size"] // SUBTREE)
             out[at] = [f"{node}.{c}" for c in child.tolist()]
-        yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["v"], batch["hash"], pa.array(out.tolist(), pa.string())], ["vec_id", "v", "hash", "node"])
+            chosen = child if len(routes) > 1 else np.zeros(len(at), np.int64)
+            own[at] = np.sqrt(((points[at] - routes[chosen]) ** 2).sum(axis=1))
+            route[at] = np.array(first["routes"], object)[chosen]
+        yield pa.RecordBatch.from_arrays(
+            [batch["vec_id"], batch["v"], batch["hash"], pa.array(out.tolist(), pa.string()), pa.array(nodes.tolist(), pa.string()), pa.array(route.tolist(), pa.binary()), pa.array(own)],
+            ["vec_id", "v", "hash", "node", "parent", "route", "own"],
+        )
 
 
 _TREE = "node string, ids binary, vectors binary, pages binary, centre binary, spread double, routes binary, apart binary, radius binary, within binary"
@@ -96,6 +105,14 @@ def _build(m2: int, dim: int, table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array(x, pa.binary() if isinstance(x[0], bytes) else None) for k, x in row.items()})
 
 
+def _reach(q: np.ndarray, m2: int, score: int | None) -> float:
+    """Points further away from a query than this have a lower score."""
+    if score is None:
+        return np.inf
+    base = int((q * q).sum()) + m2  # exact, as scores are
+    return np.sqrt(float(max(base - 2 * score, 0))) + SLACK * (len(q) + 8) * max(np.sqrt(m2), 1.0)
+
+
 class _Subtree:
     def __init__(self, row: dict, dim: int):
         def floats(name: str) -> np.ndarray:
@@ -107,15 +124,8 @@ class _Subtree:
 
     def search(self, query: int, q: np.ndarray, k: int, least: int | None, m2: int) -> list[tuple[int, int]]:
         """The best k points (score, -id) with a score of at least `least`."""
-        base = int((q * q).sum()) + m2  # exact, as scores are
-        slack = SLACK * (len(q) + 8) * max(np.sqrt(m2), 1.0)
         point = np.append(q, 0).astype(np.float64)
-
-        def reach(score: int | None) -> float:
-            """Points further away than this have a lower score."""
-            return np.inf if score is None else np.sqrt(float(max(base - 2 * score, 0))) + slack
-
-        limit, best = reach(least), []
+        limit, best = _reach(q, m2, least), []
         to_centre = float(np.sqrt(((point - self.centre) ** 2).sum()))
         if to_centre - self.spread > limit:
             return best
@@ -137,7 +147,7 @@ class _Subtree:
                 if x != query and (least is None or s >= least):
                     (heapq.heappush if len(best) < k else heapq.heappushpop)(best, (s, -x))
             if len(best) == k:
-                limit = min(limit, reach(best[0][0]))
+                limit = min(limit, _reach(q, m2, best[0][0]))
         return best
 
 
@@ -188,6 +198,56 @@ def _search(k: int, m2: int, dim: int, batches: Iterator[pa.RecordBatch]) -> Ite
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((),) * 3)], ["query_id", "vec_id", "score"])
 
 
+_QUERIES = "queries array<struct<query_id: long, v: binary, least: long, own: string, to_node: double>>"
+
+
+def _descend(m2: int, dim: int, nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block of queries beside the children of the node it has reached: for each child, the queries that it may concern,
+    or those to which it is the nearest."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row, nodes, kept = batch.slice(i, 1).to_pylist()[0], [], []
+            asked, children = row["queries"], row["children"]
+            q, points = _points([x["v"] for x in asked], m2, dim)
+            points[:, dim] = 0
+            limit = np.array([_reach(own, m2, x["least"]) for x, own in zip(asked, q)])
+            to_node = np.array([np.nan if x["to_node"] is None else x["to_node"] for x in asked])  # the root has no routing object
+            centre = _points([row["route"]], m2, dim)[1][0] if row["route"] is not None else None
+            routes = _points([c["route"] for c in children], m2, dim)[1]
+            if nearest:
+                away = np.sqrt(((points[:, None] - routes) ** 2).sum(axis=2))
+                best = away.argmin(axis=1)
+                for c in set(best.tolist()):
+                    nodes.append(children[c]["node"])
+                    kept.append([{**asked[j], "to_node": float(away[j, c])} for j in np.flatnonzero(best == c).tolist()])
+                children = []
+            for child, at in zip(children, routes):
+                apart = np.nan if centre is None else float(np.sqrt(((centre - at) ** 2).sum()))
+                near = np.flatnonzero(~(np.abs(to_node - apart) - child["radius"] > limit))
+                away = np.sqrt(((points[near] - at) ** 2).sum(axis=1))
+                found = [(j, d) for j, d in zip(near.tolist(), away.tolist()) if d - child["radius"] <= limit[j] and asked[j]["own"] != child["node"]]
+                if found:
+                    nodes.append(child["node"])
+                    kept.append([{**asked[j], "to_node": d} for j, d in found])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(kept, batch.schema.field("queries").type)], ["node", "queries"])
+
+
+def _meetings(blocks: DataFrame, inner: DataFrame, scratch: Scratch, m2: int, dim: int, nearest: bool = False) -> DataFrame:
+    """node, queries: the subtrees that blocks of queries meet, apart from the one where each was first; with `nearest`, that
+    one: the end of the path of nearest routing objects. `inner` has a row for each node: node, parent, route, radius."""
+    children = inner.groupBy("parent").agg(F.collect_list(F.struct("node", "route", "radius")).alias("children"))
+    children = children.join(inner.select("node", "route"), F.col("parent") == F.col("node"), "left").select(F.col("parent").alias("node"), "route", "children")
+    children, met, at = scratch.table(children), None, blocks
+    while True:
+        leaves = at.join(children.select("node"), "node", "left_anti")
+        met = leaves if met is None else met.unionByName(leaves)
+        at = scratch.table(at.join(children, "node").select("queries", "route", "children").mapInArrow(
+            lambda it: _descend(m2, dim, nearest, it), f"node string, {_QUERIES}"
+        ))
+        if is_empty(at):
+            return met
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query with all other rows.
 
@@ -198,7 +258,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
 
     Vectors with a component of LARGEST or more stay out of the tree: as candidates they meet all queries, as queries
     all candidates, block by block, in exact integers. A best score that needs more than 64 bits is an error.
-    Each other query first searches its own subtree, which gives a score to beat; then blocks of queries meet all subtrees.
+    Each other query first searches one subtree, along the nearest routing objects, which gives a score to beat; then blocks of queries descend the tree
+    and meet the subtrees that may hold a better one.
     """
     scratch = Scratch(vectors.sparkSession, "mtree")
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
@@ -224,7 +285,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
             return beside.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         return points.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.col("norm").alias("score"))
     hashed = F.shiftrightunsigned(F.xxhash64("vec_id"), 1).alias("hash")
-    level, ready = scratch.table(points.select("vec_id", "v", hashed, F.lit("0").alias("node"))), None
+    level, ready, inner = scratch.table(points.select("vec_id", "v", hashed, F.lit("0").alias("node"))), None, None
     for depth in range(LEVELS + 1):
         sizes = level.groupBy("node").agg(F.count("*").alias("size"))
         small = level.join(sizes.filter(F.col("size") <= SUBTREE).select("node"), "node", "left_semi").select("vec_id", "v", "hash", "node")
@@ -236,10 +297,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
         routes = level.join(sizes, "node", "left_semi").withColumn("place", first).filter(F.col("place") <= (FANOUT if depth < LEVELS else 1))
         routes = scratch.table(routes.groupBy("node").agg(F.collect_set("v").alias("routes")).join(sizes, "node"))
         level = scratch.table(level.join(routes, "node").select("vec_id", "v", "hash", "node", "routes", "size").mapInArrow(
-            lambda it: _route(m2, dim, it), "vec_id long, v binary, hash long, node string"
+            lambda it: _route(m2, dim, it), "vec_id long, v binary, hash long, node string, parent string, route binary, own double"
         ))
+        below = level.groupBy("parent", "node").agg(F.first("route").alias("route"), F.max("own").alias("radius"))
+        inner = below if inner is None else inner.unionByName(below)
     else:
-        ready = ready.unionByName(level)  # dealt by hash just now
+        ready = ready.unionByName(level.select("vec_id", "v", "hash", "node"))  # dealt by hash just now
     ready = scratch.table(ready)
     trees = scratch.table(ready.groupBy("node").applyInArrow(lambda t: _build(m2, dim, t), _TREE))
 
@@ -247,15 +310,24 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
     asked = scratch.table(asked.select(F.col("vec_id").alias("query_id"), "v", "node", "hash"))
     query = F.struct("query_id", "v", F.lit(None).cast("long").alias("least"))
     part = F.pmod("hash", F.lit(1 + asked.count() // QUERY_BLOCK)).alias("block")
+
+    def blocks(queries: DataFrame, least, first) -> DataFrame:
+        query = F.struct("query_id", "v", least.alias("least"), first.alias("own"), F.lit(None).cast("double").alias("to_node"))
+        return scratch.table(queries.groupBy(part).agg(F.collect_list(query).alias("queries")).select(F.lit("0").alias("node"), "queries"))
+
+    if inner is not None:
+        inner = scratch.table(inner)
+        first = _meetings(blocks(asked, F.lit(None).cast("long"), F.lit(None).cast("string")), inner, scratch, m2, dim, nearest=True)
+        first = first.select("node", F.explode("queries").alias("q")).select("q.query_id", "q.v", "node")
+        asked = scratch.table(first.withColumn("hash", F.shiftrightunsigned(F.xxhash64("query_id"), 1)))
     own = asked.groupBy("node", part).agg(F.collect_list(query).alias("queries"))
     schema = "query_id long, vec_id long, score long"
     near = scratch.table(trees.join(own, "node").mapInArrow(lambda it: _search(k, m2, dim, it), schema))
     beat = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(F.col("n") >= k)
-    query = F.struct("query_id", "v", "least")
-    blocks = asked.join(beat, "query_id", "left").groupBy(part).agg(F.collect_list(query).alias("queries"))
-    blocks = scratch.table(blocks)
-    ids = F.sequence(F.lit(0).cast("long"), F.lit(asked.count() // QUERY_BLOCK).cast("long"))
-    met = trees.withColumn("block", F.explode(ids)).join(blocks, "block").mapInArrow(lambda it: _search(k, m2, dim, it), schema)
+    met = near
+    if inner is not None:
+        meetings = _meetings(blocks(asked.join(beat, "query_id", "left"), F.col("least"), F.col("node")), inner, scratch, m2, dim)
+        met = near.unionByName(trees.join(meetings, "node").mapInArrow(lambda it: _search(k, m2, dim, it), schema))
     if beside is not None:
         met = met.unionByName(beside)
     return met.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
