@@ -39,6 +39,18 @@ def test_a_group_with_a_third_of_all_rows_is_cut(spark):
     check_laws(rows, texts, 7, 3 * max(r.size for r in rows))
 
 
+def test_equal_texts_stay_together_whatever_their_other_metadata(spark):
+    texts = {i: f"text {i % 700} " * (1 + i % 7) for i in range(4200)}  # 700 texts, six copies each, lang by the row
+    df = spark.createDataFrame([(i, t, i // 700) for i, t in texts.items()], "doc_id long, text string, lang int")
+    rows = kd_shards(df, {"lang": F.when(F.col("lang") > 1, F.col("lang")), "length": F.length("text")}, leaves=8).collect()
+    mean = sum(r.size for r in rows) / 8
+    check_laws(rows, texts, 8, 0.05 * mean)
+    where = defaultdict(set)
+    for r in rows:
+        where[texts[r.doc_id]].add(r.shard)
+    assert {len(s) for s in where.values()} == {1}
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, None, None), (2, "", 1.0), (2, "", 1.0), (None, "a", float("nan")), (5, "ü", 2.0)], "doc_id long, text string, size double")
     rows = kd_shards(df, {"size": F.col("size"), "none": F.lit(None)}, leaves=3).collect()

@@ -20,6 +20,8 @@ KEY_BITS = PLACE_BITS + HASH_BITS
 BIN_BITS = 10
 #: A bin with no more than this share of its node's bytes is not refined: the cut goes to its nearer edge.
 TOLERANCE = 0.0005
+#: A group of equal texts of no more than this share of a shard is never cut.
+TOGETHER = 0.05
 #: Rows numbered in one piece when slots are given out.
 CHUNK_ROWS = 100_000
 
@@ -30,8 +32,8 @@ def kd_shards(docs: DataFrame, dimensions: dict[str, Column], leaves: int | None
 
     Give the number of leaves, or `target_bytes`: then there are as many as hold about so many bytes each. Size is the
     UTF-8 bytes of the text (null: none) plus one. `dimensions` are numbers by name; null counts as the least value. Equal
-    texts with equal dimensions stay in one shard unless the cut would then be off by more than the tolerance; such a
-    heavy group is cut by a hash of the id. Rows that repeat are separate rows. An empty table gives no shards.
+    texts all take the least dimensions among them, so they stand together, and stay in one shard where they hold no more than
+    `TOGETHER` of it; a heavier group that a cut meets is cut by a hash of the id. Rows that repeat are separate rows. An empty table gives no shards.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "kd-shards")
     names, text = list(dimensions), F.coalesce(F.col(text_col), F.lit(""))
@@ -46,6 +48,11 @@ def kd_shards(docs: DataFrame, dimensions: dict[str, Column], leaves: int | None
     whole = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *(f(x).alias(f"{k}{i}") for i, x in enumerate(finite) for k, f in (("lo", F.min), ("hi", F.max)))).first()
     if not whole.n:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+    if names:
+        text_key, d = ["text_crc32", "text_hash"], [f"d{i}" for i in range(len(names))]
+        apart = rows.groupBy(*text_key).agg(F.min(F.struct(*d)).alias("least"), F.max(F.struct(*d)).alias("most"))
+        apart = scratch.table(apart.filter("least <> most").select(*text_key, "least"))
+        rows = rows.join(apart, text_key, "left").withColumns({c: F.coalesce(F.col("least")[c], F.col(c)) for c in d}).drop("least")
     for i in range(len(names)):
         lo, hi = whole[f"lo{i}"] or 0.0, whole[f"hi{i}"] or 0.0
         place = F.least(F.greatest((F.col(f"d{i}") - lo) / ((hi - lo) or 1.0), F.lit(0.0)), F.lit(1.0)) * ((1 << PLACE_BITS) - 1)
@@ -56,7 +63,7 @@ def kd_shards(docs: DataFrame, dimensions: dict[str, Column], leaves: int | None
     # a node is named by its first leaf; open nodes have more than one
     open_ = {0: leaves}
     while open_ := {n: k for n, k in open_.items() if k > 1}:
-        rows = _split(spark, scratch, rows, open_, len(names))
+        rows = _split(spark, scratch, rows, open_, len(names), TOGETHER * whole.bytes / leaves)
         open_ = {m: j for n, k in open_.items() for m, j in ((n, k // 2), (n + k // 2, k - k // 2))}
 
     chunk = F.pmod(F.col("id_hash"), F.lit(1 + whole.n // CHUNK_ROWS))
@@ -69,8 +76,9 @@ def kd_shards(docs: DataFrame, dimensions: dict[str, Column], leaves: int | None
     )
 
 
-def _split(spark, scratch: Scratch, rows: DataFrame, open_: dict[int, int], n_dims: int) -> DataFrame:
-    """Splits the open nodes (node -> leaves below it): the right part's rows get the name of its first leaf."""
+def _split(spark, scratch: Scratch, rows: DataFrame, open_: dict[int, int], n_dims: int, light: float) -> DataFrame:
+    """Splits the open nodes (node -> leaves below it): the right part's rows get the name of its first leaf. Groups of
+    equal texts of at most `light` bytes stay whole."""
 
     def beside(state: list[tuple], schema: str) -> DataFrame:
         """Rows beside what is known of their node: one row per open node, so at most one per leaf."""
@@ -106,7 +114,7 @@ def _split(spark, scratch: Scratch, rows: DataFrame, open_: dict[int, int], n_di
             n, before = r.node, r.upto - r.bytes
             shift = bits[n] - min(BIN_BITS, bits[n])
             first = low[n] + (r.bin << shift)
-            if r.bytes <= TOLERANCE * bytes_[n] or (shift == 0 and n in fixed):
+            if r.bytes <= TOLERANCE * bytes_[n] or (shift == 0 and (n in fixed or r.bytes <= light)):
                 here = first if r.goal - before <= r.upto - r.goal else first + (1 << shift)
                 cut[n] = (fixed[n], here) if n in fixed else (here, 0)
             elif shift == 0:
