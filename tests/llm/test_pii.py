@@ -8,8 +8,9 @@ import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.pii import EXAMPLES, KINDS, STEPS, WINDOW, _examples, base_spans, find_personal_data, luhn, model_spans, train
-from tidemark.llm.tagger import CLASSES, Tagger
+from tidemark.llm import pii
+from tidemark.llm.pii import EXAMPLES, KINDS, STEPS, STRIDE, SURE, WINDOW, _examples, _starts, _valid, base_spans, find_personal_data, luhn, model_spans, train
+from tidemark.llm.tagger import CLASSES, PAD, Tagger, classes_of
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -117,6 +118,55 @@ def test_spans_are_added_over_windows_and_at_edges(tagger):
     assert model_spans([words * 50, "", "7"], tagger) == [[], [], []]
 
 
+def plain_model_spans(text, tagger):
+    """Each window asked alone, one path over the whole text, in double precision."""
+    codes, e, weight = classes_of(text), np.zeros((len(text) + WINDOW + 1, 9)), np.zeros((len(text) + WINDOW + 1, 1))
+    slope = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW))[:, None]
+    for at in range(0, max(len(text) - WINDOW, 0) + STRIDE, STRIDE):
+        if at == 0 or at < len(text) - WINDOW + STRIDE:
+            x = np.full((1, WINDOW), PAD)
+            x[0, : len(codes[at : at + WINDOW])] = codes[at : at + WINDOW]
+            e[at : at + WINDOW] += (tagger._run(x)[2] @ tagger.p["P"] + tagger.p["c"])[0] * slope
+            weight[at : at + WINDOW] += slope
+    e = (e / np.maximum(weight, 1))[: len(text) + 1]
+    e[len(text)] = [50.0] + [0.0] * 8
+    path, chance, out = tagger.best_path(e[None])[0], tagger.marginals(e[None])[0], []
+    for s in _starts(path):
+        kind, t = (int(path[s]) - 1) // 2, s + 1
+        while path[t] == 2 + 2 * kind:
+            t += 1
+        piece = text[s:t]
+        a, b = s + len(piece) - len(piece.lstrip()), t - len(piece) + len(piece.rstrip())
+        if a < b and _valid(kind, text[a:b]) and chance[np.arange(s, t), path[s:t]].mean() >= SURE:
+            out.append((a, kind, b))
+    return out
+
+
+def test_windows_without_digits_are_asked(spark, tagger):
+    text = "if you wish to know more write to anna.bell(at)example.org and we will answer as soon as we can " * 3
+    assert not re.search("[0-9@]", text)
+    assert [k for _, k, _ in model_spans([text], tagger)[0]] == [0, 0, 0]
+    got = find_personal_data(spark.createDataFrame([(1, text)], "doc_id int, text string"), tagger).first()
+    assert got.n_email == 0 and got.spans.count("email:") == 3
+
+
+def test_whole_texts_as_by_plain_decoding(docs, tagger, monkeypatch):
+    r = np.random.default_rng(5)
+    mess = ["".join(r.choice(list("0123456789 .-@()atx/\n"), size=300)) for _ in range(25)]
+    texts = [t.text for t in docs.filter("doc_id < 30").collect() if t.text] + mess
+    texts += ["", "a", "(212) 555-0187", "anna.bell(at)example.org", "".join(texts), "0123 " * 400]
+    want = [plain_model_spans(t, tagger) if t else [] for t in texts]
+    assert sum(map(len, want)) > 10
+    assert model_spans(texts, tagger) == want
+    monkeypatch.setattr(pii, "PIECE", 1_000)
+    assert model_spans(texts, tagger) == want
+
+
+def test_emissions_are_those_of_training(tagger):
+    x = np.random.default_rng(1).integers(0, CLASSES, (5, 40))
+    assert np.allclose(tagger.emissions(x), tagger._run(x)[2] @ tagger.p["P"] + tagger.p["c"], atol=1e-4)
+
+
 def test_base_spans_stay(spark, docs, tagger):
     got = find_personal_data(docs, tagger).collect()
     texts = [(r.doc_id, r.text) for r in docs.collect()]

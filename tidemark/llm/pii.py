@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import find_package
-from tidemark.llm.tagger import AT, DIGIT, PAD, Tagger, classes_of
+from tidemark.llm.tagger import PAD, Tagger, classes_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose texts are learned from: the first by a hash of the id, half of them among those with a digit or an @.
@@ -25,8 +25,12 @@ WINDOW, STRIDE = 128, 64
 EXAMPLES, STEPS = 3_000, 200
 #: A span is added where its labels have this probability on average.
 SURE = 0.9
-#: Windows or runs that are handled at once.
-BATCH = 256
+#: Windows that are handled at once.
+BATCH = 512
+#: Characters of texts that are handled together, or of one longer text.
+PIECE = 1 << 18
+#: Places on either side of a span that its probability is judged with.
+CONTEXT = 64
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -159,18 +163,46 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return tagger
 
 
-_SIGNAL = (DIGIT, AT)
+def _emissions(pieces: list[np.ndarray], tagger: Tagger) -> tuple[np.ndarray, np.ndarray]:
+    """The emissions at each place of some pieces, one after the other, and where each piece begins.
 
-
-def _runs(codes: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of overlapping windows (first, last) that hold a digit or an @."""
-    last = max(0, -(-(len(codes) - WINDOW) // STRIDE))
-    at = np.flatnonzero(np.isin(codes, _SIGNAL)) // STRIDE
-    k = np.unique(np.concatenate((np.minimum(at, last), np.clip(at - 1, 0, last))))
-    if not len(k):
-        return []
-    cut = np.flatnonzero(np.diff(k) > 1) + 1
-    return [(int(g[0]), int(g[-1])) for g in np.split(k, cut)]
+    Windows of WINDOW characters begin every STRIDE and each is asked. The emissions of the windows over a character
+    are averaged, weighted by its distance from each window's edge.
+    """
+    count = [max(2, -(-len(c) // STRIDE)) for c in pieces]  # blocks: a window is two
+    first = np.cumsum([0, *count])
+    codes = np.full(first[-1] * STRIDE, PAD, np.int64)
+    for at, c in zip(first.tolist(), pieces):
+        codes[at * STRIDE : at * STRIDE + len(c)] = c
+    codes = codes.reshape(-1, STRIDE)
+    slope = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)[:, None]
+    total = np.zeros((len(codes), STRIDE, 1 + 2 * len(KINDS)), np.float32)
+    weight = np.zeros((len(codes), STRIDE, 1), np.float32)
+    windows = np.setdiff1d(np.arange(first[-1]), first[1:] - 1)
+    for w in range(0, len(windows), BATCH):
+        k = windows[w : w + BATCH]
+        e = tagger.emissions(np.concatenate((codes[k], codes[k + 1]), 1))
+        for half in (0, 1):
+            side = slice(half * STRIDE, (half + 1) * STRIDE)
+            total[k + half] += e[:, side] * slope[side]
+            weight[k + half] += slope[side]
+    total /= weight
+    return total.reshape(-1, total.shape[2]), first * STRIDE
+
+
+def _padded(parts: list[np.ndarray], end: int) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Numbers and emissions of parts of about the same length, BATCH of `end` places at once; beyond each: no span."""
+    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+    while order:
+        n = 1
+        while n < len(order) and (n + 1) * len(parts[order[n]]) <= BATCH * end:
+            n += 1
+        some, order = order[:n], order[n:]
+        e = np.zeros((n, len(parts[some[-1]]) + 1, 1 + 2 * len(KINDS)), np.float32)
+        e[:, :, 0] = 50.0
+        for j, i in enumerate(some):
+            e[j, : len(parts[i])] = parts[i]
+        yield some, e
 
 
 def _valid(kind: int, piece: str) -> bool:
@@ -186,58 +218,104 @@ def _valid(kind: int, piece: str) -> bool:
     return 7 <= len(digits) <= 15
 
 
-def model_spans(texts: list[str], tagger: Tagger, sure: float = SURE) -> list[list[Span]]:
-    """What the tagger finds in whole texts.
+def _starts(labels: np.ndarray) -> list[int]:
+    before = np.concatenate(([0], labels[:-1]))
+    return np.flatnonzero((labels > 0) & ((labels % 2 == 1) | (before + 1 < labels) | (before > labels))).tolist()
 
-    Windows of WINDOW characters begin every STRIDE; those without a digit or an @ can hold no span and are not asked.
-    The emissions of the windows over a character are averaged, weighted by its distance from each window's edge, and
-    one path is decoded over each run of windows, so a span may be longer than a window and is never cut at an edge.
+
+def _decode(e: np.ndarray, texts: list[tuple[int, int, str]], tagger: Tagger, sure: float) -> list[list[Span]]:
+    """The spans in texts, given emissions. Of a text: the place of its emissions, the characters, and these.
+
+    Where the label of no span leads by the first of the tagger's limits, the likeliest path holds it, so paths between
+    two such places are decoded alone; those where it leads by the second all along hold no span. Their labels are
+    those of the path over the whole text. Probabilities are taken with CONTEXT places on either side.
     """
-    codes = [classes_of(t) for t in texts]
-    runs = [(d, a, b) for d, c in enumerate(codes) for a, b in _runs(c)]
+    holds, stays = tagger.limits()
     spans: list[list[Span]] = [[] for _ in texts]
-    slope = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)[:, None]
-    runs.sort(key=lambda r: r[2] - r[1])
-    begin = 0
-    while begin < len(runs):
-        end = begin + 1
-        while end < len(runs) and (end + 1 - begin) * (runs[end][2] - runs[end][1] + 1) <= BATCH:
-            end += 1
-        part, begin = runs[begin:end], end
-        steps = STRIDE * (part[-1][2] - part[-1][1]) + WINDOW
-        total = np.zeros((len(part), steps, 1 + 2 * len(KINDS)), np.float32)
-        weight = np.zeros((len(part), steps, 1), np.float32)
-        windows = [(i, k, k - a) for i, (_, a, b) in enumerate(part) for k in range(a, b + 1)]
-        for w in range(0, len(windows), BATCH):
-            group = windows[w : w + BATCH]
-            x = np.full((len(group), WINDOW), PAD, np.int64)
-            for j, (i, k, _) in enumerate(group):
-                piece = codes[part[i][0]][k * STRIDE : k * STRIDE + WINDOW]
-                x[j, : len(piece)] = piece
-            e = tagger.emissions(x) * slope
-            for j, (i, _, k) in enumerate(group):
-                total[i, k * STRIDE : k * STRIDE + WINDOW] += e[j]
-                weight[i, k * STRIDE : k * STRIDE + WINDOW] += slope
-        total /= np.maximum(weight, 1)
-        total[weight[..., 0] == 0, 0] = 50.0  # beyond a run's end: no span
-        path, chance = tagger.best_path(total), tagger.marginals(total)
-        for i, (d, a, _) in enumerate(part):
-            labels, off = path[i], a * STRIDE
-            starts = np.flatnonzero((labels > 0) & ((labels % 2 == 1) | (np.concatenate(([0], labels[:-1])) + 1 < labels) | (np.concatenate(([0], labels[:-1])) > labels)))
-            for s in starts.tolist():
+    lead = e[:, 0] - e[:, 1:].max(1)
+    stretches = []
+    for d, (at, n, _) in enumerate(texts):
+        of = lead[at : at + n]
+        open_ = np.concatenate(([False], of <= holds, [False]))
+        a, b = np.flatnonzero(open_[1:] & ~open_[:-1]), np.flatnonzero(open_[:-1] & ~open_[1:])
+        weak = np.concatenate(([0], np.cumsum(of <= stays)))
+        stretches += [(d, x, y) for x, y in zip(a[weak[b] > weak[a]].tolist(), b[weak[b] > weak[a]].tolist())]
+    found = []
+    for some, part in _padded([e[texts[d][0] + max(x - 1, 0) : texts[d][0] + min(y + 1, texts[d][1])] for d, x, y in stretches], WINDOW):
+        for i, labels in zip(some, tagger.best_path(part)):
+            d, x, _ = stretches[i]
+            off, text = max(x - 1, 0), texts[d][2]
+            for s in _starts(labels):
                 kind = (int(labels[s]) - 1) // 2
                 t = s + 1
-                while t < steps and labels[t] == 2 + 2 * kind:
+                while t < len(labels) and labels[t] == 2 + 2 * kind:
                     t += 1
-                text = texts[d]
-                first, last = off + s, min(off + t, len(text))
+                first, last = off + s, off + t
                 piece = text[first:last]
-                last -= len(piece) - len(piece.rstrip())
-                first += len(piece) - len(piece.lstrip())
-                sure_of = float(chance[i, np.arange(s, t), labels[s:t]].mean())
-                if first < last and sure_of >= sure and _valid(kind, text[first:last]):
-                    spans[d].append((first, kind, last))
-    return [sorted(s) for s in spans]
+                kept = first + len(piece) - len(piece.lstrip()), kind, last - len(piece) + len(piece.rstrip())
+                if kept[0] < kept[2] and _valid(kind, text[kept[0] : kept[2]]):
+                    found.append((d, first, labels[s:t], kept))
+    near = [(texts[d][0], max(first - CONTEXT, 0), min(first + len(labels) + CONTEXT, texts[d][1])) for d, first, labels, _ in found]
+    for some, part in _padded([e[at + x : at + y] for at, x, y in near], WINDOW):
+        for i, chance in zip(some, tagger.marginals(part)):
+            d, first, labels, kept = found[i]
+            at = np.arange(len(labels)) + first - near[i][1]
+            if float(chance[at, labels].mean()) >= sure:
+                spans[d].append(kept)
+    return spans
+
+
+def model_spans(texts: list[str], tagger: Tagger, sure: float = SURE) -> list[list[Span]]:
+    """What the tagger finds in whole texts. Every window of every text is asked.
+
+    One path is decoded over each text, so a span may be longer than a window and is never cut at an edge. Texts of
+    PIECE characters are handled together, and a longer one in pieces: each begins, with room for the windows over it,
+    where the one before holds the label of no span for certain. Where no place does, the piece grows.
+    """
+    spans: list[list[Span]] = [[] for _ in texts]
+    holds, _ = tagger.limits()
+    group: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        e, first = _emissions([classes_of(texts[d]) for d in group], tagger)
+        for d, found in zip(group, _decode(e, [(int(at), len(texts[d]), texts[d]) for d, at in zip(group, first)], tagger, sure)):
+            spans[d] = sorted(found)
+
+    for d, text in enumerate(texts):
+        if not text:
+            continue
+        if len(text) > PIECE:
+            spans[d] = sorted(_long_spans(text, tagger, sure, holds))
+            continue
+        if group and size + len(text) > PIECE:
+            flush()
+            group, size = [], 0
+        group.append(d)
+        size += len(text)
+    if group:
+        flush()
+    return spans
+
+
+def _long_spans(text: str, tagger: Tagger, sure: float, holds: float) -> Iterator[Span]:
+    done, size = 0, PIECE  # the places before `done` are decided
+    while done < len(text):
+        begin = max(0, done - CONTEXT - WINDOW) // STRIDE * STRIDE
+        end = min(len(text), begin + size)
+        e, _ = _emissions([classes_of(text[begin:end])], tagger)
+        stop = len(text)
+        if end < len(text):  # the last places lack a window or the context of a probability
+            certain = np.flatnonzero(e[: end - begin - WINDOW - CONTEXT, 0] - e[: end - begin - WINDOW - CONTEXT, 1:].max(1) > holds)
+            stop = begin + int(certain[-1]) if len(certain) else done
+            if stop <= done:
+                size *= 2
+                continue
+        low = begin + STRIDE if begin else 0  # the first block lacks a window
+        for s, kind, t in _decode(e[low - begin :], [(0, end - low, text[low:end])], tagger, sure)[0]:
+            if done <= low + s < stop:
+                yield low + s, kind, low + t
+        done, size = stop, PIECE
 
 
 def _listed(spans: list[Span]) -> str:
@@ -249,9 +327,9 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, id_col: str = "do
 
     The counts and base_sha256 are those of the rules' spans, which always stay; `spans` lists these and the ones that
     the tagger adds where they touch no other (`kind:start:end` in code points, by start and kind). Null and empty
-    texts have none. Without a tagger there is nothing but the rules. Texts are handled whole; one without a digit or
-    an @ can hold nothing and never leaves the JVM. Repeated rows are judged again, an empty table gives no rows, other
-    columns are left out.
+    texts have none. Without a tagger there is nothing but the rules. Texts are handled whole, those without a digit or
+    an @ as well: `anna(at)example.org` has neither. Repeated rows are judged again, an empty table gives no rows,
+    other columns are left out.
     """
     find_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -269,5 +347,4 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, id_col: str = "do
             columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sha, pa.string()), pa.array([_listed(s) for s in spans], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
-    text = F.when(F.col(text_col).rlike("[0-9@]"), F.col(text_col))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(find, out).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(find, out).withColumnRenamed("id", id_col)
