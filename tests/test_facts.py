@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import ts
 from tidemark.plans import facts as plan
 from tidemark.sources.history import append_history
+from tidemark.sources.store import bucket_of
 from tidemark.spec import FactSpec, Field
 from tidemark.streaming import stream_transform
 
@@ -111,6 +112,38 @@ def test_bucket_count():
     assert plan.bucket_count(80 * mb, 4, 10 * mb) == 4 and plan.bucket_count(81 * mb, 4, 10 * mb) == 9
 
 
+def test_tasks_stay_bounded_when_buckets_do_not(spark, wh, monkeypatch):
+    assert plan.bucket_count(5000 << 20, 0, 1 << 20) == 5120 and plan.bucket_tasks(5120) == plan.BUCKET_TASKS
+    assert [plan.bucket_tasks(n) for n in (1, 7, 1024, 5000)] == [1, 7, 1024, 5000]
+    monkeypatch.setattr(plan, "BUCKET_TASKS", 2)
+    spec = FactSpec("rep.many", "stg.t", *[getattr(SPEC, a) for a in ("key", "modified", "fields")])
+    add(wh, [(f"k{i}", "2024-01-02", str(i), L1) for i in range(50)])
+    plan.transform(wh, spec, bucket_bytes=500)
+    first = len(wh.fact_state(spec.target_table).bucket_versions)
+    add(wh, [(f"k{i}", "2024-01-03", str(i + 1), L2) for i in range(40, 300)])
+    plan.transform(wh, spec, bucket_bytes=500)
+    n = len(wh.fact_state(spec.target_table).bucket_versions)
+    assert first > 2 and n > 2 * first and n % 2 == 0
+    files = spark.read.option("basePath", wh.path(spec.target_table)).parquet(f"{wh.path(spec.target_table)}/v=2")
+    assert files.select("pk", "bucket").filter(bucket_of(F.col("pk"), n) != F.col("bucket")).count() == 0
+    assert files.select(F.input_file_name()).distinct().count() == files.select("bucket").distinct().count()
+    assert {r.pk: r.amount for r in wh.read_fact(spec).collect()} == {f"k{i}": i + (i >= 40) for i in range(300)}
+
+
+def test_rows_are_typed_before_they_are_exchanged(wh):
+    add(wh, [("a", "2024-01-02", "1", L1), ("a", "2024-01-03", "2", L1), ("b", "x", "y", L1)])
+    found = plan.rebuild(wh.read("stg.t"), SPEC, tiebreak=True)
+    above, exchange = found._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)
+    assert "RLIKE" not in above.upper() and exchange.upper().count("RLIKE") > 0
+    assert {r.pk: r.amount for r in found.collect()} == {"a": 2, "b": None}
+
+
+def test_keys_are_told_apart_by_their_text(wh):
+    spec = FactSpec("rep.n", "stg.t", "pk", "modified", (Field("pk", "key", "numeric"), Field("modified", "mod"), Field("amount", "amt", "numeric")))
+    add(wh, [("1", "2024-01-02", "1", L1), ("1.0", "2024-01-02", "2", L1), ("1", "2024-1-3", "3", L1), ("1", "later", "4", L1)])
+    assert sorted((int(r.pk), int(r.amount), r.modified) for r in plan.rebuild(wh.read("stg.t"), spec).collect()) == [(1, 2, "2024-01-02"), (1, 3, "2024-1-3")]
+
+
 def test_buckets_follow_the_fact(spark, wh):
     spec = FactSpec("rep.grown", "stg.t", *[getattr(SPEC, a) for a in ("key", "modified", "fields")])
     add(wh, [("first", "2024-01-02", "1", L1)])

@@ -9,17 +9,18 @@ from tidemark.spec import LOADED_AT
 
 
 def latest_version(df: DataFrame, key, modified: str | Column, loaded_at: str | Column = LOADED_AT,
-                   tiebreak=()) -> DataFrame:
+                   tiebreak=(), order=()) -> DataFrame:
     """One row per key: newest modification, unknown modifications last, then newest load.
 
     The row_number = 1 form lets Spark keep only the best row of each key in every map task, so a
     key that holds a third of all rows reaches its reducer as one row per map task. ``tiebreak``
-    names columns whose row hash decides between rows of the same key, modification and load.
+    names columns whose row hash decides between rows of the same key, modification and load;
+    ``order`` holds what else decides before it.
     """
     keys = [key] if isinstance(key, (str, Column)) else list(key)
     mod = F.col(modified) if isinstance(modified, str) else modified
     loaded = F.col(loaded_at) if isinstance(loaded_at, str) else loaded_at
-    order = [mod.desc_nulls_last(), loaded.desc_nulls_last()]
+    order = [mod.desc_nulls_last(), loaded.desc_nulls_last(), *order]
     if tiebreak:
         order.append(row_hash(*tiebreak).desc())
     w = W.partitionBy(*keys).orderBy(*order)

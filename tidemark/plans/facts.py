@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.casts import clock_text, set_flag, try_date, try_numeric, try_ts
-from tidemark.functions.text import clean_name
+from tidemark.functions.text import clean_name, row_hash
 from tidemark.operators.versions import latest_version, upsert_latest
 from tidemark.operators.quality import CASTS, parse_errors, refusal
 from tidemark.operators.windows import batch_ceiling, batch_counts, batch_window, not_null_key
@@ -28,14 +28,23 @@ _KIND = {
 
 # Text of a bucket, about. A fact that has outgrown its buckets twice over is dealt to more of them.
 BUCKET_BYTES = 256 << 20
+# The driver hears of each task. So many write a fact of more buckets, whose number is then a multiple.
+BUCKET_TASKS = 1024
 
 
 def bucket_count(n_bytes: int, current: int = 0, bucket_bytes: int = BUCKET_BYTES) -> int:
     """The number of buckets for so much text: the current one until twice as many are needed."""
     wanted = max(1, -(-n_bytes // bucket_bytes))
+    if wanted > BUCKET_TASKS:
+        wanted = -(-wanted // BUCKET_TASKS) * BUCKET_TASKS
     return current if current and wanted <= 2 * current else wanted
 
 
+def bucket_tasks(n_buckets: int) -> int:
+    """The tasks for so many buckets, each bucket whole in one: a task for each, or BUCKET_TASKS with as many each."""
+    return BUCKET_TASKS if n_buckets % BUCKET_TASKS == 0 else n_buckets
+
+
 # The columns of the two histories and what they are called in the facts.
 
 
@@ -130,12 +139,20 @@ def checked_fact(rows: DataFrame, spec: FactSpec) -> DataFrame:
     return typed.select(*[ident(f.target) for f in spec.fields], LOADED_AT, F.array_compact(F.array(*found)).alias("refused"))
 
 
-def _latest_rows(history: DataFrame, spec: FactSpec, tiebreak: bool) -> DataFrame:
-    source = history.select(*[ident(c) for c in spec.source_columns], LOADED_AT)
-    return latest_version(
-        not_null_key(source, spec.source_key), ident(spec.source_key), try_ts(ident(spec.source_modified)),
-        tiebreak=[ident(c) for c in spec.source_columns] if tiebreak else (),
-    )
+def _latest_fact(history: DataFrame, spec: FactSpec, tiebreak: bool) -> DataFrame:
+    """The typed rows of the latest versions. Rows are typed before they are sorted and exchanged, as typed values are
+    narrower than their texts and the modification is then parsed once. Keys are told apart by their text."""
+    rows = not_null_key(history.select(*[ident(c) for c in spec.source_columns], LOADED_AT), spec.source_key)
+    key, modified, extra = ident(spec.key), ident(spec.modified), []
+    if spec.field_of(spec.key).kind != "text":
+        key, extra = F.col("_key"), [ident(spec.source_key).alias("_key")]
+    if spec.field_of(spec.modified).kind != "timestamp":
+        modified, extra = F.col("_modified"), [*extra, try_ts(ident(spec.source_modified)).alias("_modified")]
+    if tiebreak:
+        extra.append(row_hash(*[ident(c) for c in spec.source_columns]).alias("_hash"))
+    typed = rows.select(*[_KIND[f.kind](ident(f.source)).alias(f.target) for f in spec.fields], LOADED_AT, *extra)
+    latest = latest_version(typed, key, modified, order=[F.col("_hash").desc()] if tiebreak else ())
+    return latest.select(*[ident(f.target) for f in spec.fields], LOADED_AT)
 
 
 def rebuild(history: DataFrame, spec: FactSpec, tiebreak: bool = False) -> DataFrame:
@@ -144,7 +161,7 @@ def rebuild(history: DataFrame, spec: FactSpec, tiebreak: bool = False) -> DataF
     ``tiebreak`` makes the choice between rows of the same key, modification and load definite, for
     histories in which one batch may hold a key twice.
     """
-    return project_fact(_latest_rows(history, spec, tiebreak), spec)
+    return _latest_fact(history, spec, tiebreak)
 
 
 rebuild_incident = rebuild
@@ -228,7 +245,9 @@ def _merge_version(wh: Warehouse, spec: FactSpec, state, batch: DataFrame, now:
     batch = batch.withColumn("transformed_at", ntz(now))
     path = f"{wh.path(spec.target_table)}_batch/v={version}"
     size = Observation()
-    batch.observe(size, F.sum(_text_bytes(batch.columns)).alias("bytes")).write.mode("overwrite").parquet(path)
+    # A task's report holds the observed expressions, so what they add up is a column before.
+    sized = batch.withColumn("_bytes", _text_bytes(batch.columns)).observe(size, F.sum("_bytes").alias("bytes"))
+    sized.drop("_bytes").write.mode("overwrite").parquet(path)
     staged = wh.spark.read.schema(batch.schema).parquet(path)
     held = (state.n_bytes or 0) if versions else 0
     added = size.get["bytes"] or 0
@@ -236,17 +255,18 @@ def _merge_version(wh: Warehouse, spec: FactSpec, state, batch: DataFrame, now:
     existing, touched = None, range(n)
     if len(versions) == n:
         touched = [r.b for r in staged.select(bucket_of(F.col(spec.key), n).alias("b")).distinct().collect()]  # at most n
-        existing = wh.read_fact(spec, touched, state, batch.schema)
+        existing = wh.read_fact(spec, touched if len(touched) < n else None, state, batch.schema)
     elif versions:
         existing = wh.read_fact(spec, None, state, batch.schema)
+    tasks = bucket_tasks(n)
     if existing is not None:
-        existing = existing.repartition(n, spec.key)
-    merged = upsert_latest(existing, staged.repartition(n, spec.key), spec.key, spec.modified, loaded_at)
+        existing = existing.repartition(tasks, spec.key)
+    merged = upsert_latest(existing, staged.repartition(tasks, spec.key), spec.key, spec.modified, loaded_at)
     actions = Observation()
-    insert = F.col("action") == "insert"
+    merged = merged.withColumn("_bytes", F.when(F.col("action") == "insert", _text_bytes(batch.columns)))
     counted = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "stale", "keep")]
-    observed = merged.observe(actions, *counted, F.sum(F.when(insert, _text_bytes(batch.columns))).alias("bytes"))
-    wh.write_fact(observed.drop("action").withColumn("bucket", bucket_of(F.col(spec.key), n)), spec, version)
+    observed = merged.observe(actions, *counted, F.sum("_bytes").alias("bytes"))
+    wh.write_fact(observed.drop("action", "_bytes").withColumn("bucket", bucket_of(F.col(spec.key), n)), spec, version)
 
     done = actions.get
     inserted = done.pop("bytes") or 0
