@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm import alignment
 from tidemark.llm.alignment import _CUT, Pair, align, align_tokens
 
 PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -99,3 +100,16 @@ def test_edges(spark, pair, slice_bytes):
 def test_texts_without_tokens_alone(spark, pair):
     df = spark.createDataFrame([("x", None), ("y", ""), ("z", "▁")], "key string, body string")
     assert got(align_tokens(df, pair, "key", "body")) == [(k, 0, 0, 0, 0, 0, 0, "") for k in "xyz"]
+
+
+def test_short_fragments_are_encoded_together(pair, monkeypatch):
+    words = [f"w{i}" for i in range(700)]
+    words[100:600:50] = ["a▁b", "ﬁsh", "é", "x\ny", "don't", "two  spaces", "漢字", " lead", "a" * 100, "\t"]
+    alone = [align([w], pair) for w in words]
+    seen, encode = [], alignment._encode
+    monkeypatch.setattr(alignment, "_encode", lambda texts, p: seen.extend(texts) or encode(texts, p))
+    found = align(words, pair)
+    assert len(seen) < 350  # before, each was handed to both libraries alone
+    assert found.good.tolist() == [x.good[0] for x in alone] and not found.good[100]
+    assert found.sizes.tolist() == [x.sizes[0].tolist() for x in alone] and found.groups == [x.groups[0] for x in alone]
+    assert list(zip(found.links_a, found.links_b)) == [z for x in alone for z in zip(x.links_a, x.links_b)]

@@ -6,8 +6,10 @@ import hashlib
 import os
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -23,12 +25,17 @@ from tidemark.llm.words import slices
 SLICE_BYTES = 4 << 20
 #: Fragments that are handed to the libraries at once.
 BATCH = 5_000
+#: Fragments that are encoded as one text, and the characters of the longest of these.
+JOIN, JOIN_CHARS = 32, 64
 #: Identifiers of the second tokenizer take this many bits of a pair.
 _B_BITS = 32
 
 #: A single space between two of these: both tokenizers cut before the space.
 _CUT = re.compile(r"(?<=[!-~À-ÿ]) (?=[!-~À-ÿ])")
 
+#: What stands before a token within its side of a group, the first of a fragment's, of a side and of a group.
+_SIGNS = ("", ",", "|", ";")
+
 _loaded: dict[bytes, tuple] = {}
 
 
@@ -44,9 +51,20 @@ class Pair:
         with open(byte_level_path, encoding="utf-8") as a, open(pieces_path, "rb") as b:
             return Pair(a.read(), b.read())
 
+    @cached_property
+    def _key(self) -> bytes:
+        return hashlib.sha256(self.byte_level.encode() + self.pieces).digest()
+
     def load(self) -> tuple:
         """The tokenizers, the bytes of each of their tokens and whether texts may be cut; made once a process."""
-        key = hashlib.sha256(self.byte_level.encode() + self.pieces).digest()
+        return self._all()[:5]
+
+    def tables(self) -> tuple:
+        """Each id behind each of _SIGNS, and the lengths of the tokens' bytes."""
+        return self._all()[5:]
+
+    def _all(self) -> tuple:
+        key = self._key
         if key not in _loaded:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from sentencepiece import SentencePieceProcessor
@@ -64,7 +82,10 @@ class Pair:
             bytes_b = [bytes([int(s[3:5], 16)]) if b.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(names)]
             # a piece with a space after another character could reach over a cut
             cuts = not any("▁" in s.lstrip("▁") for s in names)
-            _loaded[key] = a, b, bytes_a, bytes_b, cuts
+            digits = [str(i) for i in range(max(len(bytes_a), len(bytes_b)))]
+            signed = np.array([[sign + d for d in digits] for sign in _SIGNS], object)
+            lengths = tuple(np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b))
+            _loaded[key] = a, b, bytes_a, bytes_b, cuts, signed, lengths
         return _loaded[key]
 
 
@@ -118,9 +139,12 @@ def align(fragments: list[str], pair: Pair) -> Aligned:
     character share its span, and of a character written as byte tokens only the last has one. There the tokens'
     decoded bytes tell where each ends. Every place where a token of either side ends closes a link; every place where
     both end, a group.
+
+    Short fragments between visible Latin-1 characters are encoded several at once, with the space that both tokenizers
+    cut before. Where one of them is not good each is encoded alone.
     """
-    tok_a, tok_b, bytes_a, bytes_b, _ = pair.load()
-    parts = [_align(fragments[i : i + BATCH], tok_a, tok_b, bytes_a, bytes_b) for i in range(0, len(fragments), BATCH)]
+    cuts = pair.load()[4]
+    parts = [_align(fragments[i : i + BATCH], pair, JOIN if cuts else 1) for i in range(0, len(fragments), BATCH)]
     if not parts:
         none = np.zeros(0, np.int64)
         return Aligned(none.astype(bool), none.reshape(0, 4), [], np.zeros(1, np.int64), none, none)
@@ -131,20 +155,60 @@ def align(fragments: list[str], pair: Pair) -> Aligned:
     )
 
 
-def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned:
-    fragments = [" " + f for f in fragments]
-    data = [f.encode() for f in fragments]
-    encoded = tok_a.encode_batch(fragments, add_special_tokens=False)
+def _visible(c: str) -> bool:
+    return "!" <= c <= "~" or "À" <= c <= "ÿ"
+
+
+def _runs(fragments: list[str], join: int) -> list[int]:
+    """How many fragments in turn are encoded as one text."""
+    runs, room = [], 0
+    for f in fragments:
+        fits = join > 1 and 0 < len(f) <= JOIN_CHARS and _visible(f[0]) and _visible(f[-1])
+        if fits and room:
+            runs[-1] += 1
+            room -= 1
+        else:
+            runs.append(1)
+            room = join - 1 if fits else 0
+    return runs
+
+
+def _encode(texts: list[str], pair: Pair) -> tuple[list, ...]:
+    """The bytes of texts that begin with a space, the ids and spans of both tokenizers, and whether joined bytes agree."""
+    tok_a, tok_b, bytes_a, bytes_b, _ = pair.load()
+    _, lengths = pair.tables()
+    data = [t.encode() for t in texts]
+    encoded = tok_a.encode_batch(texts, add_special_tokens=False)
     ids_a, spans_a = [e.ids for e in encoded], [e.offsets for e in encoded]
     # the spans of the immutable proto, under the name that the library gives them now
     encoded = tok_b.encode([d[1:] for d in data], return_type="offset_mapping", return_bytes=True, num_threads=1)
     ids_b, spans_b = [e["ids"] for e in encoded], [e["offsets"] for e in encoded]
-    lengths = [np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b)]
     good = _joined(ids_a, bytes_a, lengths[0], data) & _joined(ids_b, bytes_b, lengths[1], data)
+    return data, ids_a, spans_a, ids_b, spans_b, good.tolist()
+
+
+def _align(fragments: list[str], pair: Pair, join: int) -> Aligned:
+    signed, lengths = pair.tables()
+    runs = _runs(fragments, join)
+    to = np.cumsum(runs).tolist()
+    found = _encode([" " + " ".join(fragments[i - n : i]) for i, n in zip(to, runs)], pair)
+    apart = [k for k, (n, fine) in enumerate(zip(runs, found[-1])) if n > 1 and not fine]
+    if apart:
+        alone = _encode([" " + f for k in apart for f in fragments[to[k] - runs[k] : to[k]]], pair)
+        order, at = list(range(len(runs))), len(runs)
+        for k in apart:
+            order[k] = range(at, at + runs[k])
+            at += runs[k]
+        flat = [k for o in order for k in (o if isinstance(o, range) else (o,))]
+        runs = [(runs + [1] * (at - len(runs)))[k] for k in flat]
+        found = tuple([(x + y)[k] for k in flat] for x, y in zip(found, alone))
+    data, ids_a, spans_a, ids_b, spans_b, fine = found
+    good = np.repeat(fine, runs)
+    kept_runs = [k for k, x in enumerate(fine) if x]
+    if len(kept_runs) < len(fine):
+        ids_a, spans_a, ids_b, spans_b, data = ([x[i] for i in kept_runs] for x in (ids_a, spans_a, ids_b, spans_b, data))
     kept = np.flatnonzero(good).tolist()
-    if len(kept) < len(data):
-        ids_a, spans_a, ids_b, spans_b, data = ([x[i] for i in kept] for x in (ids_a, spans_a, ids_b, spans_b, data))
-    n_a, n_b, n_bytes = (np.fromiter(map(len, x), np.int64, len(kept)) for x in (ids_a, ids_b, data))
+    n_a, n_b, n_bytes = (np.fromiter(map(len, x), np.int64, len(kept_runs)) for x in (ids_a, ids_b, data))
     base = np.cumsum(n_bytes) - n_bytes
     a, b = _flat(ids_a, 1, n_a.sum())[:, 0], _flat(ids_b, 1, n_b.sum())[:, 0]
 
@@ -164,8 +228,12 @@ def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: li
     both = np.union1d(end_a, end_b)
     ia, ib = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
     cut = both[(end_a[ia] == both) & (end_b[ib] == both)]
-    ends = base + n_bytes
-    n_links, n_groups = (np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (both, cut))
+    ends = np.cumsum(np.fromiter((len(fragments[i].encode()) + 1 for i in kept), np.int64, len(kept)))
+    if len(np.setdiff1d(ends, cut, assume_unique=True)):  # a token reaches over a cut
+        if join == 1:
+            raise ValueError("tokens reach over the end of a text")
+        return _align(fragments, pair, 1)
+    n_a, n_b, n_links, n_groups = (np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (end_a, end_b, both, cut))
 
     group = np.concatenate((np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)))
     side = np.repeat((0, 1), (len(a), len(b)))
@@ -174,8 +242,7 @@ def _align(fragments: list[str], tok_a, tok_b, bytes_a: list[bytes], bytes_b: li
     starts = np.zeros(len(cut) + 1, bool)
     starts[np.cumsum(n_groups) - n_groups] = True  # the first groups of fragments
     sign = np.where(fresh, np.where(side[order] == 1, 2, np.where(starts[group[order]], 0, 3)), 1)
-    signs = ("", ",", "|", ";")
-    text = [signs[k] + str(i) for k, i in zip(sign.tolist(), np.concatenate((a, b))[order].tolist())]
+    text = signed[sign, np.concatenate((a, b))[order]].tolist()
     to = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
     groups, sizes = [""] * len(fragments), np.zeros((len(fragments), 4), np.int64)
     for i, x, y in zip(kept, to, to[1:]):
@@ -197,11 +264,12 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
 
 def _slice(ids: pa.Array, texts: pa.ChunkedArray, pair: Pair, schema: pa.Schema) -> pa.RecordBatch:
     cuts = pair.load()[4]
-    known: dict[str, int] = {}
+    known: defaultdict[str, int] = defaultdict()
+    known.default_factory = known.__len__  # an unknown fragment gets the next number
     rows = []
     for t in (x.as_py() for x in texts):
         found = (_CUT.split(t) if cuts else [t]) if t else []
-        rows.append(np.fromiter((known.setdefault(f, len(known)) for f in found), np.int32, len(found)))
+        rows.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
     fragments = list(known)
     known.clear()
     done = align(fragments, pair)
