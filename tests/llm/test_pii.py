@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from tidemark.llm import pii
 from tidemark.llm.pii import EXAMPLES, KINDS, STEPS, STRIDE, SURE, WINDOW, _examples, _starts, _valid, base_spans, find_personal_data, luhn, model_spans, train
-from tidemark.llm.tagger import CLASSES, PAD, Tagger, classes_of
+from tidemark.llm.tagger import CLASSES, PAD, TILE, Tagger, classes_of
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -167,6 +167,16 @@ def test_emissions_are_those_of_training(tagger):
     assert np.allclose(tagger.emissions(x), tagger._run(x)[2] @ tagger.p["P"] + tagger.p["c"], atol=1e-4)
 
 
+def test_scores_are_the_emissions_label_by_label(tagger):
+    x = np.random.default_rng(2).integers(0, CLASSES, (TILE + 3, 20))
+    want = tagger._run(x)[2] @ tagger.p["P"] + tagger.p["c"]
+    assert np.allclose(tagger.emissions(x), want, atol=1e-4)
+    scores = tagger.scores(x[TILE:])
+    assert scores.shape == (20, 9, 3) and scores.flags.c_contiguous
+    assert np.allclose(scores.transpose(2, 0, 1), want[TILE:], atol=1e-4)
+    assert np.array_equal(pii._lead(want[0]), want[0][:, 0] - want[0][:, 1:].max(1))
+
+
 def test_base_spans_stay(spark, docs, tagger):
     got = find_personal_data(docs, tagger).collect()
     texts = [(r.doc_id, r.text) for r in docs.collect()]

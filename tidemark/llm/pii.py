@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import find_package
-from tidemark.llm.tagger import PAD, Tagger, classes_of
+from tidemark.llm.tagger import PAD, TILE, Tagger, classes_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose texts are learned from: the first by a hash of the id, half of them among those with a digit or an @.
@@ -25,7 +25,7 @@ WINDOW, STRIDE = 128, 64
 EXAMPLES, STEPS = 3_000, 200
 #: A span is added where its labels have this probability on average.
 SURE = 0.9
-#: Windows that are handled at once.
+#: Windows' worth of places that are decoded at once.
 BATCH = 512
 #: Characters of texts that are handled together, or of one longer text.
 PIECE = 1 << 18
@@ -175,18 +175,18 @@ def _emissions(pieces: list[np.ndarray], tagger: Tagger) -> tuple[np.ndarray, np
     for at, c in zip(first.tolist(), pieces):
         codes[at * STRIDE : at * STRIDE + len(c)] = c
     codes = codes.reshape(-1, STRIDE)
-    slope = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)[:, None]
+    slope = (np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)) / np.float32(STRIDE + 1)).astype(np.float32)
     total = np.zeros((len(codes), STRIDE, 1 + 2 * len(KINDS)), np.float32)
-    weight = np.zeros((len(codes), STRIDE, 1), np.float32)
     windows = np.setdiff1d(np.arange(first[-1]), first[1:] - 1)
-    for w in range(0, len(windows), BATCH):
-        k = windows[w : w + BATCH]
-        e = tagger.emissions(np.concatenate((codes[k], codes[k + 1]), 1))
+    for w in range(0, len(windows), TILE):
+        k = windows[w : w + TILE]
+        e = tagger.scores(np.concatenate((codes[k], codes[k + 1]), 1))
+        e *= slope[:, None, None]
         for half in (0, 1):
-            side = slice(half * STRIDE, (half + 1) * STRIDE)
-            total[k + half] += e[:, side] * slope[side]
-            weight[k + half] += slope[side]
-    total /= weight
+            total[k + half] += np.ascontiguousarray(e[half * STRIDE : (half + 1) * STRIDE].transpose(2, 0, 1))
+    # the two windows over a place have STRIDE + 1 together; in a piece's first and last block there is but one
+    total[first[:-1]] /= slope[:STRIDE, None]
+    total[first[1:] - 1] /= slope[STRIDE:, None]
     return total.reshape(-1, total.shape[2]), first * STRIDE
 
 
@@ -223,6 +223,14 @@ def _starts(labels: np.ndarray) -> list[int]:
     return np.flatnonzero((labels > 0) & ((labels % 2 == 1) | (before + 1 < labels) | (before > labels))).tolist()
 
 
+def _lead(e: np.ndarray) -> np.ndarray:
+    """How far the label of no span leads at each place; label by label, as few labels make a slow reduction."""
+    top = e[:, 1].copy()
+    for label in range(2, e.shape[1]):
+        np.maximum(top, e[:, label], out=top)
+    return e[:, 0] - top
+
+
 def _decode(e: np.ndarray, texts: list[tuple[int, int, str]], tagger: Tagger, sure: float) -> list[list[Span]]:
     """The spans in texts, given emissions. Of a text: the place of its emissions, the characters, and these.
 
@@ -232,7 +240,7 @@ def _decode(e: np.ndarray, texts: list[tuple[int, int, str]], tagger: Tagger, su
     """
     holds, stays = tagger.limits()
     spans: list[list[Span]] = [[] for _ in texts]
-    lead = e[:, 0] - e[:, 1:].max(1)
+    lead = _lead(e)
     stretches = []
     for d, (at, n, _) in enumerate(texts):
         of = lead[at : at + n]
@@ -306,7 +314,7 @@ def _long_spans(text: str, tagger: Tagger, sure: float, holds: float) -> Iterato
         e, _ = _emissions([classes_of(text[begin:end])], tagger)
         stop = len(text)
         if end < len(text):  # the last places lack a window or the context of a probability
-            certain = np.flatnonzero(e[: end - begin - WINDOW - CONTEXT, 0] - e[: end - begin - WINDOW - CONTEXT, 1:].max(1) > holds)
+            certain = np.flatnonzero(_lead(e[: end - begin - WINDOW - CONTEXT]) > holds)
             stop = begin + int(certain[-1]) if len(certain) else done
             if stop <= done:
                 size *= 2

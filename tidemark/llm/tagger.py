@@ -10,6 +10,8 @@ import numpy as np
 PAD, SPACE, DIGIT, CAPITAL, BEYOND = range(5)
 _OWN = [c for c in map(chr, range(33, 127)) if not c.isdigit() and not c.isupper()]
 CLASSES, AT = 5 + len(_OWN), 5 + _OWN.index("@")
+#: Windows whose emissions are computed together.
+TILE = 512
 
 
 def _class_table() -> np.ndarray:
@@ -82,39 +84,49 @@ class Tagger:
         return both, kept, np.concatenate((forth, back), 2)
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
-        """The labels' scores (window, place, label) over windows `x`: those of `_run`'s states, which are not kept.
+        """The labels' scores (window, place, label) over windows `x`: those of `_run`'s states, which are not kept."""
+        parts = [self.scores(x[i : i + TILE]).transpose(2, 0, 1) for i in range(0, len(x), TILE)]
+        return np.concatenate(parts) if parts else np.zeros((0, x.shape[1], len(self.p["c"])), self.p["c"].dtype)
 
-        Places of all windows lie side by side, class, state and bias make one product for each gate, and these stay
-        so small that no library wakes a thread for each core.
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """The emissions of at most TILE windows as (place, label, window).
+
+        Places of all windows lie side by side, class, state and bias make one product for each gate, and these
+        stay so small that no library wakes a thread for each core.
         """
         p, (n, steps) = self.p, x.shape
         embedding, width = p["W"].shape[1], p["U"].shape[1]
-        m = np.concatenate((p["W"], p["U"], p["b"]), 1).reshape(2, -1, 4, width)[:, :, [0, 1, 3, 2]].transpose(0, 2, 3, 1)
+        m = np.concatenate((p["W"], p["U"], p["b"]), 1).reshape(2, -1, 4, width)[:, :, [3, 0, 1, 2]].transpose(0, 2, 3, 1)
         # a sigmoid is half of 1 and a tanh of half; states are held twice as large, their weights are half as large
+        one, half = p["E"].dtype.type(1), p["E"].dtype.type(0.5)
         m = m * np.array([0.5, 0.5, 0.5, 1], m.dtype)[:, None, None]
-        m[..., embedding:-1] *= 0.5
-        out = np.ascontiguousarray(p["P"].reshape(2, width, -1).transpose(0, 2, 1)) * p["P"].dtype.type(0.5)
+        m[..., embedding:-1] *= half
+        m = m.reshape(2, 4, width, -1)
+        out = np.ascontiguousarray(p["P"].reshape(2, width, -1).transpose(0, 2, 1)) * half
         classes, x = np.ascontiguousarray(p["E"].T), np.ascontiguousarray(x.T)
         given = np.ones((2, 1, embedding + width + 1, n), m.dtype)
-        h = given[:, 0, embedding:-1]
+        forth, back, h = given[0, 0, :embedding], given[1, 0, :embedding], given[:, 0, embedding:-1]
         h[:] = 0
-        c, z, part = np.zeros_like(h), np.empty((2, 4, width, n), m.dtype), np.empty_like(h)
-        e = np.empty((2, steps, out.shape[1], n), m.dtype)
+        # the gates o, i, f, then g and c, so that i and f meet g and c in one product
+        z, pair = np.zeros((2, 5, width, n), m.dtype), np.empty((2, 2, width, n), m.dtype)
+        active, gates, o, both, with_, c = z[:, :4], z[:, :3], z[:, 0], z[:, 1:3], z[:, 3:], z[:, 4]
+        new, old = pair[:, 0], pair[:, 1]
+        e = np.empty((steps, 2, out.shape[1], n), m.dtype)  # at each step those of its place and of its place from the end
         for t in range(steps):
-            for d, at in ((0, t), (1, steps - 1 - t)):
-                classes.take(x[at], axis=1, out=given[d, 0, :embedding], mode="clip")
-            np.matmul(m, given, out=z)
-            np.tanh(z, out=z)
-            z[:, :3] += 1
-            np.multiply(z[:, 0], z[:, 3], out=part)
-            c *= z[:, 1]
-            c += part
-            c *= 0.5
-            np.tanh(c, out=part)
-            np.multiply(z[:, 2], part, out=h)
-            np.matmul(out[0], h[0], out=e[0, t])
-            np.matmul(out[1], h[1], out=e[1, steps - 1 - t])
-        return (e[0] + e[1] + p["c"][:, None]).transpose(2, 0, 1)
+            classes.take(x[t], axis=1, out=forth, mode="clip")
+            classes.take(x[steps - 1 - t], axis=1, out=back, mode="clip")
+            np.matmul(m, given, out=active)
+            np.tanh(active, out=active)
+            np.add(gates, one, out=gates)
+            np.multiply(both, with_, out=pair)
+            np.add(new, old, out=c)
+            np.multiply(c, half, out=c)
+            np.tanh(c, out=new)
+            np.multiply(o, new, out=h)
+            np.matmul(out, h, out=e[t])
+        total = e[:, 0] + e[::-1, 1]
+        total += p["c"][:, None]
+        return total
 
     def limits(self) -> tuple[float, float]:
         """How far the first label must lead at a place for the likeliest path to hold it there whatever its neighbours
