@@ -1,14 +1,16 @@
 """Personal data: the rules against their patterns, the tagger against differences and held-out spans."""
 
 import hashlib
+import pickle
 import re
+import time
 
 import numpy as np
 import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import pii
+from tidemark.llm import onnx, pii
 from tidemark.llm.pii import EXAMPLES, KINDS, STEPS, STRIDE, SURE, WINDOW, _examples, _starts, _valid, base_spans, find_personal_data, luhn, model_spans, train
 from tidemark.llm.tagger import CLASSES, PAD, TILE, Tagger, classes_of
 
@@ -177,6 +179,42 @@ def test_scores_are_the_emissions_label_by_label(tagger):
     assert np.array_equal(pii._lead(want[0]), want[0][:, 0] - want[0][:, 1:].max(1))
 
 
+def test_the_graph_gives_the_emissions_at_less_cost(tagger):
+    pytest.importorskip("onnxruntime")
+    r, graph = np.random.default_rng(4), onnx.lstm_emissions(tagger.p)
+    for n, steps in ((1, 1), (1, WINDOW), (5, 3), (TILE, WINDOW)):
+        x = r.integers(0, CLASSES, (n, steps))
+        assert graph(x).shape == (steps, n, 9)
+        assert np.allclose(graph(x), tagger.scores(x).transpose(0, 2, 1), atol=1e-4)
+        assert np.array_equal(tagger.emissions(x), graph(x).transpose(1, 0, 2))
+    seconds = {graph: [], tagger.scores: []}
+    for _ in range(5):
+        for f, took in seconds.items():
+            began = time.thread_time()
+            f(x)
+            took.append(time.thread_time() - began)
+    assert min(seconds[graph]) < min(seconds[tagger.scores])
+
+
+def test_a_tagger_makes_its_graph_from_its_present_weights(tagger):
+    x = np.random.default_rng(6).integers(0, CLASSES, (70, 20))
+    want = tagger.emissions(x)
+    again = pickle.loads(pickle.dumps(tagger))
+    assert again._graph is None and np.array_equal(again.emissions(x), want)
+    again.train(x, np.zeros_like(x), steps=2)
+    assert not np.allclose(again.emissions(x), want, atol=1e-2)
+    assert np.allclose(again.emissions(x), again._run(x)[2] @ again.p["P"] + again.p["c"], atol=1e-4)
+
+
+def test_spans_are_the_same_without_onnxruntime(docs, tagger, monkeypatch):
+    texts = [t.text or "" for t in docs.filter("doc_id < 100").collect()]
+    texts += ["call (212) 555-0187 now or write to anna.bell(at)example.org " * 40]
+    want = model_spans(texts, tagger)
+    monkeypatch.setattr(onnx, "onnxruntime", None)
+    assert onnx.lstm_emissions(tagger.p) is None
+    assert model_spans(texts, Tagger(tagger.p)) == want and sum(map(len, want)) > 40
+
+
 def test_base_spans_stay(spark, docs, tagger):
     got = find_personal_data(docs, tagger).collect()
     texts = [(r.doc_id, r.text) for r in docs.collect()]

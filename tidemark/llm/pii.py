@@ -180,10 +180,9 @@ def _emissions(pieces: list[np.ndarray], tagger: Tagger) -> tuple[np.ndarray, np
     windows = np.setdiff1d(np.arange(first[-1]), first[1:] - 1)
     for w in range(0, len(windows), TILE):
         k = windows[w : w + TILE]
-        e = tagger.scores(np.concatenate((codes[k], codes[k + 1]), 1))
-        e *= slope[:, None, None]
+        e = tagger.tile(np.concatenate((codes[k], codes[k + 1]), 1)) * slope[:, None, None]
         for half in (0, 1):
-            total[k + half] += np.ascontiguousarray(e[half * STRIDE : (half + 1) * STRIDE].transpose(2, 0, 1))
+            total[k + half] += e[half * STRIDE : (half + 1) * STRIDE].transpose(1, 0, 2)
     # the two windows over a place have STRIDE + 1 together; in a piece's first and last block there is but one
     total[first[:-1]] /= slope[:STRIDE, None]
     total[first[1:] - 1] /= slope[STRIDE:, None]

@@ -1,11 +1,14 @@
-"""A character-level bidirectional LSTM with CRF transitions in numpy: training, emissions, decoding."""
+"""A character-level bidirectional LSTM with CRF transitions: training and decoding in numpy, emissions by onnxruntime."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 
+from tidemark.llm.onnx import lstm_emissions
+
 #: Character classes: padding, white space, digit, capital, other letters and signs beyond ASCII, then a-z and signs.
 PAD, SPACE, DIGIT, CAPITAL, BEYOND = range(5)
 _OWN = [c for c in map(chr, range(33, 127)) if not c.isdigit() and not c.isupper()]
@@ -46,6 +49,11 @@ class Tagger:
     transitions T and first labels s."""
 
     p: dict[str, np.ndarray]
+    #: What computes emissions with these weights; made by the process that asks, not pickled.
+    _graph: Callable[[np.ndarray], np.ndarray] | None = field(default=None, init=False, repr=False, compare=False)
+
+    def __getstate__(self) -> dict:
+        return {"p": self.p, "_graph": None}
 
     @staticmethod
     def new(labels: int, width: int = 16, embedding: int = 12, seed: int = 7) -> Tagger:
@@ -85,9 +93,15 @@ class Tagger:
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """The labels' scores (window, place, label) over windows `x`: those of `_run`'s states, which are not kept."""
-        parts = [self.scores(x[i : i + TILE]).transpose(2, 0, 1) for i in range(0, len(x), TILE)]
+        parts = [self.tile(x[i : i + TILE]).transpose(1, 0, 2) for i in range(0, len(x), TILE)]
         return np.concatenate(parts) if parts else np.zeros((0, x.shape[1], len(self.p["c"])), self.p["c"].dtype)
 
+    def tile(self, x: np.ndarray) -> np.ndarray:
+        """The emissions of at most TILE windows as (place, window, label), by `scores` where onnxruntime is missing."""
+        if self._graph is None:
+            self._graph = lstm_emissions(self.p) or (lambda x: self.scores(x).transpose(0, 2, 1))
+        return self._graph(x)
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """The emissions of at most TILE windows as (place, label, window).
 
@@ -228,4 +242,5 @@ class Tagger:
                 second[k] = 0.99 * second.get(k, 0) + 0.01 * v * v
                 move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
                 self.p[k] = (self.p[k] - rate * (1 - (step - 1) / steps) * move).astype(np.float32)
+        self._graph = None
         return loss
