@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import find_package
-from tidemark.llm.tagger import PAD, TILE, Tagger, classes_of
+from tidemark.llm.tagger import BLOCK, PAD, Tagger, classes_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose texts are learned from: the first by a hash of the id, half of them among those with a digit or an @.
@@ -177,12 +177,16 @@ def _emissions(pieces: list[np.ndarray], tagger: Tagger) -> tuple[np.ndarray, np
     codes = codes.reshape(-1, STRIDE)
     slope = (np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)) / np.float32(STRIDE + 1)).astype(np.float32)
     total = np.zeros((len(codes), STRIDE, 1 + 2 * len(KINDS)), np.float32)
+    weight = np.repeat(slope, total.shape[2]).reshape(WINDOW, -1)  # a factor for each label makes one long row
     windows = np.setdiff1d(np.arange(first[-1]), first[1:] - 1)
-    for w in range(0, len(windows), TILE):
-        k = windows[w : w + TILE]
-        e = tagger.tile(np.concatenate((codes[k], codes[k + 1]), 1)) * slope[:, None, None]
-        for half in (0, 1):
-            total[k + half] += e[half * STRIDE : (half + 1) * STRIDE].transpose(1, 0, 2)
+    for w in range(0, len(windows), BLOCK):
+        k = windows[w : w + BLOCK]
+        e = tagger.block(np.concatenate((codes[k], codes[k + 1]), 1))
+        e *= weight
+        ends = np.flatnonzero(np.diff(k, append=-1) != 1) + 1  # windows of one piece follow each other
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            total[k[a] : k[b - 1] + 1] += e[a:b, :STRIDE]
+            total[k[a] + 1 : k[b - 1] + 2] += e[a:b, STRIDE:]
     # the two windows over a place have STRIDE + 1 together; in a piece's first and last block there is but one
     total[first[:-1]] /= slope[:STRIDE, None]
     total[first[1:] - 1] /= slope[STRIDE:, None]

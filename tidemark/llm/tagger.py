@@ -13,8 +13,8 @@ from tidemark.llm.onnx import lstm_emissions
 PAD, SPACE, DIGIT, CAPITAL, BEYOND = range(5)
 _OWN = [c for c in map(chr, range(33, 127)) if not c.isdigit() and not c.isupper()]
 CLASSES, AT = 5 + len(_OWN), 5 + _OWN.index("@")
-#: Windows whose emissions are computed together.
-TILE = 512
+#: Windows whose emissions are computed together, and by `scores`.
+BLOCK, TILE = 1024, 512
 
 
 def _class_table() -> np.ndarray:
@@ -93,15 +93,18 @@ class Tagger:
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """The labels' scores (window, place, label) over windows `x`: those of `_run`'s states, which are not kept."""
-        parts = [self.tile(x[i : i + TILE]).transpose(1, 0, 2) for i in range(0, len(x), TILE)]
+        parts = [self.block(x[i : i + BLOCK]) for i in range(0, len(x), BLOCK)]
         return np.concatenate(parts) if parts else np.zeros((0, x.shape[1], len(self.p["c"])), self.p["c"].dtype)
 
-    def tile(self, x: np.ndarray) -> np.ndarray:
-        """The emissions of at most TILE windows as (place, window, label), by `scores` where onnxruntime is missing."""
+    def block(self, x: np.ndarray) -> np.ndarray:
+        """The emissions of one to BLOCK windows as (window, place, label), by `scores` where onnxruntime is missing."""
         if self._graph is None:
-            self._graph = lstm_emissions(self.p) or (lambda x: self.scores(x).transpose(0, 2, 1))
+            self._graph = lstm_emissions(self.p) or self._scores_by_window
         return self._graph(x)
 
+    def _scores_by_window(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.scores(x[i : i + TILE]).transpose(2, 0, 1) for i in range(0, len(x), TILE)])
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """The emissions of at most TILE windows as (place, label, window).
 
