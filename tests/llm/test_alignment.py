@@ -5,6 +5,7 @@ from collections import Counter
 from itertools import accumulate
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -113,3 +114,24 @@ def test_short_fragments_are_encoded_together(pair, monkeypatch):
     assert found.good.tolist() == [x.good[0] for x in alone] and not found.good[100]
     assert found.sizes.tolist() == [x.sizes[0].tolist() for x in alone] and found.groups == [x.groups[0] for x in alone]
     assert list(zip(found.links_a, found.links_b)) == [z for x in alone for z in zip(x.links_a, x.links_b)]
+
+
+def test_rows_of_a_slice_stay_small(pair):
+    schema = pa.schema([
+        ("slice", pa.string()), ("part", pa.int32()), ("ids", pa.list_(pa.int64())), ("sha", pa.list_(pa.string())), ("data", pa.binary()),
+        ("pair", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
+    ])
+    texts = [" ".join(f"w{i}x{j}" for i in range(40)) for j in range(2500)]
+    made = alignment._slice(pa.array(range(len(texts))), pa.chunked_array([texts]), pair, schema)
+    assert made.num_rows > 2 and max(made.slice(i, 1).nbytes for i in range(made.num_rows)) < 300 << 10
+    assert made.column("part").to_pylist() == list(range(made.num_rows))
+
+
+def test_a_slice_of_empty_texts_has_an_end():
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 900)), pa.array([None, "", "a"] * 300)], ["id", "text"]) for i in (0, 900)]
+    found = list(alignment._cut_rows(batches, 10 << 10))
+    assert [t.column("id").to_pylist() for t in found] and sum((t.column("id").to_pylist() for t in found), []) == list(range(1800))
+    assert max(t.num_rows for t in found) <= 320
+    long = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a", "x" * 3000, "b"])], ["id", "text"])
+    assert [t.num_rows for t in alignment._cut_rows([long, long.slice(0, 0)], 2000)] == [1, 1, 1]
+    assert list(alignment._cut_rows([long.slice(0, 0)], 2000)) == []

@@ -19,10 +19,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import Scratch
-from tidemark.llm.words import slices
 
 #: Text whose fragments are told apart and tokenized together. A longer text is a slice of its own, whole.
 SLICE_BYTES = 4 << 20
+#: What a text counts besides its bytes, so that a slice of short or empty texts has an end.
+TEXT_BYTES = 32
+#: Bytes, pairs and texts in one row of a slice at most. Rows of megabytes fill the heap with objects that span its regions.
+PART_BYTES, PART_PAIRS, PART_TEXTS = 128 << 10, 4 << 10, 1 << 10
+#: Row groups of the written slices: so much is held for each writer and reader.
+GROUP_BYTES = 8 << 20
 #: Fragments that are handed to the libraries at once.
 BATCH = 5_000
 #: Fragments that are encoded as one text, and the characters of the longest of these.
@@ -251,18 +256,32 @@ def _align(fragments: list[str], pair: Pair, join: int) -> Aligned:
     return Aligned(good, sizes, groups, np.concatenate(([0], np.cumsum(sizes[:, 3]))), a[ia], b[ib])
 
 
-_SLICE = "slice string, ids array<{id}>, totals binary, sha array<string>, first binary, fragment binary, link_first binary, link_pair binary, pair array<long>, n array<long>"
+_SLICE = "slice string, part int, ids array<{id}>, sha array<string>, data binary, pair array<long>, n array<long>"
+#: The arrays in a slice's data, one behind the other after their bytes and lengths.
+_ARRAYS = 5
 
 
-def _pack(x) -> bytes:
-    return np.ascontiguousarray(x, np.int64).astype("<i4").tobytes() if max(x.max(initial=0), 0) < 1 << 31 else np.ascontiguousarray(x, "<i8").tobytes()
+def _pack(arrays: list[np.ndarray]) -> bytes:
+    packed = [np.ascontiguousarray(x, "<i4" if x.max(initial=0) < 1 << 31 else "<i8").tobytes() for x in arrays]
+    return b"".join([np.array([*map(len, packed), *map(len, arrays)], "<i8").tobytes(), *packed])
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<i4" if len(data) == 4 * n else "<i8", n).astype(np.int64)
+def _unpack(data: bytes) -> list[np.ndarray]:
+    head = np.frombuffer(data, "<i8", 2 * _ARRAYS).tolist()
+    at, found = 16 * _ARRAYS, []
+    for size, n in zip(head, head[_ARRAYS:]):
+        found.append(np.frombuffer(data, "<i4" if size == 4 * n else "<i8", n, at).astype(np.int64))
+        at += size
+    return found
+
+
+def _between(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The sums of the values from each edge to the next."""
+    return np.diff(np.concatenate(([0], np.cumsum(values)))[edges])
 
 
 def _slice(ids: pa.Array, texts: pa.ChunkedArray, pair: Pair, schema: pa.Schema) -> pa.RecordBatch:
+    """A slice as numbered rows of bounded size."""
     cuts = pair.load()[4]
     known: defaultdict[str, int] = defaultdict()
     known.default_factory = known.__len__  # an unknown fragment gets the next number
@@ -278,8 +297,7 @@ def _slice(ids: pa.Array, texts: pa.ChunkedArray, pair: Pair, schema: pa.Schema)
     sha = [hashlib.sha256(";".join([strings[i] for i in r.tolist()]).encode()).hexdigest() if len(r) else "" for r in rows]
     first = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
     fragment = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(sizes[fragment], axis=0)))
-    totals = sums[first[1:]] - sums[first[:-1]]
+    totals = np.stack([_between(x[fragment], first) for x in sizes.T], 1)
     often = np.bincount(fragment, minlength=len(good))
     key = (done.links_a << _B_BITS) | done.links_b
     of = np.repeat(np.arange(len(good)), sizes[:, 3])
@@ -287,34 +305,45 @@ def _slice(ids: pa.Array, texts: pa.ChunkedArray, pair: Pair, schema: pa.Schema)
     pairs, where = np.unique(key, return_inverse=True)
     n = np.zeros(len(pairs), np.int64)
     np.add.at(n, where[used], often[of[used]])
+    data = _pack([totals.ravel(), first, fragment, done.link_first, where])
+    parts = max(-(-len(x) // size) for x, size in ((data, PART_BYTES), (pairs, PART_PAIRS), (ids, PART_TEXTS)))
+
+    def dealt(x, size: int) -> list:
+        return [x[i * size : (i + 1) * size] for i in range(parts)]
+
     values = [
-        uuid.uuid4().hex, ids, _pack(totals.ravel()), sha, _pack(first), _pack(fragment),
-        _pack(done.link_first), _pack(where), pairs, n,
+        [uuid.uuid4().hex] * parts, range(parts), dealt(ids.to_pylist(), PART_TEXTS), dealt(sha, PART_TEXTS), dealt(data, PART_BYTES),
+        dealt(pairs, PART_PAIRS), dealt(n, PART_PAIRS),
     ]
-    columns = [pa.array([v.to_pylist() if isinstance(v, pa.Array) else v], f.type) for v, f in zip(values, schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """The rows of (id, text) batches in turn, as many as a slice holds at a time; a longer text is alone."""
+    held, size = [], 0
+    for batch in batches:
+        begin = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+            if size and size + n + TEXT_BYTES > limit:
+                yield pa.Table.from_batches([*held, batch.slice(begin, i - begin)])
+                held, size, begin = [], 0, i
+            size += n + TEXT_BYTES
+        held.append(batch.slice(begin))
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 def _count(slice_table: pa.Table, counts: pa.Table, schema: pa.Schema) -> pa.Table:
     """The rows of one slice, given (place, count, best) of each of its pairs."""
-    row = slice_table.to_pylist()[0]
-    n_docs = len(row["ids"])
-    place = counts.column("place").to_numpy()
-    pair = np.zeros((len(place), 2), np.int64)
-    pair[place, 0] = counts.column("best").to_numpy()
-    pair[place, 1] = counts.column("count").to_numpy()
-    totals = _unpack(row["totals"], 4 * n_docs).reshape(n_docs, 4)
-    first = _unpack(row["first"], n_docs + 1)
-    fragment = _unpack(row["fragment"], int(first[-1]))
-    link_first = np.frombuffer(row["link_first"], "<i4").astype(np.int64)
-    link_pair = _unpack(row["link_pair"], int(link_first[-1]))
-
-    def sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        total = np.concatenate((np.zeros((1, 2), np.int64), np.cumsum(values, axis=0)))
-        return total[edges[1:]] - total[edges[:-1]]
-
-    of_doc = sums(sums(pair[link_pair], link_first)[fragment], first)
-    columns = [row["ids"], *totals.T, *of_doc.T, row["sha"]]
+    parts = slice_table.sort_by("part")
+    ids, sha = (list(chain.from_iterable(parts.column(c).to_pylist())) for c in ("ids", "sha"))
+    totals, first, fragment, link_first, link_pair = _unpack(b"".join(parts.column("data").to_pylist()))
+    place, of_doc = counts.column("place").to_numpy(), []
+    for column in ("best", "count"):
+        of_pair = np.zeros(len(place), np.int64)
+        of_pair[place] = counts.column(column).to_numpy()
+        of_doc.append(_between(_between(of_pair[link_pair], link_first)[fragment], first))
+    columns = [ids, *totals.reshape(-1, 4).T, *of_doc, sha]
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
@@ -331,7 +360,7 @@ def align_tokens(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col:
     Before a single space between two visible Latin-1 characters both tokenizers cut (the model's vocabulary is asked;
     otherwise texts stay whole), so a slice of texts is a sequence of few distinct fragments, each aligned once. A slice
     sends one row for each of its pairs to be counted and gets one row back, so a pair that is everywhere is one row a
-    slice; what its texts are made of is kept in a written table meanwhile.
+    slice; what its texts are made of is kept in a written table meanwhile, in rows of some 300 KB at most.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -345,25 +374,14 @@ def align_tokens(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col:
     result_schema = to_arrow_schema(_parse_datatype_string(result))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for i, j in slices(batch.column(1), slice_bytes):
-                piece = batch.slice(i, j - i)
-                n = pc.sum(pc.binary_length(piece.column(1))).as_py() or 0
-                if held and size + n > slice_bytes:
-                    yield from flush(held)
-                    held, size = [], 0
-                held.append(piece)
-                size += n
-        if held:
-            yield from flush(held)
-
-    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        yield _slice(table.column(0).combine_chunks(), table.column(1), pair, slice_schema)
-
-    made = scratch.table(docs.mapInArrow(cut, slice_type))
-    pairs = made.select("slice", F.posexplode(F.arrays_zip("pair", "n")).alias("place", "z")).select("slice", "place", F.col("z.pair").alias("pair"), F.col("z.n").alias("n"))
+        for table in _cut_rows(batches, slice_bytes):
+            yield _slice(table.column(0).combine_chunks(), table.column(1), pair, slice_schema)
+
+    # without a look at the size after each of the first rows a writer would hold a hundred of them
+    groups = {"parquet.block.size": GROUP_BYTES, "parquet.block.size.row.check.min": 8, "parquet.page.size.row.check.min": 8}
+    made = scratch.table(docs.mapInArrow(cut, slice_type), **groups)
+    pairs = made.select("slice", "part", F.posexplode(F.arrays_zip("pair", "n")).alias("place", "z"))
+    pairs = pairs.select("slice", (F.col("part") * PART_PAIRS + F.col("place")).alias("place"), F.col("z.pair").alias("pair"), F.col("z.n").alias("n"))
     b = F.col("pair").bitwiseAND(F.lit((1 << _B_BITS) - 1))
     counts = pairs.groupBy("pair").agg(F.sum("n").alias("count"))
     # of one B id there are at most as many pairs as A has tokens
