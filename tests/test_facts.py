@@ -96,6 +96,43 @@ def test_one_file_per_bucket(wh):
     assert len(wh.read_fact(SPEC).inputFiles()) == 4
 
 
+def test_a_first_version_is_exchanged_once(wh, monkeypatch):
+    rows = [(f"k{i}", "2024-01-02", str(i), L1) for i in range(200)] + [("hot", f"2024-01-{d:02}", str(d), L1) for d in range(1, 29)]
+    add(wh, [*rows, ("hot", "2024-01-28", "99", L2), (None, "2024-01-02", "1", L1), ("", "2024-01-02", "5", L1)])
+    monkeypatch.setattr(plan, "HOT_ROWS", 9)  # above it the latest version is found before rows are dealt to a bucket
+    dealt, seen = plan._latest_fact, []
+    monkeypatch.setattr(plan, "_latest_fact", lambda *a: seen.append(a[3:]) or dealt(*a))
+    done = plan.transform(wh, SPEC)
+    assert seen == [((4, ["hot"]),)] and (done.row["n_batch"], done.row["n_nokey"], done.row["n_written"]) == (231, 1, 202)
+    assert not os.path.exists(wh.path("rep.f_batch")) and len(wh.read_fact(SPEC).inputFiles()) == 4
+    files = wh.spark.read.parquet(f"{wh.path('rep.f')}/v=1")
+    assert files.filter(bucket_of(F.col("pk"), 4) != F.col("bucket")).count() == 0
+    expected = {r.pk: r.amount for r in plan.rebuild(wh.read("stg.t"), SPEC, tiebreak=True).collect()}
+    assert {k: r.amount for k, r in fact(wh).items()} == expected and expected["hot"] == 99 and expected[""] == 5
+
+
+def test_many_versions_are_found_before_they_are_dealt(wh):
+    add(wh, [(f"k{i % 9}", f"2024-01-{i // 9 + 1:02}", str(i), L1) for i in range(90)])
+    plan.transform(wh, SPEC)
+    assert {r.amount for r in fact(wh).values()} == set(range(81, 90))
+    assert not os.path.exists(f"{wh.path('rep.f_batch')}/v=1")  # merged, so it is not needed any more
+
+
+def test_rows_of_one_date_are_not_sorted(wh, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen, part = [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *c: seen.append(self._df) or part(self, *c))
+    add(wh, [("a", "2024-01-02", "1", L1), ("b", "2024-01-02", "1", ts("2024-02-01 09:00:00"))])
+    add(wh, [("c", "2024-01-02", "1", L2), ("d", "2024-01-02", "1", L3)])
+    add(wh, [("e", "2024-01-02", "1", L3), ("f", "2024-01-02", "1", None)])
+    add(wh, [])
+    fixed = ["to_date(loaded_at" not in df._jdf.queryExecution().analyzed().toString() for df in seen]
+    assert fixed == [True, False, False, False]
+    got = {r.key: r.load_date and r.load_date.isoformat() for r in wh.read("stg.t").collect()}
+    assert got == {"a": "2024-02-01", "b": "2024-02-01", "c": "2024-02-02", "d": "2024-02-03", "e": "2024-02-03", "f": None}
+
+
 def test_expired_versions_are_deleted(wh):
     for i in range(3):
         add(wh, [("k7", f"2024-01-0{i + 1}", str(i), ts(f"2024-02-0{i + 1}"))] + [(f"x{j}", "2024-01-01", "1", L1) for j in range(20) if i == 0])

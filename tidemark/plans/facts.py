@@ -30,6 +30,8 @@ _KIND = {
 BUCKET_BYTES = 256 << 20
 # The driver hears of each task. So many write a fact of more buckets, whose number is then a multiple.
 BUCKET_TASKS = 1024
+# A key of more rows is brought down to its latest version before its rows are dealt to a bucket.
+HOT_ROWS = 100_000
 
 
 def bucket_count(n_bytes: int, current: int = 0, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -139,9 +141,12 @@ def checked_fact(rows: DataFrame, spec: FactSpec) -> DataFrame:
     return typed.select(*[ident(f.target) for f in spec.fields], LOADED_AT, F.array_compact(F.array(*found)).alias("refused"))
 
 
-def _latest_fact(history: DataFrame, spec: FactSpec, tiebreak: bool) -> DataFrame:
+def _latest_fact(history: DataFrame, spec: FactSpec, tiebreak: bool, dealt: tuple[int, list] | None = None) -> DataFrame:
     """The typed rows of the latest versions. Rows are typed before they are sorted and exchanged, as typed values are
-    narrower than their texts and the modification is then parsed once. Keys are told apart by their text."""
+    narrower than their texts and the modification is then parsed once. Keys are told apart by their text.
+
+    ``dealt`` has a number of tasks, to which rows are dealt by a key that is text, and the keys of so many rows that
+    their latest version is found before."""
     rows = not_null_key(history.select(*[ident(c) for c in spec.source_columns], LOADED_AT), spec.source_key)
     key, modified, extra = ident(spec.key), ident(spec.modified), []
     if spec.field_of(spec.key).kind != "text":
@@ -151,7 +156,14 @@ def _latest_fact(history: DataFrame, spec: FactSpec, tiebreak: bool) -> DataFram
     if tiebreak:
         extra.append(row_hash(*[ident(c) for c in spec.source_columns]).alias("_hash"))
     typed = rows.select(*[_KIND[f.kind](ident(f.source)).alias(f.target) for f in spec.fields], LOADED_AT, *extra)
-    latest = latest_version(typed, key, modified, order=[F.col("_hash").desc()] if tiebreak else ())
+    order = [F.col("_hash").desc()] if tiebreak else ()
+    if dealt is not None:
+        tasks, hot = dealt
+        if hot:
+            few = latest_version(typed.filter(key.isin(hot)), key, modified, order=order)
+            typed = typed.filter(~key.isin(hot)).unionByName(few)
+        typed = typed.repartition(tasks, spec.key)
+    latest = latest_version(typed, key, modified, order=order)
     return latest.select(*[ident(f.target) for f in spec.fields], LOADED_AT)
 
 
@@ -197,6 +209,20 @@ def _text_bytes(columns) -> Column:
     return total
 
 
+def _outline(window: DataFrame, spec: FactSpec):
+    """``batch_counts`` of a window with, about, its keys and the text of their latest versions, and the hot keys."""
+    key, none = ident(spec.source_key), ident(spec.source_key).isNull()
+    total = window.select(*[ident(c) for c in spec.source_columns], LOADED_AT).withColumns({
+        "_key": key, "_bytes": F.when(~none, _text_bytes([*spec.source_columns, LOADED_AT, LOADED_AT])),
+    }).agg(
+        F.count(F.lit(1)).alias("n_batch"), F.count_if(F.col("_key").isNull()).alias("n_nokey"),
+        F.approx_count_distinct("_key").alias("n_keys"), F.sum("_bytes").alias("n_bytes"),
+        F.expr(f"filter(approx_top_k(coalesce(_key, ''), 1000, 10000), x -> x.count > {HOT_ROWS}).item").alias("hot"),
+    ).first()
+    rows = total.n_batch - total.n_nokey
+    return total, round((total.n_bytes or 0) * min(1, total.n_keys / max(rows, 1))), rows <= 2 * total.n_keys
+
+
 def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime | None = None,
                       now: dt.datetime | None = None, history: DataFrame | None = None,
                       ordered_by_load: bool = False, advance_as_at: bool = False,
@@ -226,47 +252,71 @@ def prepare_transform(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime |
         return Prepared(spec.target_table, "nothing new", row)
 
     window = batch_window(history, floor, ceiling)
-    counts = batch_counts(window, spec.source_key).first()
+    counts, batch, n_first = _count_and_build(window, spec, bucket_bytes, fresh=state is None or not state.bucket_versions)
     return _merge_version(
-        wh, spec, state, rebuild(window, spec, tiebreak=True), now, bucket_bytes, LOADED_AT if ordered_by_load else None, floor, ceiling,
+        wh, spec, state, batch, now, bucket_bytes, LOADED_AT if ordered_by_load else None, floor, ceiling,
         {"source_as_at": source_as_at or newest_ceiling(wh), "n_batch": counts.n_batch, "n_nokey": counts.n_nokey,
          "last_loaded_at": max(filter(None, [ceiling, state and state.last_loaded_at])),
-         "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None},
+         "stream_id": stream[0] if stream else None, "batch_id": stream[1] if stream else None}, n_first=n_first,
     )
 
 
+def _count_and_build(window: DataFrame, spec: FactSpec, bucket_bytes: int, fresh: bool) -> tuple:
+    """The counts of a window, its latest versions, and the number of buckets that these are dealt to already.
+
+    Where nothing is there to merge with and most rows are the latest of their keys, rows are exchanged once, straight to
+    their buckets, whose number follows an estimate of the text. Otherwise the number is None: the latest versions are
+    found first, within the map tasks too, and dealt when their text is known.
+    """
+    if fresh and spec.field_of(spec.key).kind == "text":
+        counts, n_bytes, mostly_latest = _outline(window, spec)
+        if mostly_latest:
+            n = spec.n_buckets or bucket_count(n_bytes, 0, bucket_bytes)
+            return counts, _latest_fact(window, spec, True, (bucket_tasks(n), counts.hot or [])), n
+    else:
+        counts = batch_counts(window, spec.source_key).first()
+    return counts, rebuild(window, spec, tiebreak=True), None
+
+
 def _merge_version(wh: Warehouse, spec: FactSpec, state, batch: DataFrame, now: dt.datetime, bucket_bytes: int,
-                   loaded_at: str | None, floor, ceiling, row: dict, replace: bool = False) -> Prepared:
-    """Write the batch merged into the snapshot, or in its place, as the next version."""
+                   loaded_at: str | None, floor, ceiling, row: dict, replace: bool = False, n_first: int | None = None) -> Prepared:
+    """Write the batch merged into the snapshot, or in its place, as the next version. ``n_first`` is the number of buckets
+    of a batch that is dealt to them already and has nothing to merge with: it is written straight to its version."""
     version = 1 if state is None else state.version + 1
     versions = [] if state is None or replace else list(state.bucket_versions)
-    # The batch is written once: what follows reads it several times, its size is then known,
-    # and a lost executor does not cost a second pass over the history.
     batch = batch.withColumn("transformed_at", ntz(now))
-    path = f"{wh.path(spec.target_table)}_batch/v={version}"
-    size = Observation()
-    # A task's report holds the observed expressions, so what they add up is a column before.
-    sized = batch.withColumn("_bytes", _text_bytes(batch.columns)).observe(size, F.sum("_bytes").alias("bytes"))
-    sized.drop("_bytes").write.mode("overwrite").parquet(path)
-    staged = wh.spark.read.schema(batch.schema).parquet(path)
-    held = (state.n_bytes or 0) if versions else 0
-    added = size.get["bytes"] or 0
-    n = spec.n_buckets or bucket_count(held + added, len(versions), bucket_bytes)
-    existing, touched = None, range(n)
-    if len(versions) == n:
-        touched = [r.b for r in staged.select(bucket_of(F.col(spec.key), n).alias("b")).distinct().collect()]  # at most n
-        existing = wh.read_fact(spec, touched if len(touched) < n else None, state, batch.schema)
-    elif versions:
-        existing = wh.read_fact(spec, None, state, batch.schema)
-    tasks = bucket_tasks(n)
-    if existing is not None:
-        existing = existing.repartition(tasks, spec.key)
-    merged = upsert_latest(existing, staged.repartition(tasks, spec.key), spec.key, spec.modified, loaded_at)
+    path = f"{spec.target_table}_batch/v={version}"
+    if n_first is not None:
+        n, held, touched = n_first, 0, range(n_first)
+        merged = upsert_latest(None, batch, spec.key, spec.modified, loaded_at)
+    else:
+        # The batch is written once: what follows reads it several times, its size is then known,
+        # and a lost executor does not cost a second pass over the history.
+        size = Observation()
+        # A task's report holds the observed expressions, so what they add up is a column before.
+        sized = batch.withColumn("_bytes", _text_bytes(batch.columns)).observe(size, F.sum("_bytes").alias("bytes"))
+        sized.drop("_bytes").write.mode("overwrite").parquet(wh.path(path))
+        staged = wh.spark.read.schema(batch.schema).parquet(wh.path(path))
+        held = (state.n_bytes or 0) if versions else 0
+        added = size.get["bytes"] or 0
+        n = spec.n_buckets or bucket_count(held + added, len(versions), bucket_bytes)
+        existing, touched = None, range(n)
+        if len(versions) == n:
+            touched = [r.b for r in staged.select(bucket_of(F.col(spec.key), n).alias("b")).distinct().collect()]  # at most n
+            existing = wh.read_fact(spec, touched if len(touched) < n else None, state, batch.schema)
+        elif versions:
+            existing = wh.read_fact(spec, None, state, batch.schema)
+        tasks = bucket_tasks(n)
+        if existing is not None:
+            existing = existing.repartition(tasks, spec.key)
+        merged = upsert_latest(existing, staged.repartition(tasks, spec.key), spec.key, spec.modified, loaded_at)
     actions = Observation()
     merged = merged.withColumn("_bytes", F.when(F.col("action") == "insert", _text_bytes(batch.columns)))
     counted = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "stale", "keep")]
     observed = merged.observe(actions, *counted, F.sum("_bytes").alias("bytes"))
     wh.write_fact(observed.drop("action", "_bytes").withColumn("bucket", bucket_of(F.col(spec.key), n)), spec, version)
+    if n_first is None:
+        wh.clear(path)
 
     done = actions.get
     inserted = done.pop("bytes") or 0
@@ -289,11 +339,10 @@ def rebuild_fact(wh: Warehouse, spec: FactSpec, source_as_at: dt.datetime | None
     if history is None:
         return Prepared(spec.target_table, "skipped")
     upto = state.last_loaded_at if state is not None else batch_ceiling(history, None).first()[0]
-    counts = batch_counts(batch_window(history, None, upto), spec.source_key).first()
-    batch = rebuild(batch_window(history, None, upto), spec, tiebreak=True)
+    counts, batch, n_first = _count_and_build(batch_window(history, None, upto), spec, bucket_bytes, fresh=True)
     kept = {k: state[k] for k in ("stream_id", "batch_id")} if state is not None else {}
     prepared = _merge_version(
-        wh, spec, state, batch, now, bucket_bytes, None, None, upto, replace=True,
+        wh, spec, state, batch, now, bucket_bytes, None, None, upto, replace=True, n_first=n_first,
         row={**kept, "source_as_at": source_as_at or (state and state.source_as_at) or newest_ceiling(wh),
              "last_loaded_at": upto, "n_batch": counts.n_batch, "n_nokey": counts.n_nokey},
     )

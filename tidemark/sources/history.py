@@ -35,9 +35,12 @@ def append_history(wh: Warehouse, target_table: str, landed: DataFrame, columns,
 
     History is partitioned by load date, so a transform's range reads only its days. The ``watermark`` column is kept
     as a timestamp as well, so that bounds on it reach the scan. A load that brings no column the history does not have
-    leaves the register of its columns alone.
+    leaves the register of its columns alone. Rows of a single date are written as they come, without the sort by date.
     """
-    rows = landed.select(*[ident(c) for c in columns], LOADED_AT).withColumn(LOAD_DATE, F.to_date(LOADED_AT))
+    day = F.to_date(LOADED_AT)
+    days = landed.agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count_if(day.isNull()).alias("none")).first()
+    single = days.first is not None and days.first == days.last and not days.none
+    rows = landed.select(*[ident(c) for c in columns], LOADED_AT).withColumn(LOAD_DATE, F.lit(days.first) if single else day)
     if watermark is not None:
         rows = rows.withColumn(WATERMARK, as_timestamp(landed, watermark))
     _register(wh, target_table, rows.schema, watermark)
