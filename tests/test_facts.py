@@ -111,6 +111,14 @@ def test_a_first_version_is_exchanged_once(wh, monkeypatch):
     assert {k: r.amount for k, r in fact(wh).items()} == expected and expected["hot"] == 99 and expected[""] == 5
 
 
+def test_a_first_version_with_numbers_for_keys(spark, wh, monkeypatch):
+    monkeypatch.setattr(plan, "HOT_ROWS", 9)
+    rows = spark.sql("select if(id < 30, id, if(id < 45, 7, null)) as key, '2024-01-02' as mod, timestamp_ntz'2024-02-01' as loaded_at from range(50)")
+    append_history(wh, "stg.u", rows, ["key", "mod"])
+    plan.transform(wh, OTHER)
+    assert sorted(fact(wh, OTHER)) == list(range(30))
+
+
 def test_many_versions_are_found_before_they_are_dealt(wh):
     add(wh, [(f"k{i % 9}", f"2024-01-{i // 9 + 1:02}", str(i), L1) for i in range(90)])
     plan.transform(wh, SPEC)

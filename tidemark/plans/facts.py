@@ -160,8 +160,8 @@ def _latest_fact(history: DataFrame, spec: FactSpec, tiebreak: bool, dealt: tupl
     if dealt is not None:
         tasks, hot = dealt
         if hot:
-            few = latest_version(typed.filter(key.isin(hot)), key, modified, order=order)
-            typed = typed.filter(~key.isin(hot)).unionByName(few)
+            often = key.cast("string").isin(hot)
+            typed = typed.filter(~often).unionByName(latest_version(typed.filter(often), key, modified, order=order))
         typed = typed.repartition(tasks, spec.key)
     latest = latest_version(typed, key, modified, order=order)
     return latest.select(*[ident(f.target) for f in spec.fields], LOADED_AT)
@@ -217,7 +217,7 @@ def _outline(window: DataFrame, spec: FactSpec):
     }).agg(
         F.count(F.lit(1)).alias("n_batch"), F.count_if(F.col("_key").isNull()).alias("n_nokey"),
         F.approx_count_distinct("_key").alias("n_keys"), F.sum("_bytes").alias("n_bytes"),
-        F.expr(f"filter(approx_top_k(coalesce(_key, ''), 1000, 10000), x -> x.count > {HOT_ROWS}).item").alias("hot"),
+        F.expr(f"filter(approx_top_k(coalesce(cast(_key as string), ''), 1000, 10000), x -> x.count > {HOT_ROWS}).item").alias("hot"),
     ).first()
     rows = total.n_batch - total.n_nokey
     return total, round((total.n_bytes or 0) * min(1, total.n_keys / max(rows, 1))), rows <= 2 * total.n_keys
